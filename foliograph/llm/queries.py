@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm import names
+from foliograph.llm import names, survivor
+from foliograph.llm.sql import SQL as SQL
 from foliograph.session import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,5 +25,12 @@ def p3_classes(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(sizes, "thing").select("key", "class_key", "n_links")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_classes)}
-SQL: dict[str, str] = {}
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return survivor.surviving_values(read(spark, d, "entities")).select("key", "field", "entity_id")
+
+
+def p5_records(spark: SparkSession, d: str) -> DataFrame:
+    return survivor.surviving_records(read(spark, d, "entities"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_classes, p5_found, p5_records)}
