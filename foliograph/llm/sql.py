@@ -28,7 +28,7 @@ graded AS (
 defs AS (
   SELECT key, 'definition' AS field, entity_id, loaded_at, nullif(t, '') AS value, coalesce(length(t), 0) AS size, 1.0 AS vote,
     CASE WHEN coalesce(t, '') = '' THEN 0 WHEN plain IN ({_quoted(FILLERS)}) THEN 1
-         WHEN {" OR ".join(f"starts_with(lower(t), {_quoted([r])})" for r in REFUSALS)} OR NOT (starts_with(plain, key || ' ') AND length(plain) > length(key) + 8) THEN 2
+         WHEN {" OR ".join(f"starts_with(lower(t), {_quoted([r])})" for r in REFUSALS)} OR NOT (starts_with(plain, key) AND NOT regexp_matches(substr(plain, length(key) + 1, 1), '[a-z0-9]') AND length(plain) > length(key) + 8) THEN 2
          WHEN NOT regexp_matches(t, '[.!?]["''”’)]?$') OR regexp_matches(t, '(\.\.|…)["''”’)]?$') THEN 3
          WHEN len(list_distinct(said)) < len(said) THEN 4 ELSE 5 END AS grade
   FROM graded),

@@ -21,7 +21,7 @@ def definition_merit(definition: Column, key: Column) -> Column:
     """
     text = T.collapse(definition)
     plain = T.norm(text)
-    own = F.startswith(plain, F.concat(key, F.lit(" "))) & (F.length(plain) > F.length(key) + 8)
+    own = F.startswith(plain, key) & ~F.substring(plain, F.length(key) + 1, F.lit(1)).rlike("[a-z0-9]") & (F.length(plain) > F.length(key) + 8)
     done = text.rlike(r"[.!?][\"'”’)]?$") & ~text.rlike(r"(\.\.|…)[\"'”’)]?$")
     said = F.transform(F.split(F.lower(text), r"(?<=[.!?])\s+"), lambda s: F.trim(s))
     twice = F.size(F.array_distinct(said)) < F.size(said)
