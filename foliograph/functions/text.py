@@ -35,7 +35,7 @@ def collapse(c: Column) -> Column:
 
 def clean(c: Column) -> Column:
     """Runs of blanks, tabs, no-break and zero-width blanks as one blank, ends stripped; line ends stay."""
-    return strip(F.regexp_replace(c, r"[ \t ​]+", " "))
+    return strip(F.regexp_replace(c, r"[ \t\u00A0\u200B]+", " "))
 
 
 def word_count(c: Column) -> Column:
