@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm import names, survivor
+from foliograph.llm import markup, names, survivor
 from foliograph.llm.sql import SQL as SQL
 from foliograph.session import read
 
@@ -33,4 +33,13 @@ def p5_records(spark: SparkSession, d: str) -> DataFrame:
     return survivor.surviving_records(read(spark, d, "entities"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_classes, p5_found, p5_records)}
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = markup.markup(read(spark, d, "sections"), "page_id")
+    return rows.select("page_id", F.explode("kinds").alias("markup")).distinct()
+
+
+def p6_clean(spark: SparkSession, d: str) -> DataFrame:
+    return markup.markup(read(spark, d, "sections"), "page_id").select("page_id", F.col("clean").alias("text"), F.array_join("kinds", ",").alias("kinds"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_classes, p5_found, p5_records, p6_found, p6_clean)}
