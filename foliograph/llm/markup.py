@@ -358,6 +358,7 @@ def _from_latex(text: str) -> str:
     text = re.sub(r"(?m)^ *\\item(?:\[[^\]\n]*\])? *", "- ", text)
     text = re.sub(r"\\(?:begin|end)\{[^{}\n]*\}(?:\[[^\]\n]*\]|\{[^{}\n]*\})*", "", text)
     text = re.sub(r"~?\\(?:ref|eqref|pageref|cite[a-z]*|label|footnotemark|index)\*?(?:\[[^\]\n]*\])?\{[^{}\n]*\}", "", text)
+    text = re.sub(r"\\footnote\{([^{}\n]*)\}", r" (\1)", text)
     text = re.sub(r"\\pounds\b\s*", "£", text)
     for _ in range(4):
         text = re.sub(r"\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?\{([^{}\n]*)\}", r"\1", text)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm import markup, names, survivor
+from foliograph.llm import leakage, markup, names, survivor
 from foliograph.llm.sql import SQL as SQL
 from foliograph.session import read
 
@@ -42,4 +42,12 @@ def p6_clean(spark: SparkSession, d: str) -> DataFrame:
     return markup.markup(read(spark, d, "sections"), "page_id").select("page_id", F.col("clean").alias("text"), F.array_join("kinds", ",").alias("kinds"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_classes, p5_found, p5_records, p6_found, p6_clean)}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.find_leaks(read(spark, d, "documents"), read(spark, d, "eval_items")).select("item_id", "doc_id").distinct()
+
+
+def p8_spans(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.find_leaks(read(spark, d, "documents"), read(spark, d, "eval_items"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_classes, p5_found, p5_records, p6_found, p6_clean, p8_found, p8_spans)}
