@@ -19,8 +19,9 @@ _WORD = re.compile(r"[^\W_]+")
 WINDOW = 6
 #: Words that may be changed, added or dropped between two runs of one stretch, and the least run on the far side.
 SLACK, FAR_RUN = 2, 3
-#: Agreeing words a stretch needs.
-STRETCH = 10
+#: Agreeing words a stretch needs, and their share of its words. Two texts made to one pattern agree in the fixed
+#: words only, which is less.
+STRETCH, DENSITY = 10, 0.85
 #: Characters of items in one automaton; more items are scanned for in blocks.
 BLOCK_CHARS = 8_000_000
 
@@ -128,7 +129,7 @@ def _stretches(words: list[str], target: list[str], seeds: list[tuple[int, int]]
             moved = False
             for a, b in _SHIFTS:
                 m = _run(words, target, hi_i + a, hi_j + b)
-                if m >= FAR_RUN or m and hi_j + b + m == len(target):
+                if (m >= FAR_RUN or m and hi_j + b + m == len(target)) and agree + m >= DENSITY * (hi_j + b + m - lo_j):
                     done.update((hi_i + a + k, hi_j + b + k) for k in range(m))
                     hi_i, hi_j, agree, moved = hi_i + a + m, hi_j + b + m, agree + m, True
                     break
@@ -139,7 +140,7 @@ def _stretches(words: list[str], target: list[str], seeds: list[tuple[int, int]]
                 if lo_i - a < 0 or lo_j - b < 0:
                     continue
                 m = _back(words, target, lo_i - a, lo_j - b)
-                if m >= FAR_RUN or m and lo_j - b - m == 0:
+                if (m >= FAR_RUN or m and lo_j - b - m == 0) and agree + m >= DENSITY * (hi_j - lo_j + b + m):
                     lo_i, lo_j, agree, moved = lo_i - a - m, lo_j - b - m, agree + m, True
                     break
         if agree >= min(STRETCH, len(target)):
