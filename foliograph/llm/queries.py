@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm import leakage, markup, names, survivor
+from foliograph.llm import leakage, markup, names, packing, survivor
 from foliograph.llm.sql import SQL as SQL
 from foliograph.session import read
 
@@ -50,4 +50,13 @@ def p8_spans(spark: SparkSession, d: str) -> DataFrame:
     return leakage.find_leaks(read(spark, d, "documents"), read(spark, d, "eval_items"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_classes, p5_found, p5_records, p6_found, p6_clean, p8_found, p8_spans)}
+def p7_pack(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(read(spark, d, "documents"), read(spark, d, "budgets"))
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    budgets = read(spark, d, "budgets")
+    return packing.fill(packing.pack(read(spark, d, "documents"), budgets), budgets)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_classes, p5_found, p5_records, p6_found, p6_clean, p7_pack, p7_fill, p8_found, p8_spans)}
