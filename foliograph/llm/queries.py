@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm import leakage, markup, names, packing, survivor
+from foliograph.llm import leakage, markup, names, packing, quality, survivor
 from foliograph.llm.sql import SQL as SQL
 from foliograph.session import read
 
@@ -59,4 +59,13 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill(packing.pack(read(spark, d, "documents"), budgets), budgets)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_classes, p5_found, p5_records, p6_found, p6_clean, p7_pack, p7_fill, p8_found, p8_spans)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = quality.text_quality(read(spark, d, "documents"), read(spark, d, "common_words"))
+    return rows.filter("kind <> 'prose'").select("doc_id", "kind").distinct()
+
+
+def p9_stats(spark: SparkSession, d: str) -> DataFrame:
+    return quality.text_quality(read(spark, d, "documents"), read(spark, d, "common_words"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_classes, p5_found, p5_records, p6_found, p6_clean, p7_pack, p7_fill, p8_found, p8_spans, p9_found, p9_stats)}
