@@ -60,6 +60,10 @@ _SPLIT = {"tab": re.compile(r"\t"), "bar": re.compile(r"\|"), "gap": re.compile(
 _VOWEL = re.compile(r"[aeiouyàâäáéèêëíìîïóòôöúùûüŵŷœæw]")
 
 
+#: Nothing but controls, whatever parts them.
+_CONTROLS = re.compile(rf"\W*(?:\b(?:{'|'.join(sorted(map(re.escape, FURNITURE), key=len, reverse=True))})(?!\w)\W*)+")
+
+
 def _cells(line: str) -> list[str]:
     """Cells of a row parted by tabs, bars, wide gaps, or commas or semicolons without blanks; empty if it is none."""
     s = line.strip()
@@ -199,7 +203,7 @@ def _parts(lines: list[str], own: frozenset[str], any_odd: bool) -> tuple[dict[s
         if not s:
             close()
             continue
-        if s.lower().strip(" .:|>»") in FURNITURE or _machine(s):
+        if _CONTROLS.fullmatch(s.lower()) or _machine(s):
             close()
             add("junk", len(s) - s.count(" "))
             continue
@@ -210,15 +214,11 @@ def _parts(lines: list[str], own: frozenset[str], any_odd: bool) -> tuple[dict[s
         if cells:
             filled = [c.strip() for c in cells if c.strip()]
             plain = sum(1 for c in filled if len(c) <= 60 and not _ODD.search(c))
-            if sum(1 for c in filled if c.lower() in FURNITURE) * 2 > len(filled):
-                close()
-                add("junk", len(s) - s.count(" "))
-                continue
             if 2 * plain >= len(filled):
                 close()
                 add("table", len(s) - s.count(" "))
                 continue
-        if _ITEM.match(line) or _CODED.match(line) and len(s) <= 120 and not s.endswith("."):
+        if _ITEM.match(line) or _CODED.match(line) and len(s) <= 120 and not s.endswith(".") and not (block and len(block[-1].split()) > 4 and not _END.search(block[-1])):
             close()
             words = _WORD.findall(s.lower())
             if len(words) >= 14 and sum(map(own.__contains__, words)) >= 0.2 * len(words):
