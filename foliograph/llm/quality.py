@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,54 +88,72 @@ def _machine(s: str) -> bool:
     return ("=" in s or s[0].isdigit() or s[0] == "[") and bool(_LOG.search(s)) or s[-1] in "{};>" and bool(_CODE.search(s))
 
 
+#: Lanes of a packed count: words, letters, odd tokens, digits, symbols, characters, then common words by language.
+_LANE, _MASK = 40, (1 << 40) - 1
+_WORDS, _LETTERS, _ODDS, _DIGITS, _SYMBOLS, _CHARS, _COMMON = range(7)
+
+
+class _Tokens(dict):
+    """Counts of a token packed into one integer, so that a text's counts are one sum over its tokens. Texts share
+    most of their tokens; the memory of them is emptied when it has grown to `most`."""
+
+    def __init__(self, common: list[frozenset[str]], most: int = 200_000):
+        super().__init__()
+        self.common, self.most = common, most
+
+    def __missing__(self, token: str) -> int:
+        words = _WORD.findall(token.lower())
+        counts = [len(words), sum(map(len, words)), bool(_ODD.match(token)), sum(map(len, _DIGIT.findall(token))), len(_SYMBOL.findall(token)), len(token)]
+        counts += [sum(map(c.__contains__, words)) for c in self.common]
+        packed = sum(int(n) << _LANE * i for i, n in enumerate(counts))
+        if len(self) >= self.most:
+            self.clear()
+        self[token] = packed
+        return packed
+
+
+def _lane(packed: int, lane: int) -> int:
+    return packed >> _LANE * lane & _MASK
+
+
 class Reader:
     """Measures texts. `common` has the common words of each language."""
 
     def __init__(self, common: dict[str, set[str]]):
-        self.common = {k: frozenset(v) for k, v in common.items()}
-
-    def language(self, words: list[str]) -> str:
-        """Language whose common words are the most frequent; English where none is."""
-        seen = Counter(words)
-        best, most = "en", 0
-        for name in LANGUAGES:
-            n = sum(seen[w] for w in self.common.get(name, frozenset()).intersection(seen))
-            if n > most:
-                best, most = name, n
-        return best
+        self.counts = _Tokens([frozenset(common.get(x, ())) for x in LANGUAGES])
 
     def measure(self, text: str) -> tuple[str, list[float], list[float]]:
         """(language, statistics, shares of the text that are prose, list, table and junk)."""
-        lines = text.splitlines()
-        words = _WORD.findall(text.lower())
         tokens = text.split()
-        size = sum(map(len, tokens))
-        if not words:
+        packed = sum(map(self.counts.__getitem__, tokens))
+        n_words = _lane(packed, _WORDS)
+        if not n_words:
             # no words at all
             return "en", [0.0, 0.0, 0.0, 1.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0], [0.0, 0.0, 0.0, 1.0]
-        lang = self.language(words)
-        own = self.common.get(lang, frozenset())
+        common = [_lane(packed, _COMMON + i) for i in range(len(LANGUAGES))]
+        lang = max(range(len(LANGUAGES)), key=lambda i: (common[i], -i))
+        lines = text.splitlines()
         full = [x for x in lines if x and not x.isspace()]
-        odd = len(_ODD.findall(text))
-        parts, repeated, said = _parts(lines, own, odd > 0)
+        parts, repeated, said = _parts(lines, self.counts, _COMMON + lang)
         total = sum(parts.values()) or 1.0
         shares = [parts[p] / total for p in PARTS]
+        size = _lane(packed, _CHARS)
         stats = [
-            float(np.log1p(len(words) / len(full))),
-            sum(map(len, words)) / len(words),
-            sum(map(own.__contains__, words)) / len(words),
-            len(_SYMBOL.findall(text)) / size,
-            sum(map(len, _DIGIT.findall(text))) / size,
-            odd / len(tokens),
+            float(np.log1p(n_words / len(full))),
+            _lane(packed, _LETTERS) / n_words,
+            common[lang] / n_words,
+            _lane(packed, _SYMBOLS) / size,
+            _lane(packed, _DIGITS) / size,
+            _lane(packed, _ODDS) / len(tokens),
             sum(1 for x in full if _END.search(x[-6:].rstrip())) / len(full),
             repeated / max(1, said),
             *shares[:3],
         ]
-        return lang, stats, shares
+        return LANGUAGES[lang], stats, shares
 
 
-def _parts(lines: list[str], own: frozenset[str], any_odd: bool) -> tuple[dict[str, float], int, int]:
-    """Characters of each kind of part, and of repeated and of all sentences."""
+def _parts(lines: list[str], counts: _Tokens, common: int) -> tuple[dict[str, float], int, int]:
+    """Characters of each kind of part, and of repeated and of all sentences. common is the lane of the language."""
     parts = dict.fromkeys(PARTS, 0.0)
     seen: set[str] = set()
     repeated = said = 0
@@ -158,13 +175,13 @@ def _parts(lines: list[str], own: frozenset[str], any_odd: bool) -> tuple[dict[s
         nonlocal repeated, said, lead
         if not block:
             return
-        joined = " ".join(block)
-        low = joined.lower()
-        tokens = low.split()
-        size = sum(map(len, tokens))
-        n = len(tokens)
+        joined = " ".join(block) if len(block) > 1 else block[0]
+        tokens = joined.split()
+        packed = sum(map(counts.__getitem__, tokens))
+        size, n, n_words = _lane(packed, _CHARS), len(tokens), _lane(packed, _WORDS)
         again = 0
         if n >= 5:
+            low = joined.lower()
             for k in _SENTENCE.split(low) if len(block) == 1 or _wrapped(block) else [x.lower() for x in block]:
                 if len(k) >= 20:
                     k = k.rstrip(".!?;: ")
@@ -173,21 +190,18 @@ def _parts(lines: list[str], own: frozenset[str], any_odd: bool) -> tuple[dict[s
                         repeated += len(k)
                         again += len(k)
                     seen.add(k)
-        share = sum(map(own.__contains__, tokens)) / n
-        per_line = n / len(block)
-        words = long = None
-        if share < 0.1:
-            words = _WORD.findall(low)
-            long = [w for w in words if len(w) > 3]
-        if words == [] or 2 * again > len(joined):
+        share = _lane(packed, common) / max(1, n_words)
+        per_line = n_words / len(block)
+        long = [w for w in _WORD.findall(joined.lower()) if len(w) > 3] if share < 0.1 else None
+        if not n_words or 2 * again > len(joined):
             kind = "junk"
-        elif any_odd and len(_ODD.findall(joined)) > (0.3 if n >= 5 else 0.6) * n:
+        elif _lane(packed, _ODDS) > (0.3 if n >= 5 else 0.6) * n:
             kind = "junk"
-        elif n < 4 and max(map(len, tokens)) >= 30 and not low.startswith(("http", "www")):
+        elif n < 4 and max(map(len, tokens)) >= 30 and not joined.lower().startswith(("http", "www")):
             kind = "junk"  # encoded data
         elif long and sum(1 for w in long if not _VOWEL.search(w)) > 0.3 * len(long):
             kind = "junk"  # letters, but no words
-        elif per_line >= 5 and share >= 0.12 or len(block) == 1 and n >= 4 and share >= 0.1 and _END.search(joined):
+        elif per_line >= 5 and share >= 0.12 or len(block) == 1 and n_words >= 4 and share >= 0.1 and _END.search(joined):
             kind = "prose"
         elif share < 0.02 and n >= 25 and per_line > 12:
             kind = "junk"  # words that no sentence holds together
@@ -213,21 +227,22 @@ def _parts(lines: list[str], own: frozenset[str], any_odd: bool) -> tuple[dict[s
         cells = _cells(line)
         if cells:
             filled = [c.strip() for c in cells if c.strip()]
-            plain = sum(1 for c in filled if len(c) <= 60 and not _ODD.search(c))
+            plain = sum(1 for c in filled if len(c) <= 60 and not any(_lane(counts[t], _ODDS) for t in c.split()))
             if 2 * plain >= len(filled):
                 close()
                 add("table", len(s) - s.count(" "))
                 continue
         if _ITEM.match(line) or _CODED.match(line) and len(s) <= 120 and not s.endswith(".") and not (block and len(block[-1].split()) > 4 and not _END.search(block[-1])):
             close()
-            words = _WORD.findall(s.lower())
-            if len(words) >= 14 and sum(map(own.__contains__, words)) >= 0.2 * len(words):
+            tokens = s.split()
+            packed = sum(map(counts.__getitem__, tokens))
+            n_words = _lane(packed, _WORDS)
+            if n_words >= 14 and _lane(packed, common) >= 0.2 * n_words:
                 block.append(s)  # an item that holds sentences is prose with a mark before it
                 close()
             else:
-                tokens = s.split()
-                odd = len(_ODD.findall(s)) > max(1, 0.5 * len(tokens))
-                add("junk" if odd or not words else "list", len(s) - s.count(" "))
+                odd = _lane(packed, _ODDS) > max(1, 0.5 * len(tokens))
+                add("junk" if odd or not n_words else "list", len(s) - s.count(" "))
             continue
         if block and not _continues(block[-1], s):
             close()
@@ -270,17 +285,16 @@ def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
         common.setdefault(lang, set()).add(word.lower())
     shared = documents.sparkSession.sparkContext.broadcast(common)
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
         for batch in batches:
-            seen = [reader.measure(t or "") for t in batch["text"]]
-            out = pd.DataFrame([s for _, s, _ in seen], columns=list(STATISTICS), dtype="float64")
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            out.insert(1, "language", [x for x, _, _ in seen])
-            out["part"] = [PARTS[max(range(len(PARTS)), key=lambda i, p=p: (p[i], -i))] for _, _, p in seen]
-            yield out
-
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(measure, f"doc_id bigint, language string, {_LIST}, part string")
+            seen = [reader.measure(t or "") for t in batch.column("text").to_pylist()]
+            values = list(zip(*(s for _, s, _ in seen), strict=True)) or [()] * len(STATISTICS)
+            part = [PARTS[max(range(len(PARTS)), key=lambda i, p=p: (p[i], -i))] for _, _, p in seen]
+            columns = [batch.column("doc_id"), pa.array([x for x, _, _ in seen], pa.string()), *(pa.array(v, pa.float64()) for v in values), pa.array(part, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "language", *STATISTICS, "part"])
+
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(measure, f"doc_id bigint, language string, {_LIST}, part string")
 
 
 #: Least spread of each statistic, in its own unit; where prose hardly varies a smaller one would make every trifle count.
