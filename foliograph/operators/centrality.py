@@ -50,7 +50,7 @@ def pagerank(edges: DataFrame, damping: float = 0.85, max_iterations: int = 50,
         got = shares.join(rank.select(F.col("node").alias("src"), "r"), "src").groupBy("dst").agg(F.sum(F.col("share") * F.col("r")).alias("in"))
         base = (1 - damping) / n + damping * loose / n
         new = rank.join(got, rank["node"] == got["dst"], "left").select("node", "gives", (F.lit(base) + damping * F.coalesce("in", F.lit(0.0))).alias("new"), F.col("r").alias("old"))
-        new = cut(new)
+        new = cut(new, forget=True)
         change = new.agg(F.sum(F.abs(F.col("new") - F.col("old")))).first()[0]
         rank = new.select("node", "gives", F.col("new").alias("r"))
         if change < tolerance:
@@ -93,16 +93,16 @@ def communities(edges: DataFrame, rounds: int = 10, levels: int = 3) -> DataFram
         if labels.filter("node <> label").isEmpty():
             break
         to = labels.select(F.col("node").alias("community"), "label")
-        member = cut(member.join(to, "community").select("node", F.col("label").alias("community")))
+        member = cut(member.join(to, "community").select("node", F.col("label").alias("community")), forget=True)
         a, b = labels.select(F.col("node").alias("src"), F.col("label").alias("s")), labels.select(F.col("node").alias("dst"), F.col("label").alias("d"))
-        graph = cut(graph.join(a, "src").join(b, "dst").groupBy(F.col("s").alias("src"), F.col("d").alias("dst")).agg(F.sum("w").alias("w")))
+        graph = cut(graph.join(a, "src").join(b, "dst").groupBy(F.col("s").alias("src"), F.col("d").alias("dst")).agg(F.sum("w").alias("w")), forget=True)
     least = member.groupBy("community").agg(F.min("node").alias("least"))
     return member.join(least, "community").select("node", F.col("least").alias("community"))
 
 
 def _moved(graph: DataFrame, total: float, rounds: int) -> DataFrame:
     """(node, label) after rounds of moves in one level."""
-    degree = cut(graph.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k")))
+    degree = cut(graph.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k")), forget=True)
     labels = degree.select("node", "k", F.col("node").alias("label"))
     for i in range(rounds):
         mass = labels.groupBy(F.col("label").alias("to")).agg(F.sum("k").alias("mass"))
@@ -114,7 +114,7 @@ def _moved(graph: DataFrame, total: float, rounds: int) -> DataFrame:
         order = F.col("to") <= F.col("label") if i % 2 == 0 else F.col("to") >= F.col("label")
         best = options.filter(order).select("node", "k", "label", "to", gain.alias("gain"), (F.col("to") == F.col("label")).alias("stay"))
         best = best.groupBy("node", "k", "label").agg(F.min(F.struct((-F.col("gain")).alias("loss"), (~F.col("stay")).alias("moves"), F.col("to"))).alias("x"))
-        new = cut(best.select("node", "k", F.col("x.to").alias("label"), (F.col("x.to") != F.col("label")).alias("moved")))
+        new = cut(best.select("node", "k", F.col("x.to").alias("label"), (F.col("x.to") != F.col("label")).alias("moved")), forget=True)
         labels = new.drop("moved")
         if i % 2 and new.filter("moved").isEmpty():
             break

@@ -21,9 +21,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("m"))
         low = labels.join(near, labels["node"] == near["a"]).select("node", F.col("component").alias("old"), F.least("component", "m").alias("component"))
-        low = cut(low)
+        low = cut(low, forget=True)
         to = low.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        labels = cut(low.join(to, "component").select("node", "old", F.col("next").alias("component")))
+        labels = cut(low.join(to, "component").select("node", "old", F.col("next").alias("component")), forget=True)
         if labels.filter("component <> old").isEmpty():
             return labels.select("node", "component")
         labels = labels.drop("old")

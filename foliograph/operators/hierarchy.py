@@ -38,7 +38,7 @@ def _endless(links: DataFrame) -> tuple[DataFrame, int]:
     left, rounds = pairs.select("node").distinct().count(), 0
     while left:
         above = pairs.select(F.col("node").alias("up"), F.col("up").alias("top"))
-        pairs = cut(pairs.join(above, "up").select("node", F.col("top").alias("up")).distinct())
+        pairs = cut(pairs.join(above, "up").select("node", F.col("top").alias("up")).distinct(), forget=True)
         rounds += 1
         now = pairs.select("node").distinct().count()
         if now == left:
@@ -64,7 +64,7 @@ def _loops(links: DataFrame, endless: DataFrame) -> DataFrame:
     image = -1
     while True:
         above = ptr.select(F.col("node").alias("up"), F.col("up").alias("top"), F.col("low").alias("top_low"))
-        step = cut(ptr.join(above, "up").select("node", F.col("top").alias("up"), F.least("low", "top_low").alias("low"), (F.col("top_low") < F.col("low")).alias("fell")))
+        step = cut(ptr.join(above, "up").select("node", F.col("top").alias("up"), F.least("low", "top_low").alias("low"), (F.col("top_low") < F.col("low")).alias("fell")), forget=True)
         now, fell = step.agg(F.countDistinct("up"), F.count_if("fell")).first()
         ptr = step.drop("fell")
         if now == image and not fell:
@@ -95,7 +95,7 @@ def _trees(nodes: DataFrame, links: DataFrame, endless: DataFrame, rounds: int)
             "node_id", F.col("top").alias("up"), (F.col("dist") + F.col("more")).alias("dist"),
             F.concat("head", F.slice("path", F.lit(2), F.size("path"))).alias("path"), F.col("top_done").alias("done"),
         )
-        ptr = cut(ptr.filter("done").unionByName(moved))
+        ptr = cut(ptr.filter("done").unionByName(moved), forget=True)
     return ptr.select("node_id", F.col("up").alias("root_id"), F.col("dist").alias("depth"), "path")
 
 

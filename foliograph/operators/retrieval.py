@@ -26,7 +26,7 @@ def coerce_ids(ids: str | list[str] | None) -> list[str]:
 def id_column(ids: Column) -> Column:
     """coerce_ids for a column of JSON lists or single ids."""
     listed = F.coalesce(F.from_json(F.when(ids.rlike(r"^\s*\["), ids), "array<string>"), F.array(ids))
-    return F.slice(F.array_distinct(F.filter(F.transform(listed, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))), 1, MAX_IDS)
+    return F.slice(F.array_distinct(F.filter(F.transform(listed, T.strip), lambda x: x.isNotNull() & (x != ""))), 1, MAX_IDS)
 
 
 def section_hits(hits: DataFrame, sections: DataFrame, mentions: DataFrame, names: DataFrame, snippet: int = 400) -> DataFrame:

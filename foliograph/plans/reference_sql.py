@@ -82,12 +82,12 @@ _UNIT = "list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[])"
 
 def _rounds(n: int) -> str:
     """Ten rounds written out: aggregation over the whole of the round before is plainer this way than in recursion."""
-    out = [f"{_XREF}, nodes AS (SELECT src AS node FROM xref UNION SELECT dst FROM xref), size AS (SELECT count(*)::DOUBLE AS n FROM nodes)"]
-    out.append("outs AS (SELECT src, count(*)::DOUBLE AS k FROM xref GROUP BY src), steps AS (SELECT x.src, x.dst, 1 / o.k AS share FROM xref x JOIN outs o ON o.src = x.src)")
+    out = [f"{_XREF}, nodes AS MATERIALIZED (SELECT src AS node FROM xref UNION SELECT dst FROM xref), size AS MATERIALIZED (SELECT count(*)::DOUBLE AS n FROM nodes)"]
+    out.append("outs AS MATERIALIZED (SELECT src, count(*)::DOUBLE AS k FROM xref GROUP BY src), steps AS MATERIALIZED (SELECT x.src, x.dst, 1 / o.k AS share FROM xref x JOIN outs o ON o.src = x.src)")
     out.append("r0 AS (SELECT node, 1 / n AS r FROM nodes, size)")
     for i in range(1, n + 1):
         out.append(
-            f"r{i} AS (SELECT m.node, (SELECT 0.15 / n + 0.85 * coalesce((SELECT sum(r) FROM r{i - 1} WHERE node NOT IN (SELECT src FROM outs)), 0) / n FROM size) + 0.85 * coalesce(g.s, 0) AS r "
+            f"r{i} AS MATERIALIZED (SELECT m.node, (SELECT 0.15 / n + 0.85 * coalesce((SELECT sum(r) FROM r{i - 1} WHERE node NOT IN (SELECT src FROM outs)), 0) / n FROM size) + 0.85 * coalesce(g.s, 0) AS r "
             f"FROM nodes m LEFT JOIN (SELECT t.dst, sum(t.share * p.r) AS s FROM steps t JOIN r{i - 1} p ON p.node = t.src GROUP BY t.dst) g ON g.dst = m.node)"
         )
     return ", ".join(out)
@@ -119,7 +119,7 @@ SQL: dict[str, str] = {
         FROM pages WHERE NOT is_contents_page AND {words("text")} >= 10""",
     "o09_content_key": "SELECT doc_id, left(sha256('m' || chr(0) || '64' || chr(0) || coalesce(text, '')), 32) AS key FROM documents",
     "o27_salvage": "SELECT record_id, json_valid(payload) AS usable FROM raw_documents",
-    "o29_ids": "SELECT mention_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(section_ids, lambda x: trim(x)), lambda x: x <> ''))), ',') AS ids FROM extractions",
+    "o29_ids": "SELECT mention_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(section_ids, lambda x: trim(x, ' ' || chr(160))), lambda x: x <> ''))), ',') AS ids FROM extractions",
     "o30_snippets": """SELECT doc_id, left(text, 400) AS snippet, CASE WHEN length(s) > 40 THEN rtrim(left(s, 39)) || '…' ELSE s END AS label, length(text) > 12000 AS truncated
         FROM (SELECT doc_id, text, trim(regexp_replace(text, '[\\s\\x{00A0}\\x{2007}\\x{202F}\\x{2028}\\x{2029}\\x{3000}]+', ' ', 'g')) AS s FROM documents)""",
     "o33_child_titles_held": "SELECT page_id FROM sections WHERE len(list_filter(child_sections, lambda c: contains(text, c.title))) > 0",

@@ -40,7 +40,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="foliograph-ckpt-"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared checkpoint folder; later stages read it from there, whatever executors are lost."""
+def cut(df: DataFrame, forget: bool = False) -> DataFrame:
+    """Materialise df in the shared checkpoint folder; later stages read it from there, whatever executors are lost.
+
+    A checkpoint keeps what the optimizer had inferred about its rows. In long loops such constraints multiply with
+    every round; with forget they are left behind.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.checkpoint(eager=True)
+    if not forget:
+        return kept
+    session = kept.sparkSession
+    return DataFrame(session._jsparkSession.internalCreateDataFrame(kept._jdf.queryExecution().toRdd(), kept._jdf.schema(), False), session)
