@@ -147,4 +147,6 @@ class Listing(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Makes the source known; its filters are pushed down only where the session allows Python sources to."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(Listing)
