@@ -195,8 +195,14 @@ class _Density:
 _SKIP = frozenset(["script", "style", "head", "noscript", "template"])
 
 
-def _inline(node: Node) -> str:
+#: Nesting from which on elements are read as the text they hold.
+_DEEP = 150
+
+
+def _inline(node: Node, depth: int = 0) -> str:
     """Text of a node that holds no blocks, as it runs on, breaks as line ends."""
+    if depth > _DEEP:
+        return "".join(node.strings())
     parts = []
     for c in node.children:
         if isinstance(c, str):
@@ -204,7 +210,7 @@ def _inline(node: Node) -> str:
         elif c.name == "br":
             parts.append("\n")
         elif c.name not in _SKIP:
-            parts.append(_inline(c))
+            parts.append(_inline(c, depth + 1))
     return "".join(parts)
 
 
@@ -215,6 +221,9 @@ def _render(node: Node, out: list[str], drop: set[int], depth: int = 0) -> None:
             continue
         if id(child) in drop or child.name in _SKIP:
             continue
+        if depth > _DEEP:
+            out[-1] += "".join(child.strings())
+            continue
         name = child.name
         if name == "table":
             rows = [[clean_line(_inline(c).replace("\n", " ")) for c in tr.children if isinstance(c, Node) and c.name in ("td", "th")] for tr in child.find_all("tr")]

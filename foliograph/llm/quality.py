@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -347,15 +347,15 @@ def outlierness(stats: DataFrame, model: dict[str, tuple[np.ndarray, np.ndarray]
     def row(values: list[float]) -> Column:
         return F.array(*(F.lit(float(v)) for v in values))
 
-    def by_language(pick) -> Column:  # noqa: ANN001
-        out = F.lit(None)
+    def by_language(pick: Callable[[tuple[np.ndarray, np.ndarray]], Column], kind: str) -> Column:
+        out = F.lit(None).cast(kind)
         for lang, m in sorted(model.items()):
             out = F.when(F.col("language") == lang, pick(m)).otherwise(out)
         return out
 
     x = F.array(*(F.col(s) for s in STATISTICS))
-    off = stats.withColumn("off", F.zip_with(x, by_language(lambda m: row(m[0])), lambda a, b: a - b))
-    off = off.withColumn("weights", by_language(lambda m: F.array(*(row(r) for r in m[1]))))
+    off = stats.withColumn("off", F.zip_with(x, by_language(lambda m: row(m[0]), "array<double>"), lambda a, b: a - b))
+    off = off.withColumn("weights", by_language(lambda m: F.array(*(row(r) for r in m[1])), "array<array<double>>"))
     lean = F.transform("weights", lambda w: F.aggregate(F.zip_with(w, F.col("off"), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
     part = off.withColumn("c", F.zip_with(F.col("off"), lean, lambda a, b: a * b))
     total = F.aggregate("c", F.lit(0.0), lambda s, v: s + v)
