@@ -103,11 +103,13 @@ def clean_line(s: str) -> str:
     return _INNER_BLANKS.sub(" ", s).strip()
 
 
-def _without(node: Node, *names: str) -> None:
-    node.children = [c for c in node.children if not (isinstance(c, Node) and c.name in names)]
-    for c in node.children:
-        if isinstance(c, Node):
-            _without(c, *names)
+def _without(root: Node, *names: str) -> None:
+    for node in [root, *root.walk()]:
+        node.children = [c for c in node.children if not (isinstance(c, Node) and c.name in names)]
+
+
+#: Nesting from which on elements are read as the text they hold.
+_DEEP = 150
 
 
 class _Lines:
@@ -143,7 +145,7 @@ class _Lines:
             self.line(f"{'-' if node.name == 'ul' else f'{i}.'} {li.text()}")
         self.gap()
 
-    def add(self, node: Node) -> None:
+    def add(self, node: Node, depth: int = 0) -> None:
         for child in node.children:
             if isinstance(child, str):
                 self.line(child)
@@ -157,8 +159,10 @@ class _Lines:
                 self.gap()
             elif child.name == "br":
                 self.gap()
+            elif depth > _DEEP:
+                self.inline(child.text())
             elif any(n.name in STRUCTURE for n in child.walk()):
-                self.add(child)
+                self.add(child, depth + 1)
             elif child.name in BLOCKS:
                 self.line(child.text())
                 self.gap()
