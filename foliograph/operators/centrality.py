@@ -63,13 +63,29 @@ def normalised(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column) / df.agg(F.max(column)).scalar())
 
 
+def global_numbers(df: DataFrame, order: list[Column], column: str) -> DataFrame:
+    """df with `column`, its rows numbered from 0 in a total order, without one task that sees them all.
+
+    The rows are sorted by ranges and kept; numbers run within a range, and each range starts where the ones before
+    it end. The driver gets one count per range.
+    """
+    ranges = cut(df.orderBy(*order).withColumn("_range", F.spark_partition_id()))
+    counts = sorted((r[0], r[1]) for r in ranges.groupBy("_range").count().collect())
+    starts, at = [], 0
+    for name, n in counts:
+        starts += [F.lit(name), F.lit(at).cast("bigint")]
+        at += n
+    number = F.row_number().over(W.partitionBy("_range").orderBy(*order)) - 1
+    first = F.element_at(F.create_map(*starts), F.col("_range")) if starts else F.lit(0).cast("bigint")
+    return ranges.withColumn(column, first + number).drop("_range")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component, component_size); components are numbered from 0 by size, the greatest first, then by their
     smallest node."""
     labels = cut(connected_components(edges))
     sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("component_size"))
-    # one row per component; numbering them is the only ordered step
-    numbered = sizes.withColumn("number", (F.row_number().over(W.orderBy(F.desc("component_size"), "component")) - 1).cast("bigint"))
+    numbered = global_numbers(sizes, [F.desc("component_size"), F.asc("component")], "number")
     return labels.join(numbered, "component").select("node", F.col("number").alias("component"), "component_size")
 
 

@@ -51,6 +51,11 @@ def greedy_chunks(docs: DataFrame, budget: int = 1200, group: str = "slug", orde
     return rows.mapInPandas(pack, f"{group} {kinds[group]}, {order} {kinds[order]}, piece_no int, first_word int, n_words int, chunk_no int")
 
 
+def first_chunks(chunks: DataFrame, n: int) -> DataFrame:
+    """The first n chunks of each document."""
+    return chunks.filter(F.col("chunk_no") < n)
+
+
 def piece_text(text: Column, first_word: Column, n_words: Column) -> Column:
     """Words of a piece joined by single blanks."""
     words = F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")

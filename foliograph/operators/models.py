@@ -9,7 +9,7 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliograph.functions import text as T
@@ -88,7 +88,7 @@ def extract_all(chunks: DataFrame, make: Callable[[], Extractor], max_splits: in
     return chunks.select("key", "prompt").mapInPandas(run, "key string, result string, error string")
 
 
-def embedding_text(head: str, body: str) -> F.Column:
+def embedding_text(head: str, body: str) -> Column:
     """`head`, a blank line, and `body`; only the body without a head."""
     h, b = F.coalesce(F.col(head), F.lit("")), F.coalesce(F.col(body), F.lit(""))
     return F.when(h == "", b).otherwise(F.concat(h, F.lit("\n\n"), b))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from foliograph.operators import hierarchy as H
 from foliograph.operators import nested as N
 from foliograph.operators import references as R
-from foliograph.session import read
+from foliograph.session import cut, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +31,7 @@ def p1_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _tree(spark: SparkSession, d: str) -> DataFrame:
-    pages = H.cut(H.newest_pages(read(spark, d, "sections")))
+    pages = cut(H.newest_pages(read(spark, d, "sections")))
     return H.hierarchy(pages, H.contents_links(pages))
 
 

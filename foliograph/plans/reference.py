@@ -151,6 +151,19 @@ def o36_chunks(spark: SparkSession, d: str) -> DataFrame:
     return chunking.greedy_chunks(_sized(spark, d), budget=400)
 
 
+@query
+def o13_dry_run(spark: SparkSession, d: str) -> DataFrame:
+    """What a run would do, without doing it: sections, chunks and words per manual."""
+    chunks = chunking.greedy_chunks(_sized(spark, d), budget=400)
+    return chunks.groupBy("slug").agg(F.countDistinct("pos").alias("sections"), F.countDistinct("chunk_no").alias("chunks"), F.sum("n_words").alias("words"))
+
+
+@query
+def o40_first_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """The first three chunks of each manual: the cap of a trial run."""
+    return chunking.first_chunks(chunking.greedy_chunks(_sized(spark, d), budget=400), 3)
+
+
 @query
 def o37_halves(spark: SparkSession, d: str) -> DataFrame:
     chunks = chunking.greedy_chunks(_sized(spark, d), budget=400)

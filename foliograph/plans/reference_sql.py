@@ -125,6 +125,8 @@ SQL: dict[str, str] = {
     "o33_child_titles_held": "SELECT page_id FROM sections WHERE len(list_filter(child_sections, lambda c: contains(text, c.title))) > 0",
     "o35_guarded_sql": "SELECT format, count(*)::BIGINT AS n FROM manuals GROUP BY format",
     "o36_chunks": f"WITH RECURSIVE {_SIZED} SELECT slug, pos, piece_no, first_word, n_words, chunk_no FROM pieces",
+    "o13_dry_run": f"""WITH RECURSIVE {_SIZED} SELECT slug, count(DISTINCT pos)::BIGINT AS sections, count(DISTINCT chunk_no)::BIGINT AS chunks, sum(n_words)::BIGINT AS words FROM pieces GROUP BY slug""",
+    "o40_first_chunks": f"WITH RECURSIVE {_SIZED} SELECT slug, pos, piece_no, first_word, n_words, chunk_no FROM pieces WHERE chunk_no < 3",
     "o37_halves": f"""WITH RECURSIVE {_SIZED}, grouped AS (
         SELECT slug || '#' || chunk_no AS chunk, (pos - min(pos) OVER (PARTITION BY slug, chunk_no))::INTEGER AS pos, n_words, count(*) OVER (PARTITION BY slug, chunk_no) AS n FROM pieces)
         SELECT chunk, pos, 0 AS first_word, n_words, (CASE WHEN pos < n // 2 THEN 0 ELSE 1 END)::INTEGER AS half FROM grouped WHERE n > 1
@@ -185,3 +187,10 @@ SQL: dict[str, str] = {
     "o54_answer_subgraph": f"""WITH {_SHARED}, {_DISCUSS}, best AS (SELECT key FROM discuss GROUP BY key ORDER BY sum(mentions) DESC, key LIMIT 100)
         SELECT src, dst, mentions FROM shared WHERE src IN (SELECT key FROM best) AND dst IN (SELECT key FROM best) ORDER BY mentions DESC, src, dst LIMIT 50""",
 }
+SQL["o65_summary"] = f"""WITH {_MENTION}, {_UPSERT}, {_DISCUSS}, kids AS ({f'SELECT DISTINCT src, dst FROM (SELECT node_id AS src, coalesce({_segment("x.section_id")}, {_segment("x.base_path")}) AS dst FROM (SELECT node_id, unnest(child_sections) AS x FROM pages)) WHERE src <> dst AND dst IN (SELECT node_id FROM pages)'}),
+    links AS (SELECT DISTINCT src, dst FROM (SELECT node_id AS src, {_HREF} AS dst FROM (SELECT node_id, unnest(cross_references) AS x FROM pages)) WHERE src <> dst AND dst IN (SELECT node_id FROM pages)),
+    files AS (SELECT DISTINCT node_id, a.url AS url FROM (SELECT node_id, unnest(attachments) AS a FROM pages) WHERE a.url IS NOT NULL)
+    SELECT 'documents' AS table_name, count(*)::BIGINT AS n FROM manuals UNION ALL SELECT 'sections', count(*) FROM pages UNION ALL SELECT 'attachments', count(DISTINCT url) FROM files
+    UNION ALL SELECT 'entities', count(*) FROM upsert UNION ALL SELECT 'has_section', count(*) FROM pages UNION ALL SELECT 'next', count(*) - count(DISTINCT slug) FROM pages
+    UNION ALL SELECT 'has_child', count(*) FROM kids UNION ALL SELECT 'cross_references', count(*) FROM links UNION ALL SELECT 'has_attachment', count(*) FROM files
+    UNION ALL SELECT 'mentioned_in', count(*) FROM mention UNION ALL SELECT 'discusses', count(*) FROM discuss UNION ALL SELECT 'entity_edges', 0"""
