@@ -45,13 +45,14 @@ def pagerank(edges: DataFrame, damping: float = 0.85, max_iterations: int = 50,
     if not n:
         return nodes.select("node", F.lit(0.0).alias("pagerank"))
     rank = nodes.select("node", "gives", F.lit(1.0 / n).alias("r"))
+    loose = nodes.filter("gives is null").count() / n
     for _ in range(max_iterations):
-        loose = rank.filter("gives is null").agg(F.coalesce(F.sum("r"), F.lit(0.0))).first()[0]
         got = shares.join(rank.select(F.col("node").alias("src"), "r"), "src").groupBy("dst").agg(F.sum(F.col("share") * F.col("r")).alias("in"))
         base = (1 - damping) / n + damping * loose / n
         new = rank.join(got, rank["node"] == got["dst"], "left").select("node", "gives", (F.lit(base) + damping * F.coalesce("in", F.lit(0.0))).alias("new"), F.col("r").alias("old"))
         new = cut(new, forget=True)
-        change = new.agg(F.sum(F.abs(F.col("new") - F.col("old")))).first()[0]
+        # what the next round spreads evenly, and how far this one moved, in one pass
+        loose, change = new.agg(F.coalesce(F.sum(F.when(F.col("gives").isNull(), F.col("new"))), F.lit(0.0)), F.sum(F.abs(F.col("new") - F.col("old")))).first()
         rank = new.select("node", "gives", F.col("new").alias("r"))
         if change < tolerance:
             break
