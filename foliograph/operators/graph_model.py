@@ -73,13 +73,15 @@ def attachment_nodes(nodes: DataFrame) -> DataFrame:
     return rows.groupBy(F.col("a.url").alias("url")).agg(F.max(F.struct("a.title", "a.content_type")).alias("x")).select("url", "x.title", "x.content_type", F.lit(None).cast("bigint").alias("file_size"))
 
 
-def shared_section_edges(mentions: DataFrame) -> DataFrame:
-    """(src, dst, weight), src < dst: entities by the number of pages that mention both, of pages named by two or more.
+def lead_edges(mentions: DataFrame) -> DataFrame:
+    """(src, dst, weight): the first entity, by key, of each page to the others the page mentions, by number of pages.
 
-    Pairs come from pages, whose entities are few; a page is one group of the join, never collected.
+    One edge per mention rather than one per pair, so a page that mentions very many entities costs no more than they
+    do; the first entity of a page is an aggregate that combines before the shuffle.
     """
-    a, b = mentions.select(F.col("src"), F.col("dst").alias("page")), mentions.select(F.col("src").alias("dst"), F.col("dst").alias("page"))
-    return a.join(b, "page").filter("src < dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
+    lead = mentions.groupBy(F.col("dst").alias("page")).agg(F.min("src").alias("lead"))
+    on = mentions.select(F.col("src").alias("other"), F.col("dst").alias("page")).join(lead, "page").filter("other <> lead")
+    return on.groupBy(F.col("lead").alias("src"), F.col("other").alias("dst")).agg(F.count(F.lit(1)).alias("weight"))
 
 
 def build(manuals: DataFrame, sections: DataFrame, entities: DataFrame, relationships: DataFrame | None = None) -> Graph:

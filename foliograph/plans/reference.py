@@ -32,7 +32,9 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def o01_first_seen(spark: SparkSession, d: str) -> DataFrame:
-    return listing.first_seen(read(spark, d, "documents").select("doc_id", "text", "source", "n_chars"), ["text"], ["doc_id"]).drop("text")
+    """The first document of each text; digests are shuffled instead of texts."""
+    rows = read(spark, d, "documents").select("doc_id", "source", "n_chars", F.sha2("text", 256).alias("digest"))
+    return listing.first_seen(rows, ["digest"], ["doc_id"]).drop("digest")
 
 
 @query
@@ -353,9 +355,9 @@ def _page_edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _shared(spark: SparkSession, d: str) -> DataFrame:
-    """Typed edges between entities that share pages."""
+    """Typed edges between the entities that pages mention together."""
     mentions = graph_model.mention_edges(read(spark, d, "entities"), _pages(spark, d))
-    return graph_model.shared_section_edges(mentions).select("src", "dst", F.lit("PART_OF").alias("type"), F.col("weight").alias("mentions"))
+    return graph_model.lead_edges(mentions).select("src", "dst", F.lit("PART_OF").alias("type"), F.col("weight").alias("mentions"))
 
 
 @query
@@ -456,7 +458,7 @@ def o50_strongest_edges(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def o49_evidence_sections(spark: SparkSession, d: str) -> DataFrame:
-    """Edges between entities that share pages, with the first page that mentions both and holds a definition."""
+    """Edges between entities that pages mention together, with the first page that mentions both and holds a definition."""
     entities = read(spark, d, "entities")
     pages = _pages(spark, d)
     mentions = graph_model.mention_edges(entities, pages)

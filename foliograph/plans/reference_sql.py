@@ -37,7 +37,7 @@ _MENTION = f"""{_PAGES}, mention AS (
   SELECT DISTINCT src, dst FROM (SELECT key AS src, {_segment("trim(x, ' []' || chr(160))")} AS dst FROM (SELECT key, unnest(section_ids) AS x FROM entities WHERE key IS NOT NULL))
   WHERE dst IN (SELECT node_id FROM pages))"""
 _SHARED = f"""{_MENTION}, shared AS (
-  SELECT a.src, b.src AS dst, count(*)::BIGINT AS mentions FROM mention a JOIN mention b ON a.dst = b.dst AND a.src < b.src GROUP BY 1, 2)"""
+  SELECT l.src, m.src AS dst, count(*)::BIGINT AS mentions FROM mention m JOIN (SELECT dst, min(src) AS src FROM mention GROUP BY dst) l ON l.dst = m.dst AND l.src <> m.src GROUP BY 1, 2)"""
 _DISCUSS = f"""discuss AS (
   SELECT slug, key, max({rank("lower(trim(salience))")}) AS r, sum(mentions)::BIGINT AS mentions FROM entities WHERE key IS NOT NULL GROUP BY 1, 2)"""
 _PROPS = f"""{_PAGES}, props AS (
