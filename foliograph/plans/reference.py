@@ -127,9 +127,12 @@ def o30_snippets(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query
-def o33_child_titles_held(spark: SparkSession, d: str) -> DataFrame:
-    """Pages whose text holds a child's title: containment restricted by the page it is in."""
-    return read(spark, d, "sections").filter(F.exists("child_sections", lambda c: F.contains("text", c["title"]))).select("page_id")
+def o33_quotes_held(spark: SparkSession, d: str) -> DataFrame:
+    """Mentions whose definition holds their name or an alias, with the quotes it holds."""
+    quotes = F.array_distinct(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>"))))
+    held = F.filter(quotes, lambda q: F.contains("definition", q))
+    rows = read(spark, d, "extractions").select("mention_id", held.alias("held")).filter(F.size("held") > 0)
+    return rows.select("mention_id", F.array_join(F.array_sort("held"), "; ").alias("held"))
 
 
 @query

@@ -122,7 +122,8 @@ SQL: dict[str, str] = {
     "o29_ids": "SELECT mention_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(section_ids, lambda x: trim(x, ' ' || chr(160))), lambda x: x <> ''))), ',') AS ids FROM extractions",
     "o30_snippets": """SELECT doc_id, left(text, 400) AS snippet, CASE WHEN length(s) > 40 THEN rtrim(left(s, 39)) || '…' ELSE s END AS label, length(text) > 12000 AS truncated
         FROM (SELECT doc_id, text, trim(regexp_replace(text, '[\\s\\x{00A0}\\x{2007}\\x{202F}\\x{2028}\\x{2029}\\x{3000}]+', ' ', 'g')) AS s FROM documents)""",
-    "o33_child_titles_held": "SELECT page_id FROM sections WHERE len(list_filter(child_sections, lambda c: contains(text, c.title))) > 0",
+    "o33_quotes_held": """SELECT mention_id, array_to_string(list_sort(held), '; ') AS held FROM (
+        SELECT mention_id, list_filter(list_distinct(list_concat([name], coalesce(aliases, []))), lambda q: contains(definition, q)) AS held FROM extractions) WHERE len(held) > 0""",
     "o35_guarded_sql": "SELECT format, count(*)::BIGINT AS n FROM manuals GROUP BY format",
     "o36_chunks": f"WITH RECURSIVE {_SIZED} SELECT slug, pos, piece_no, first_word, n_words, chunk_no FROM pieces",
     "o13_dry_run": f"""WITH RECURSIVE {_SIZED} SELECT slug, count(DISTINCT pos)::BIGINT AS sections, count(DISTINCT chunk_no)::BIGINT AS chunks, sum(n_words)::BIGINT AS words FROM pieces GROUP BY slug""",

@@ -163,6 +163,37 @@ def test_retrieval(spark):
     assert retrieval.strongest_edges(e, 1).filter("node = 'a'").count() == 1
 
 
+def test_evidence(spark):
+    e = spark.createDataFrame([("a", "b", "REQUIRES", ["quote one", "other"]), ("a", "c", "REQUIRES", ["quote one"]), ("a", "d", "REQUIRES", None)], "src string, dst string, type string, evidence array<string>")
+    m = spark.createDataFrame([("a", "p2"), ("b", "p2"), ("a", "p1"), ("b", "p1"), ("c", "p3")], "src string, dst string")
+    pages = spark.createDataFrame([("p1", "has the other in it"), ("p2", "has quote one"), ("p3", "quote one"), ("p4", None)], "node_id string, text string")
+    assert [tuple(r) for r in retrieval.evidence_sections(e, m, pages).collect()] == [("a", "b", "REQUIRES", "p1", "other")]
+    mentions = spark.createDataFrame([("a", "p1"), ("b", "p1"), ("c", "p1"), ("a", "p2"), ("b", "p2")], "src string, dst string")
+    assert sorted(tuple(r) for r in graph_model.lead_edges(mentions).collect()) == [("a", "b", 2), ("a", "c", 1)]
+
+
+def test_section_hits(spark):
+    hits = spark.createDataFrame([("p1", 0.98765), ("p9", 0.5)], "id string, score double")
+    pages = spark.createDataFrame([("p1", "T", "m", "text " * 200)], "node_id string, title string, slug string, text string")
+    m = spark.createDataFrame([("a", "p1"), ("b", "p1")], "src string, dst string")
+    names = spark.createDataFrame([("a", "A"), ("b", "B")], "key string, name string")
+    got = {r.id: r for r in retrieval.section_hits(hits, pages, m, names).collect()}
+    assert (got["p1"].score, got["p1"].entities, len(got["p1"].text)) == (0.9877, "A; B", 400) and got["p9"].title is None and got["p9"].entities == ""
+
+
+def test_build(spark):
+    from foliograph.session import read
+
+    import os
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        pytest.skip("no test data")
+    g = graph_model.build(read(spark, d, "manuals"), read(spark, d, "sections"), read(spark, d, "entities"))
+    n = {r.table_name: r.n for r in graph_model.summary(g).collect()}
+    assert n["documents"] == 60 and n["has_section"] == n["sections"] > 0 and n["entity_edges"] == 0
+
+
 def test_guard(spark):
     df = spark.createDataFrame([(1,), (2,)], "x int")
     assert retrieval.guarded_sql(spark, "select count(*) as n from t where 'drop; delete' <> ''", {"t": df}).first().n == 2
