@@ -292,11 +292,15 @@ def o62_discusses(spark: SparkSession, d: str) -> DataFrame:
     return folds.discusses_upsert(read(spark, d, "entities")).withColumn("salience", F.coalesce("salience", F.lit("")))
 
 
-@query
-def o63_edge_upsert(spark: SparkSession, d: str) -> DataFrame:
+def _edges(spark: SparkSession, d: str) -> DataFrame:
     """Relationship loads folded over all documents: each manual's fold is one load, in the order of the manuals."""
     loads = folds.relationship_fold(_relationships(spark, d)).withColumn("created_from", F.concat("slug", F.lit(".json")))
-    return _joined(folds.edge_upsert(loads, "slug"), "evidence")
+    return folds.edge_upsert(loads, "slug")
+
+
+@query
+def o63_edge_upsert(spark: SparkSession, d: str) -> DataFrame:
+    return _joined(_edges(spark, d), "evidence")
 
 
 @query
@@ -357,12 +361,6 @@ def _page_edges(spark: SparkSession, d: str) -> DataFrame:
     return centrality.weights(graph_model.cross_reference_edges(_pages(spark, d)).withColumn("w", F.lit(1)))
 
 
-def _shared(spark: SparkSession, d: str) -> DataFrame:
-    """Typed edges between the entities that pages mention together."""
-    mentions = graph_model.mention_edges(read(spark, d, "entities"), _pages(spark, d))
-    return graph_model.lead_edges(mentions).select("src", "dst", F.lit("PART_OF").alias("type"), F.col("weight").alias("mentions"))
-
-
 @query
 def o68_weights(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "entities").select(F.col("slug").alias("src"), F.col("key").alias("dst"), F.col("mentions").alias("w"))
@@ -406,9 +404,7 @@ def o67_component_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def o78_projection(spark: SparkSession, d: str) -> DataFrame:
-    entities = folds.entity_upsert(read(spark, d, "entities"))
-    edges = _shared(spark, d).select(F.col("src").alias("source_key"), "type", F.col("dst").alias("target_key"), "mentions")
-    return centrality.projection(edges, entities)
+    return centrality.projection(_edges(spark, d), folds.entity_upsert(read(spark, d, "entities")))
 
 
 # --------------------------------------------------------------------------- retrieval
@@ -454,25 +450,27 @@ def o48_entity_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("key").agg(F.array_join(F.array_sort(F.collect_set("slug")), ",").alias("manuals"), F.sum("mentions").alias("mentions"))
 
 
+def _typed(spark: SparkSession, d: str) -> DataFrame:
+    """Typed edges between entities with their evidence, in the names of the retrieval operators."""
+    return _edges(spark, d).select(F.col("source_key").alias("src"), "type", F.col("target_key").alias("dst"), "mentions", "evidence")
+
+
 @query
 def o50_strongest_edges(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.strongest_edges(_shared(spark, d)).select("node", "other", "mentions", F.col("rank").cast("int").alias("rank"))
+    return retrieval.strongest_edges(_typed(spark, d)).select("node", "other", "type", "mentions", F.col("rank").cast("int").alias("rank"))
 
 
 @query
 def o49_evidence_sections(spark: SparkSession, d: str) -> DataFrame:
-    """Edges between entities that pages mention together, with the first page that mentions both and holds a definition."""
-    entities = read(spark, d, "entities")
+    """Edges between entities, with the first page that mentions both and holds a quote of the edge's evidence."""
     pages = _pages(spark, d)
-    mentions = graph_model.mention_edges(entities, pages)
-    names = folds.entity_upsert(entities).select(F.col("key").alias("src"), F.array("name").alias("evidence"))
-    edges = _shared(spark, d).join(names, "src")
-    return retrieval.evidence_sections(edges, mentions, pages).select("src", "dst", "node_id")
+    mentions = graph_model.mention_edges(read(spark, d, "entities"), pages)
+    return retrieval.evidence_sections(_typed(spark, d), mentions, pages).select("src", "dst", "type", "node_id")
 
 
 @query
 def o51_ego_network(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.ego_network(_shared(spark, d), folds.entity_upsert(read(spark, d, "entities")))
+    return retrieval.ego_network(_typed(spark, d), folds.entity_upsert(read(spark, d, "entities")))
 
 
 @query
@@ -486,4 +484,4 @@ def o52_read_sections(spark: SparkSession, d: str) -> DataFrame:
 def o54_answer_subgraph(spark: SparkSession, d: str) -> DataFrame:
     """The fifty strongest edges between the hundred entities of most mentions: a top-k report."""
     top = folds.discusses_upsert(read(spark, d, "entities")).groupBy("key").agg(F.sum("mentions").alias("m")).orderBy(F.desc("m"), "key").limit(100)
-    return retrieval.answer_subgraph(_shared(spark, d), [r[0] for r in top.collect()]).select("src", "dst", "mentions")
+    return retrieval.answer_subgraph(_typed(spark, d), [r[0] for r in top.collect()]).select("src", "dst", "type", "mentions")
