@@ -71,9 +71,6 @@ class Items:
         starts: list[int] = []
         for item, found in hits.items():
             target = self.words[item]
-            # even with all gaps bridged, this few windows can't add up to the share
-            if len(found) * (WINDOW + SLACK) < share * len(target):
-                continue
             if not words:
                 words = flat.split()
                 starts = [0, *accumulate(len(w) + 1 for w in words)]

@@ -61,3 +61,10 @@ def test_random_edits(spark):
         docs.append((i, " ".join(rng.choices(vocab, k=200) + cut + rng.choices(vocab, k=200))))
         want.add((i, i))
     assert set(run(spark, docs, items)) == want
+
+
+def test_runs_shorter_than_a_window_count(spark):
+    words = [f"w{i}" for i in range(48)]
+    held = words[10:16] + ["changed"] + words[17:22] + ["changed"] + words[23:28]  # runs of 6, 5 and 5: one window
+    text = " ".join(["x"] * 20 + held + ["y"] * 20)
+    assert set(run(spark, [(1, text)], [(1, " ".join(words), "")])) == {(1, 1)}
