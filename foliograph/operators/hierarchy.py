@@ -124,6 +124,50 @@ def descendants(tree: DataFrame) -> DataFrame:
     return at.filter(F.col("level") < F.col("depth")).select("node_id", "descendant_id", (F.col("depth") - F.col("level")).alias("distance"))
 
 
+def _reached(tree: DataFrame, links: DataFrame) -> DataFrame:
+    """(node_id, descendant_id, distance) of the nodes on and below loops and each other node above them.
+
+    distance is the least number of links. A round joins the pairs up to 2**k links apart with those exactly 2**k
+    apart; when it finds no new pair there is none further apart, as a shortest way has pairs at every distance.
+    """
+    endless = tree.filter("depth < 0").select(F.col("node_id").alias("node"))
+    hop = cut(links.filter("child <> parent").select(F.col("child").alias("node"), F.col("parent").alias("up")).distinct())
+    pairs = cut(hop.join(endless, "node", "left_semi").withColumn("distance", F.lit(1)))
+    n, far = pairs.count(), 1
+    while n:
+        above = hop.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        more = pairs.join(above, "up").select("node", F.col("top").alias("up"), (F.col("distance") + far).alias("distance")).filter("node <> up")
+        pairs = cut(pairs.unionByName(more).groupBy("node", "up").agg(F.min("distance").alias("distance")), forget=True)
+        now = pairs.count()
+        if now == n:
+            break
+        hop = cut(hop.join(above, "up").select("node", F.col("top").alias("up")).distinct(), forget=True)
+        n, far = now, 2 * far
+    return pairs.select(F.col("up").alias("node_id"), F.col("node").alias("descendant_id"), "distance")
+
+
+def all_descendants(tree: DataFrame, links: DataFrame) -> DataFrame:
+    """descendants(tree), and those on and below loops by the links. No node is its own descendant."""
+    return descendants(tree).unionByName(_reached(tree, links))
+
+
+def _loop_paths(tree: DataFrame, links: DataFrame) -> DataFrame:
+    """(node_id, path) of the nodes on and below loops: from the first node on a loop above, itself for those on one."""
+    endless = tree.filter("depth < 0").select("node_id", "on_loop")
+    inner = links.join(endless.filter("not on_loop").select(F.col("node_id").alias("child")), "child", "left_semi").join(endless.select(F.col("node_id").alias("parent")), "parent", "left_semi")
+    none = endless.limit(0).select(F.col("node_id").alias("node"))
+    return _trees(endless.select("node_id"), inner, none, endless.count().bit_length()).select("node_id", "path")
+
+
+def with_paths_and_counts(tree: DataFrame, links: DataFrame) -> DataFrame:
+    """tree with path as text and n_descendants, on and below loops too; depth and on_loop tell those apart."""
+    tree = cut(tree)
+    looped = _loop_paths(tree, links).withColumnRenamed("path", "loop_path")
+    counts = all_descendants(tree, links).groupBy("node_id").agg(F.count(F.lit(1)).alias("n"))
+    path = F.array_join(F.coalesce("path", "loop_path"), SEPARATOR).alias("path")
+    return tree.join(looped, "node_id", "left").join(counts, "node_id", "left").select("node_id", "root_id", "depth", path, "on_loop", F.coalesce("n", F.lit(0)).alias("n_descendants"))
+
+
 def with_descendant_counts(tree: DataFrame) -> DataFrame:
     """tree with path as text and n_descendants; 0 for leaves, -1 on and below loops."""
     counts = tree.select(F.posexplode("path").alias("level", "node_id"), "depth").filter(F.col("level") < F.col("depth")).groupBy("node_id").agg(F.count(F.lit(1)).alias("n"))

@@ -30,21 +30,23 @@ def p1_counts(spark: SparkSession, d: str) -> DataFrame:
     return R.orphan_counts(refs, states).select("table_name", "ref_field", F.date_format("period", "yyyy-MM").alias("period"), "fault", "n_refs", "n_targets")
 
 
-def _tree(spark: SparkSession, d: str) -> DataFrame:
+def _tree(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     pages = cut(H.newest_pages(read(spark, d, "sections")))
-    return H.hierarchy(pages, H.contents_links(pages))
+    links = cut(H.contents_links(pages))
+    return H.hierarchy(pages, links), links
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return _tree(spark, d).select("node_id", "root_id", "depth")
+    return _tree(spark, d)[0].select("node_id", "root_id", "depth")
 
 
 def p2_paths(spark: SparkSession, d: str) -> DataFrame:
-    return H.with_descendant_counts(_tree(spark, d))
+    return H.with_paths_and_counts(*_tree(spark, d))
 
 
 def p2_descendants(spark: SparkSession, d: str) -> DataFrame:
-    return H.descendants(_tree(spark, d))
+    tree, links = _tree(spark, d)
+    return H.all_descendants(cut(tree), links)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

@@ -48,3 +48,15 @@ def test_against_walking(spark, seed):
             assert (got[n].root_id, got[n].depth) == (min(seen[seen.index(u) :]), -1)
         else:
             assert (got[n].root_id, got[n].depth, got[n].path) == (u, len(seen), [u, *reversed(seen)])
+
+
+def test_descendants_on_and_below_loops(spark):
+    links = [("b", "a"), ("x", "y"), ("y", "x"), ("y", "b"), ("z", "x"), ("w", "z"), ("s", "s"), ("t", "s")]
+    _, df = run(spark, [*"abxyzwst"], links)
+    below = spark.createDataFrame(links, "child string, parent string")
+    assert {tuple(r) for r in H.all_descendants(df, below).collect()} == {
+        ("a", "b", 1), ("a", "y", 2), ("a", "x", 3), ("a", "z", 4), ("a", "w", 5), ("b", "y", 1), ("b", "x", 2), ("b", "z", 3), ("b", "w", 4),
+        ("x", "y", 1), ("y", "x", 1), ("x", "z", 1), ("x", "w", 2), ("y", "z", 2), ("y", "w", 3), ("z", "w", 1), ("s", "t", 1),
+    }
+    got = {r.node_id: (r.path, r.n_descendants) for r in H.with_paths_and_counts(df, below).collect()}
+    assert got == {"a": ("a", 5), "b": ("a/b", 4), "x": ("x", 3), "y": ("y", 3), "z": ("x/z", 1), "w": ("x/z/w", 0), "s": ("s", 1), "t": ("s/t", 0)}
