@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
+from math import ceil
 
 import ahocorasick
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,14 +19,14 @@ _GAP = re.compile(r"[\W_]+")
 _WORD = re.compile(r"[^\W_]+")
 
 #: Words of a pattern; runs of agreeing words shorter than this occur in stock phrases.
-WINDOW = 6
+WINDOW = 5
 #: Words that may be changed, added or dropped between two runs of one stretch, and the least run on the far side.
 SLACK, FAR_RUN = 2, 3
-#: Agreeing words a stretch needs, and their share of its words. Two texts made to one pattern agree in the fixed
-#: words only, which is less.
+#: Agreeing words a stretch of a long item needs, and their share of its words. Two texts made to one pattern agree in
+#: the fixed words only, which is less.
 STRETCH, DENSITY = 10, 0.85
-#: Characters of items in one automaton; more items are scanned for in blocks.
-BLOCK_CHARS = 8_000_000
+#: Characters of items in one automaton, about 250 bytes of memory each; more items are scanned for in blocks.
+BLOCK_CHARS = 2_000_000
 
 
 def normal(text: str) -> str:
@@ -75,7 +78,7 @@ class Items:
                 words = flat.split()
                 starts = [0, *accumulate(len(w) + 1 for w in words)]
             seeds = sorted((bisect_right(starts, s) - 1, at) for s, at in found)
-            covered, first, last = _chain(_stretches(words, target, seeds), len(target))
+            covered, first, last = _chain(_stretches(words, target, seeds, least_stretch(len(target), share)), len(target))
             if covered >= share * len(target):
                 a, b = _offsets(text, first, last, len(words))
                 out.append((item, round(covered / len(target), 4), a, b, answers.get(item, -1) >= starts[first]))
@@ -108,9 +111,15 @@ def _back(words: list[str], target: list[str], i: int, j: int) -> int:
 _SHIFTS = sorted(((a, b) for a in range(SLACK + 1) for b in range(SLACK + 1) if a or b), key=lambda s: (s[0] + s[1], s))
 
 
-def _stretches(words: list[str], target: list[str], seeds: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
+def least_stretch(size: int, share: float) -> int:
+    """Agreeing words that make a stretch of an item of `size` words: STRETCH, or the share asked for of a short item,
+    but a window at least (the whole of an item shorter than that)."""
+    return min(STRETCH, max(WINDOW, ceil(share * size)), size)
+
+
+def _stretches(words: list[str], target: list[str], seeds: list[tuple[int, int]], least: int) -> list[tuple[int, int, int, int]]:
     """(target from, to, word from, to) of maximal stretches: exact runs from the seeds, carried on both ways over
-    gaps of up to SLACK words on either side. Only those with STRETCH agreeing words, or the whole item, count."""
+    gaps of up to SLACK words on either side. Only those with `least` agreeing words count."""
     out: list[tuple[int, int, int, int]] = []
     done: set[tuple[int, int]] = set()
     for i, j in seeds:
@@ -140,7 +149,7 @@ def _stretches(words: list[str], target: list[str], seeds: list[tuple[int, int]]
                 if (m >= FAR_RUN or m and lo_j - b - m == 0) and agree + m >= DENSITY * (hi_j - lo_j + b + m):
                     lo_i, lo_j, agree, moved = lo_i - a - m, lo_j - b - m, agree + m, True
                     break
-        if agree >= min(STRETCH, len(target)):
+        if agree >= least:
             out.append((lo_j, hi_j, lo_i, hi_i))
     return sorted(set(out))
 
@@ -162,40 +171,52 @@ def _chain(stretches: list[tuple[int, int, int, int]], size: int) -> tuple[int,
 SCHEMA = "item_id bigint, doc_id bigint, share double, start int, end int, answer_follows boolean"
 
 
-def find_leaks(documents: DataFrame, items: DataFrame, share: float = 1 / 3) -> DataFrame:
+def find_leaks(documents: DataFrame, items: DataFrame, share: float = 1 / 3, max_chars: int = 64_000_000) -> DataFrame:
     """(item_id, doc_id, share, start, end, answer_follows) of each item and document that holds enough of it.
 
     share is the part of the item's words that appear in stretches, in the item's order, whatever the layout, case
     and punctuation; a stretch goes on over a word or two changed, added or dropped. start and end are offsets in the
     original text. Null and empty texts and items leak nowhere; copies count each.
 
-    The held-out items are small and of fixed size; their texts are collected, the size is checked, and where they
-    exceed one automaton's budget they are scanned for in several blocks. Documents are read once per block in a
-    narrow pass without shuffle, each text as a whole.
+    The held-out items are a bounded set: their texts are collected, and more than max_chars characters of them are an
+    error. Documents are read in one narrow pass without shuffle, each text as a whole; items that exceed one
+    automaton's budget of BLOCK_CHARS take a pass for each such block, so that a worker never holds two automata.
     """
-    rows = [(r[0], r[1] or "", r[2] or "") for r in items.select("item_id", "text", "answer").filter("text is not null").orderBy("item_id").toLocalIterator()]
     blocks: list[list[tuple[int, str, str]]] = [[]]
-    size = 0
-    for row in rows:
-        size += len(row[1])
+    total = size = 0
+    for item, text, reply in items.select("item_id", "text", "answer").filter("text is not null").orderBy("item_id").toLocalIterator():
+        chars = len(text) + len(reply or "")
+        total, size = total + chars, size + chars
+        if total > max_chars:
+            raise ValueError(f"more than {max_chars} characters of items")
         if size > BLOCK_CHARS and blocks[-1]:
             blocks.append([])
-            size = len(row[1])
-        blocks[-1].append(row)
+            size = chars
+        blocks[-1].append((item, text, reply or ""))
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("text <> ''")
-    out = None
-    for block in blocks:
-        part = _scan(docs, block, share)
-        out = part if out is None else out.unionByName(part)
+    out = _scan(docs, blocks[0], share)
+    for block in blocks[1:]:
+        out = out.unionByName(_scan(docs, block, share))
     return out
 
 
+#: The automaton this worker built last.
+_BUILT: dict[str, Items] = {}
+
+
+def _automaton(name: str, block: Broadcast) -> Items:
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = Items(block.value)
+    return _BUILT[name]
+
+
 def _scan(docs: DataFrame, block: list[tuple[int, str, str]], share: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+    shared, name = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
     names = [f.split()[0] for f in SCHEMA.split(", ")]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Items(shared.value)
+        known = _automaton(name, shared)
         for batch in batches:
             found = [(item, doc, part, a, b, answer) for doc, text in zip(batch["doc_id"], batch["text"], strict=True) for item, part, a, b, answer in known.leaks(text, share)]
             yield pd.DataFrame(found, columns=names)

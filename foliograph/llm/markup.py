@@ -85,8 +85,10 @@ _LATEX = re.compile(
 )
 _PATH = re.compile(r"\b[A-Za-z]:\\[^\s\"'<>|]*")
 
-#: A text without any of these has no residue; tested in the JVM so that plain texts never reach Python.
-TRIGGER = r"(?m)[<`~\\{}\[\]$^]|&[#A-Za-z]|''|\*\*|__|(?<!\w)[*_]\S|==|^\s*(?:#|>|\+|\||!|[=_*-]{3,})"
+#: A text without any of these has no residue; tested in the JVM so that plain texts never reach Python. Every pattern
+#: of a kind needs one of them: brackets, braces, marks that no plain form uses, doubled quotes, stars, lines and equal
+#: signs, a star or line before a word, and at the start of a line its marks or the colon of a column.
+TRIGGER = r"(?m)[<`~\\{}\[\]$^]|&[#A-Za-z]|''|\*\*|__|(?<!\w)[*_]\S|==|^\s*(?:#|>|\+|\||!|:?-{3}|[=_*-]{3,})"
 
 
 def kinds_of(text: str) -> list[str]:

@@ -52,71 +52,92 @@ class _Counts:
             del self.n[size]
             del self.sizes[bisect_left(self.sizes, size)]
 
+    def put(self, size: int, count: int) -> None:
+        if size not in self.n:
+            self.sizes.insert(bisect_left(self.sizes, size), size)
+        self.n[size] = self.n.get(size, 0) + count
+
     def largest(self, limit: int) -> int | None:
         at = bisect_right(self.sizes, limit)
         return self.sizes[at - 1] if at else None
 
-    def smallest(self, k: int) -> list[int]:
+    def smallest(self, k: int, above: int = 0) -> list[int]:
+        """The k smallest items larger than `above`, or as many as there are."""
         out: list[int] = []
-        for s in self.sizes:
+        for s in self.sizes[bisect_right(self.sizes, above) :]:
             out += [s] * min(self.n[s], k - len(out))
             if len(out) == k:
                 break
         return out
 
-    def best_pair(self, room: int) -> tuple[int, int] | None:
-        """Two items of the greatest sum that fits."""
-        lo, hi, best = 0, len(self.sizes) - 1, None
+    def pair_fits(self, room: int, above: int = 0) -> bool:
+        """Whether two items larger than `above` fit into the room together."""
+        two = self.smallest(2, above)
+        return len(two) == 2 and sum(two) <= room
+
+    def best_pair_sum(self, room: int) -> int:
+        """Greatest sum of two items that fits; 0 if no two do."""
+        lo, hi, best = 0, len(self.sizes) - 1, 0
         while lo <= hi:
             a, b = self.sizes[lo], self.sizes[hi]
-            if a + b > room or lo == hi and self.n[a] < 2:
+            if a + b > room:
                 hi -= 1
-                if lo == hi + 1:
-                    break
-                continue
-            if best is None or a + b > sum(best):
-                best = a, b
-            lo += 1
+            elif lo == hi:
+                if self.n[a] > 1:
+                    best = max(best, a + b)
+                break
+            else:
+                best = max(best, a + b)
+                lo += 1
         return best
 
 
 Group = tuple[int, tuple[tuple[int, int], ...]]  # number of containers, (size, items of it) in each
 
 
-def reduce_by_dominance(left: _Counts, capacity: int) -> list[Group]:
-    """Containers that some best packing has (Martello and Toth): sets of up to three items, one of them given, that
-    no other set with that item can beat. They are fixed, for all copies of the sizes at once, until none is found.
+def _companions(rest: _Counts, room: int) -> list[int] | None:
+    """Companions of an item that leaves `room`, such that no other set of companions can beat them; None if there is
+    no verdict. One set beats another if the other's items can be shared out among its own, none overfilled.
 
-    For an item, with the largest companion that fits: nothing fits, so it is alone; the companion fills the container,
-    or no two others fit, or (where no three fit) no two together are larger than it, so the pair stands; or two
-    others fill the container exactly and the companion is no larger than the larger of them, so the three stand.
+    Nothing fits: none. The largest companion that fits fills the room, or no two fit, or (where no three fit) no two
+    together are larger than it: that one. No three fit, and no two that are both larger than the best partner of the
+    largest companion: these two, as each feasible pair has an item no larger than the partner, and the other one is
+    no larger than the largest.
     """
+    first = rest.largest(room)
+    if first is None:
+        return []
+    if first == room or not rest.pair_fits(room):
+        return [first]
+    three = rest.smallest(3)
+    if len(three) == 3 and sum(three) <= room:
+        return None
+    if rest.best_pair_sum(room) <= first:
+        return [first]
+    rest.take(first, 1)
+    second = rest.largest(room - first)
+    rest.put(first, 1)
+    if second is not None and not rest.pair_fits(room, above=second):
+        return [first, second]
+    return None
+
+
+def reduce_by_dominance(left: _Counts, capacity: int) -> list[Group]:
+    """Containers that some best packing has (Martello and Toth): sets of up to three items, one of them given, that
+    no other set with that item can beat. They are fixed, for all copies of the sizes at once (fewer items left can't
+    make another set better), until none is found."""
     fixed: list[Group] = []
     changed = True
     while changed and left.sizes:
         changed = False
         for a in list(reversed(left.sizes)):
             while left.n.get(a):
-                room = capacity - a
                 left.take(a, 1)  # the item itself is no companion of its own
-                b = left.largest(room)
-                small = left.smallest(3)
-                pair = trio = None
-                if b is not None and b != room and not (len(small) < 2 or small[0] + small[1] > room):
-                    if len(small) == 3 and sum(small) <= room:
-                        pair = ()  # four and more may fit: no verdict
-                    else:
-                        trio = left.best_pair(room)
-                        if trio and sum(trio) > b:
-                            pair = () if sum(trio) < room or b > max(trio) else None
-                        else:
-                            trio = None
-                left.n[a] = left.n.get(a, 0) + 1
-                if left.n[a] == 1:
-                    left.sizes.insert(bisect_left(left.sizes, a), a)
-                if pair == ():
+                with_it = _companions(left, capacity - a)
+                left.put(a, 1)
+                if with_it is None:
                     break
-                content = [a] if b is None else ([a, *trio] if trio else [a, b])
+                content = [a, *with_it]
                 need = {s: content.count(s) for s in content}
                 times = min(left.n[s] // k for s, k in need.items())
                 for s, k in need.items():

@@ -68,3 +68,29 @@ def test_runs_shorter_than_a_window_count(spark):
     held = words[10:16] + ["changed"] + words[17:22] + ["changed"] + words[23:28]  # runs of 6, 5 and 5: one window
     text = " ".join(["x"] * 20 + held + ["y"] * 20)
     assert set(run(spark, [(1, text)], [(1, " ".join(words), "")])) == {(1, 1)}
+
+
+def test_stretches_of_short_items(spark):
+    words = ITEM.split()[:24]
+    docs = [(1, "before " + " ".join(words[5:14]) + " after"), (2, "before " + " ".join(words[5:12]) + " after"), (3, " ".join(words[:5]))]
+    assert set(run(spark, docs, [(1, " ".join(words), "")])) == {(1, 1)}
+    assert L.least_stretch(24, 1 / 3) == 8 and L.least_stretch(60, 1 / 3) == L.STRETCH and L.least_stretch(4, 1 / 3) == 4
+
+
+def test_every_sixth_or_seventh_word_changed(spark):
+    words = (ITEM + " " + OTHER).split()[:30]
+    for step in (6, 7):
+        changed = ["zzz" if i % step == step - 1 else w for i, w in enumerate(words)]
+        assert set(run(spark, [(1, " ".join(changed))], [(1, " ".join(words), "")])) == {(1, 1)}, step
+
+
+def test_items_in_several_automata(spark, monkeypatch):
+    monkeypatch.setattr(L, "BLOCK_CHARS", 250)
+    assert set(run(spark, [(9, f"{ITEM} {OTHER}")])) == {(1, 9), (2, 9)}
+
+
+def test_too_many_items_are_an_error(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="characters of items"):
+        L.find_leaks(spark.createDataFrame([(1, "x")], "doc_id bigint, text string"), spark.createDataFrame([(1, ITEM, "")], "item_id bigint, text string, answer string"), max_chars=100)

@@ -46,3 +46,18 @@ def test_rows(spark):
     got = sorted((r.page_id, r.clean, tuple(r.kinds)) for r in M.markup(df, "page_id").collect())
     assert got == [(1, "a b", ("html",)), (1, "a b", ("html",)), (2, "plain", ()), (4, "", ())]
     assert M.markup(df.limit(0), "page_id").count() == 0
+
+
+PIECES = [*"<>`~\\\\{}[]$^&#;'*_=|!:-+()/.,%\n  x1", "---", ":---", "''", "**", "__", "==", "||", "| ", "\n", "a", "é", "TOC", "http://x", "&amp;", "<b>", "</b>", "\\frac", "{", "word", " ", "3", "[[", "]]", "1. ", "- "]
+
+
+def test_no_residue_passes_the_trigger(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    texts = ["a | b\n:---|:---:\n1 | 2"] + ["".join(rng.choice(PIECES) for _ in range(rng.randint(1, 14))) for _ in range(40_000)]
+    plain = spark.createDataFrame([(t,) for t in texts], "t string").filter(~F.col("t").rlike(M.TRIGGER)).collect()
+    assert len(plain) > 500
+    assert [r.t for r in plain if M.kinds_of(r.t)] == []

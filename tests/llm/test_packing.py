@@ -36,10 +36,11 @@ def optimum(sizes, capacity):
     return best[0]
 
 
-def test_dominance_keeps_an_optimum():
-    rng = random.Random(4)
-    for _ in range(400):
-        cap = rng.randint(5, 30)
+@pytest.mark.parametrize("seed", range(10))
+def test_dominance_keeps_an_optimum(seed):
+    rng = random.Random(seed)
+    for _ in range(500):
+        cap = rng.randint(5, 40)
         sizes = [rng.randint(1, cap) for _ in range(rng.randint(1, 9))]
         counts = {s: sizes.count(s) for s in sizes}
         groups = P.pack_counts(counts, cap)
@@ -52,6 +53,24 @@ def test_dominance_keeps_an_optimum():
         assert sum(n for n, _ in fixed) + (optimum(rest, cap) if rest else 0) == best
 
 
+def test_a_full_trio_is_not_always_best():
+    sizes = [17, 12, 12, 11, 10, 10, 7, 6]
+    left = P._Counts({s: sizes.count(s) for s in sizes})
+    fixed = P.reduce_by_dominance(left, 30)
+    rest = [s for s, c in left.n.items() for _ in range(c)]
+    assert sum(n for n, _ in fixed) + (optimum(rest, 30) if rest else 0) == 3 == optimum(sizes, 30)
+
+
+def test_best_pair():
+    rng = random.Random(1)
+    for _ in range(500):
+        items = [rng.randint(1, 12) for _ in range(rng.randint(1, 7))]
+        room = rng.randint(1, 25)
+        left = P._Counts({s: items.count(s) for s in items})
+        want = max((a + b for i, a in enumerate(items) for b in items[:i] if a + b <= room), default=0)
+        assert left.best_pair_sum(room) == want and left.pair_fits(room) == (want > 0)
+
+
 def test_work_depends_on_sizes_not_items():
     groups = P.pack_counts({s: 10**9 + s for s in range(0, 513)}, 512)
     assert len(groups) < 3 * 513 and sum(n * dict(c).get(7, 0) for n, c in groups) == 10**9 + 7
