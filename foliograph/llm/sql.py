@@ -41,8 +41,9 @@ saliences AS (
   FROM kept LEFT JOIN (VALUES ('mentioned', 1), ('secondary', 2), ('primary', 3)) s(v, r) ON s.v = lower(trim(salience))),
 long AS (SELECT key, field, entity_id, loaded_at, value, size, vote, grade FROM defs UNION ALL SELECT key, field, entity_id, loaded_at, value, size, vote, grade FROM types
          UNION ALL SELECT key, field, entity_id, loaded_at, value, size, vote, grade FROM saliences),
-summed AS (SELECT *, sum(vote) OVER (PARTITION BY key, field, value, grade, size) AS votes FROM long),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY key, field ORDER BY grade DESC, size DESC, votes DESC, loaded_at DESC, entity_id) AS rn FROM summed),
+aged AS (SELECT *, coalesce(pow(0.5, date_sub('second', loaded_at, (SELECT max(loaded_at) FROM entities)) / 86400.0 / 180), 0) AS decay FROM long),
+summed AS (SELECT *, sum(vote) OVER (PARTITION BY key, field, value, grade, size) AS votes, round(sum(vote * decay) OVER (PARTITION BY key, field, value, grade, size), 9) AS recent FROM aged),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY key, field ORDER BY grade DESC, size DESC, votes DESC, recent DESC, loaded_at DESC, entity_id) AS rn FROM summed),
 won AS (SELECT key, field, value, entity_id FROM ranked WHERE rn = 1)
 """
 SQL["p5_found"] = f"WITH {_SURVIVORS} SELECT key, field, entity_id FROM won"

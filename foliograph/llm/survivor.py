@@ -39,17 +39,21 @@ def _enum(value: Column, allowed: list[str]) -> Column:
     return F.element_at(table, F.lower(T.collapse(value)))
 
 
+#: Half-life, in days, of the votes that tell values of equal votes apart.
+TIE_HALF_LIFE = 180.0
+
+
 def unpivoted(entities: DataFrame, half_life_days: float | None = None) -> DataFrame:
-    """Long rows (key, field, value, merit, vote, entity_id, loaded_at), one per row and field.
+    """Long rows (key, field, value, merit, vote, recent, entity_id, loaded_at), one per row and field.
 
-    value is the normalised value, null if there is none. vote is the trust in the row times its recency: mentions
-    count for the type, one vote a row otherwise; with a half-life a row's vote halves for each such age before the
-    newest row of its key. merit orders values before votes do.
+    value is the normalised value, null if there is none. merit is trust without a limit: how good a statement the
+    value is by itself. vote is the trust in the row (its mentions for the type, 1 otherwise), with a half-life times
+    its recency; recent is the trust times the recency in any case. Recency halves for each half-life a row is older
+    than the newest row of the table; only ratios within a key matter, so that one instant serves all keys. A row
+    without a time has recency 0.
     """
-    newest = entities.groupBy("key").agg(F.max("loaded_at").alias("newest")) if half_life_days else None
-    rows = entities.join(newest, "key") if newest is not None else entities
-    age = F.timestamp_diff("SECOND", F.col("loaded_at"), F.col("newest")) / 86400.0 if half_life_days else None
-    decay = F.coalesce(F.pow(F.lit(0.5), age / half_life_days), F.lit(0.0)) if half_life_days else F.lit(1.0)
+    age = F.timestamp_diff("SECOND", F.col("loaded_at"), entities.agg(F.max("loaded_at")).scalar()) / 86400.0
+    decay = F.coalesce(F.pow(F.lit(0.5), age / (half_life_days or TIE_HALF_LIFE)), F.lit(0.0))
     kind, salience = _enum(F.col("type"), T.ENTITY_TYPES), _enum(F.col("salience"), T.SALIENCE)
     merit = lambda grade, size: F.struct(grade.cast("int").alias("grade"), size.cast("int").alias("size"))
     zero = F.lit(0)
@@ -58,20 +62,22 @@ def unpivoted(entities: DataFrame, half_life_days: float | None = None) -> DataF
         F.struct(F.lit("type").alias("field"), kind.alias("value"), merit(F.when(kind.isNull(), 0).when(kind == "Other", 1).otherwise(2), zero).alias("merit"), F.greatest(F.coalesce(F.col("mentions"), F.lit(0)), F.lit(0)).cast("double").alias("trust")),
         F.struct(F.lit("salience").alias("field"), salience.alias("value"), merit(T.salience_rank(salience), zero).alias("merit"), F.lit(1.0).alias("trust")),
     )
-    long = rows.select("key", "entity_id", "loaded_at", decay.alias("decay"), F.explode(fields).alias("x"))
-    return long.select("key", "x.field", "x.value", "x.merit", (F.col("x.trust") * F.col("decay")).alias("vote"), "entity_id", "loaded_at")
+    long = entities.select("key", "entity_id", "loaded_at", decay.alias("decay"), F.explode(fields).alias("x"))
+    recent = F.col("x.trust") * F.col("decay")
+    return long.select("key", "x.field", "x.value", "x.merit", (recent if half_life_days else F.col("x.trust")).alias("vote"), recent.alias("recent"), "entity_id", "loaded_at")
 
 
 def winners(long: DataFrame) -> DataFrame:
     """(key, field, value, entity_id, votes): the surviving value of each field of each key and the row it is from.
 
     Votes add up per value first, with a partial sum before the shuffle, so that a key with any number of rows moves
-    as many rows as it has values. The best merit wins, then most votes, then the newest row, then the smallest id;
-    of rows with the surviving value the newest, then that with the smallest id. Without any value it is null.
+    as many rows as it has values. The best merit wins, then most votes, then most recent votes (to nine digits), then
+    the newest row, then the smallest id; of rows with the surviving value the newest, then that with the smallest id.
+    Without any value it is null.
     """
     newest = F.struct(F.col("loaded_at"), (-F.col("entity_id")).alias("neg"))
-    values = long.groupBy("key", "field", "value", "merit").agg(F.sum("vote").alias("votes"), F.max(newest).alias("row"))
-    best = values.groupBy("key", "field").agg(F.max_by(F.struct("value", "row", "votes"), F.struct("merit", "votes", "row")).alias("x"))
+    values = long.groupBy("key", "field", "value", "merit").agg(F.sum("vote").alias("votes"), F.round(F.sum("recent"), 9).alias("recent"), F.max(newest).alias("row"))
+    best = values.groupBy("key", "field").agg(F.max_by(F.struct("value", "row", "votes"), F.struct("merit", "votes", "recent", "row")).alias("x"))
     return best.select("key", "field", "x.value", (-F.col("x.row.neg")).alias("entity_id"), "x.votes")
 
 

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from foliograph.llm import survivor as S
 
 COLUMNS = "entity_id bigint, key string, definition string, type string, salience string, mentions bigint, loaded_at timestamp, value string"
@@ -38,6 +40,18 @@ def test_decay_changes_the_vote(spark):
     assert kept(spark, rows, half_life_days=7)[("k", "type")] == ("Duty", 2)
 
 
+def test_recency_tells_equal_votes_apart(spark):
+    rows = [(1, "k", None, "Tax", None, 5, 1), (2, "k", None, "Tax", None, 5, 30), (3, "k", None, "Duty", None, 2, 29), (4, "k", None, "Duty", None, 8, 29)]
+    assert kept(spark, rows)[("k", "type")] == ("Duty", 3)  # ten mentions each, the newest row is one of Tax
+    assert kept(spark, [*rows, (5, "k", None, "Tax", None, 1, 1)])[("k", "type")] == ("Tax", 2)
+
+
+def test_rows_without_a_time(spark):
+    df = frame(spark, [(1, "k", "K is a thing here.", "Tax", "primary", 2, 1), (2, "k", None, "Tax", None, 3, 2)])
+    got = S.surviving_values(df.withColumn("loaded_at", F.lit(None).cast("timestamp"))).collect()
+    assert {(r.field, r.entity_id) for r in got} == {("definition", 1), ("type", 1), ("salience", 1)}
+
+
 def test_closing_dots_and_empty(spark):
     got = kept(spark, [(1, "x b assoc", "X B Assoc. limits the charge.", "Tax", None, 1, 1), (2, "x b assoc", "X B Associates limit the charge entirely.", "Tax", None, 1, 1)])
     assert got[("x b assoc", "definition")][1] == 1
