@@ -21,14 +21,19 @@ STATISTICS = (
     "common_words",  # share of words that are common in the language
     "symbols",  # share of characters that are neither letters, digits nor usual punctuation
     "digits",  # share of digits
-    "odd_tokens",  # share of tokens that are no plain word, number, sum of money or reference
+    "odd_tokens",  # share of tokens, outside rows of cells, that are no plain word, number, sum of money or reference
     "end_marks",  # share of lines that end in punctuation
     "repeated",  # share of text in sentences or lines said before
-    "prose_part",  # share of text in runs of lines that read as sentences
-    "list_part",  # share in items and headings
-    "table_part",  # share in rows of cells
+    "running",  # share in lines of five words or more with common words among them
+    "brief",  # share in lines of fewer words
+    "marked",  # share in lines that begin with the mark of an item or the code of a heading
+    "celled",  # share in lines of cells
+    "controls",  # share in lines of page controls, objects, style rules, logs and code
+    "bare",  # share in lines of five words or more without common words
 )
-PARTS = ("prose", "list", "table", "junk")
+#: What a statistic that is greater than in prose speaks for. The others tell that a text is no prose, but not what it
+#: is.
+SPEAKS_FOR = {"list": ("brief", "marked"), "table": ("celled", "digits"), "junk": ("controls", "bare", "odd_tokens", "repeated", "symbols")}
 
 #: Controls of web pages, in lower case.
 FURNITURE = frozenset(
@@ -56,7 +61,6 @@ _CODE = re.compile(r"^\s*(?:function|var|let|const|import|return|if|for|while)\b
 _QUOTED = re.compile(r'"[^"]*"|\d,\d{3}(?!\d)')
 _GAP = re.compile(r"\S(?: {2,}|\t+)(?=\S)")
 _SPLIT = {"tab": re.compile(r"\t"), "bar": re.compile(r"\|"), "gap": re.compile(r" {2,}"), "comma": re.compile(r","), "semicolon": re.compile(r";")}
-_VOWEL = re.compile(r"[aeiouyàâäáéèêëíìîïóòôöúùûüŵŷœæw]")
 
 
 #: Nothing but controls, whatever parts them.
@@ -122,147 +126,89 @@ class Reader:
     def __init__(self, common: dict[str, set[str]]):
         self.counts = _Tokens([frozenset(common.get(x, ())) for x in LANGUAGES])
 
-    def measure(self, text: str) -> tuple[str, list[float], list[float]]:
-        """(language, statistics, shares of the text that are prose, list, table and junk)."""
+    def measure(self, text: str) -> tuple[str, list[float]]:
+        """(language, statistics)."""
         tokens = text.split()
         packed = sum(map(self.counts.__getitem__, tokens))
         n_words = _lane(packed, _WORDS)
         if not n_words:
-            # no words at all
-            return "en", [0.0, 0.0, 0.0, 1.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0], [0.0, 0.0, 0.0, 1.0]
+            return "en", [float(s in ("symbols", "odd_tokens")) for s in STATISTICS]  # no words at all
         common = [_lane(packed, _COMMON + i) for i in range(len(LANGUAGES))]
         lang = max(range(len(LANGUAGES)), key=lambda i: (common[i], -i))
-        lines = text.splitlines()
-        full = [x for x in lines if x and not x.isspace()]
-        parts, repeated, said = _parts(lines, self.counts, _COMMON + lang)
-        total = sum(parts.values()) or 1.0
-        shares = [parts[p] / total for p in PARTS]
+        lines = [x for x in text.splitlines() if x and not x.isspace()]
         size = _lane(packed, _CHARS)
-        stats = [
-            float(np.log1p(n_words / len(full))),
-            _lane(packed, _LETTERS) / n_words,
-            common[lang] / n_words,
-            _lane(packed, _SYMBOLS) / size,
-            _lane(packed, _DIGITS) / size,
-            _lane(packed, _ODDS) / len(tokens),
-            sum(1 for x in full if _END.search(x[-6:].rstrip())) / len(full),
-            repeated / max(1, said),
-            *shares[:3],
-        ]
-        return LANGUAGES[lang], stats, shares
-
-
-def _parts(lines: list[str], counts: _Tokens, common: int) -> tuple[dict[str, float], int, int]:
-    """Characters of each kind of part, and of repeated and of all sentences. common is the lane of the language."""
-    parts = dict.fromkeys(PARTS, 0.0)
+        seen = _lines(lines, self.counts, _COMMON + lang)
+        stats = {
+            "words_per_line": float(np.log1p(n_words / len(lines))),
+            "word_length": _lane(packed, _LETTERS) / n_words,
+            "common_words": common[lang] / n_words,
+            "symbols": _lane(packed, _SYMBOLS) / size,
+            "digits": _lane(packed, _DIGITS) / size,
+            "odd_tokens": seen.pop("odd") / len(tokens),
+            "end_marks": sum(1 for x in lines if _END.search(x[-6:].rstrip())) / len(lines),
+            "repeated": max(seen.pop("again") / size, _said_again(" ".join(tokens).lower())),
+        } | {name: n / size for name, n in seen.items()}
+        return LANGUAGES[lang], [stats[s] for s in STATISTICS]
+
+
+def _said_again(text: str) -> float:
+    """Share of the text's sentences that were said before."""
     seen: set[str] = set()
-    repeated = said = 0
-    lead = 0  # size of a sentence that ends in a colon: it goes with the items or rows it announces
-    in_rows = False
-    block: list[str] = []
-
-    def add(kind: str, size: int) -> None:
-        nonlocal lead, in_rows
-        if lead and kind in ("list", "table"):
-            parts["prose"] -= lead
-            parts[kind] += lead
-        lead = 0
-        in_rows = kind == "table"
-        parts[kind] += size
-
-    def close() -> None:
-        """A run of lines that are neither items nor rows: sentences, headings and terms, or garbage."""
-        nonlocal repeated, said, lead
-        if not block:
-            return
-        joined = " ".join(block) if len(block) > 1 else block[0]
-        tokens = joined.split()
-        packed = sum(map(counts.__getitem__, tokens))
-        size, n, n_words = _lane(packed, _CHARS), len(tokens), _lane(packed, _WORDS)
-        again = 0
-        if n >= 5:
-            low = joined.lower()
-            for k in _SENTENCE.split(low) if len(block) == 1 or _wrapped(block) else [x.lower() for x in block]:
-                if len(k) >= 20:
-                    k = k.rstrip(".!?;: ")
-                    said += len(k)
-                    if k in seen:
-                        repeated += len(k)
-                        again += len(k)
-                    seen.add(k)
-        share = _lane(packed, common) / max(1, n_words)
-        per_line = n_words / len(block)
-        long = [w for w in _WORD.findall(joined.lower()) if len(w) > 3] if share < 0.1 else None
-        if not n_words or 2 * again > len(joined):
-            kind = "junk"
-        elif _lane(packed, _ODDS) > (0.3 if n >= 5 else 0.6) * n:
-            kind = "junk"
-        elif n < 4 and max(map(len, tokens)) >= 30 and not joined.lower().startswith(("http", "www")):
-            kind = "junk"  # encoded data
-        elif long and sum(1 for w in long if not _VOWEL.search(w)) > 0.3 * len(long):
-            kind = "junk"  # letters, but no words
-        elif per_line >= 5 and share >= 0.12 or len(block) == 1 and n_words >= 4 and share >= 0.1 and _END.search(joined):
-            kind = "prose"
-        elif share < 0.02 and n >= 25 and per_line > 12:
-            kind = "junk"  # words that no sentence holds together
-        else:
-            kind = "list"
-        add(kind, size)
-        if kind == "prose" and len(block) == 1 and joined.endswith(":"):
-            lead = size
-        block.clear()
-
+    said = again = 0
+    for sentence in _SENTENCE.split(text):
+        if len(sentence) >= 20:
+            sentence = sentence.rstrip(".!?;: ")
+            said += len(sentence)
+            if sentence in seen:
+                again += len(sentence)
+            seen.add(sentence)
+    return again / max(1, said)
+
+
+def _lines(lines: list[str], counts: _Tokens, common: int) -> dict[str, int]:
+    """Characters in lines of each form, those of lines outside lists and rows that were there before (`again`), and odd
+    tokens outside rows. A sentence that ends in a colon goes with the items or rows it announces. common is the lane
+    of the language."""
+    sizes = dict.fromkeys(("running", "brief", "marked", "celled", "controls", "bare", "again", "odd"), 0)
+    seen: set[str] = set()
+    in_rows, lead = False, 0
     for line in lines:
         s = line.strip()
-        if not s:
-            close()
-            continue
+        tokens = s.split()
+        packed = sum(map(counts.__getitem__, tokens))
+        size, n_words, odd = _lane(packed, _CHARS), _lane(packed, _WORDS), _lane(packed, _ODDS)
         if _CONTROLS.fullmatch(s.lower()) or _machine(s):
-            close()
-            add("junk", len(s) - s.count(" "))
-            continue
-        if in_rows and not block and line[:4].isspace() and len(s) <= 60:
-            add("table", len(s) - s.count(" "))  # a row with one cell filled
-            continue
-        cells = _cells(line)
-        if cells:
-            filled = [c.strip() for c in cells if c.strip()]
-            plain = sum(1 for c in filled if len(c) <= 60 and not any(_lane(counts[t], _ODDS) for t in c.split()))
-            if 2 * plain >= len(filled):
-                close()
-                add("table", len(s) - s.count(" "))
-                continue
-        if _ITEM.match(line) or _CODED.match(line) and len(s) <= 120 and not s.endswith(".") and not (block and len(block[-1].split()) > 4 and not _END.search(block[-1])):
-            close()
-            tokens = s.split()
-            packed = sum(map(counts.__getitem__, tokens))
-            n_words = _lane(packed, _WORDS)
-            if n_words >= 14 and _lane(packed, common) >= 0.2 * n_words:
-                block.append(s)  # an item that holds sentences is prose with a mark before it
-                close()
+            form = "controls"
+        elif _row(line, counts) or in_rows and line[:4].isspace() and len(s) <= 60:  # also a row with one cell filled
+            form, odd = "celled", 0
+        else:
+            fluent = _lane(packed, common) >= 0.12 * n_words
+            marked = _ITEM.match(line) or _CODED.match(line) and len(s) <= 120 and not s.endswith(".")
+            if marked and not (n_words >= 14 and fluent):  # an item that holds sentences is prose with a mark before it
+                form = "marked"
+            elif n_words < 5:
+                form = "brief"
             else:
-                odd = _lane(packed, _ODDS) > max(1, 0.5 * len(tokens))
-                add("junk" if odd or not n_words else "list", len(s) - s.count(" "))
-            continue
-        if block and not _continues(block[-1], s):
-            close()
-        block.append(s)
-    close()
-    return parts, repeated, said
-
-
-def _wrapped(block: list[str]) -> bool:
-    """Lines broken at a width rather than where sentences end."""
-    inner = block[:-1]
-    return sum(1 for x in inner if not _END.search(x.rstrip())) > 0.4 * len(inner)
-
-
-def _continues(before: str, line: str) -> bool:
-    """Whether a line may go on from the one before: all lines of a run do, except sentences after terms and terms
-    after sentences, which are runs of their own."""
-    a, b = len(before.split()), len(line.split())
-    done = bool(_END.search(before.rstrip()))
-    return not (done and (a > 6) != (b > 6) or (a <= 4 and b > 9) or (a > 9 and b <= 4 and done))
+                form = "running" if fluent else "bare"
+        in_rows = form == "celled"
+        if lead and form in ("brief", "marked", "celled"):
+            sizes["running"] -= lead
+            sizes[form] += lead
+        lead = size if form == "running" and s[-1] == ":" else 0
+        if form in ("running", "bare", "brief") and len(s) >= 20:
+            plain = s.lower().rstrip(".!?;: ")
+            if plain in seen:
+                sizes["again"] += size
+            seen.add(plain)
+        sizes[form] += size
+        sizes["odd"] += odd
+    return sizes
+
+
+def _row(line: str, counts: _Tokens) -> bool:
+    """Whether a line is a row of cells: parted as one, and at least half of its cells short and plain."""
+    filled = [c.strip() for c in _cells(line) if c.strip()]
+    return bool(filled) and 2 * sum(1 for c in filled if len(c) <= 60 and not any(_lane(counts[t], _ODDS) for t in c.split())) >= len(filled)
 
 
 # --------------------------------------------------------------------------- plan
@@ -271,11 +217,10 @@ _LIST = ", ".join(f"{s} double" for s in STATISTICS)
 
 
 def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
-    """(doc_id, language, the STATISTICS, part): one row per document, in one narrow pass over whole texts.
+    """(doc_id, language, the STATISTICS): one row per document, in one narrow pass over whole texts.
 
-    part is the kind of the larger part of the text, prose in a tie. The language is the one whose common words are
-    the most frequent, whatever the table says; English without any. Null and empty texts, and texts without words,
-    are junk and have the values of a text that is all symbols.
+    The language is the one whose common words are the most frequent, whatever the table says; English without any.
+    Null and empty texts, and texts without words, have the values of a text that is all symbols.
     """
     rows = common_words.select("lang", "word").filter("word is not null").limit(100_001).collect()
     if len(rows) > 100_000:
@@ -289,28 +234,30 @@ def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
         reader = Reader(shared.value)
         for batch in batches:
             seen = [reader.measure(t or "") for t in batch.column("text").to_pylist()]
-            values = list(zip(*(s for _, s, _ in seen), strict=True)) or [()] * len(STATISTICS)
-            part = [PARTS[max(range(len(PARTS)), key=lambda i, p=p: (p[i], -i))] for _, _, p in seen]
-            columns = [batch.column("doc_id"), pa.array([x for x, _, _ in seen], pa.string()), *(pa.array(v, pa.float64()) for v in values), pa.array(part, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "language", *STATISTICS, "part"])
+            values = list(zip(*(s for _, s in seen), strict=True)) or [()] * len(STATISTICS)
+            columns = [batch.column("doc_id"), pa.array([x for x, _ in seen], pa.string()), *(pa.array(v, pa.float64()) for v in values)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "language", *STATISTICS])
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(measure, f"doc_id bigint, language string, {_LIST}, part string")
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(measure, f"doc_id bigint, language string, {_LIST}")
 
 
-#: Least spread of each statistic, in its own unit; where prose hardly varies a smaller one would make every trifle count.
-LEAST_SPREAD = dict(zip(STATISTICS, (0.25, 0.3, 0.04, 0.01, 0.03, 0.03, 0.15, 0.05, 0.08, 0.08, 0.05), strict=True))
+#: Least spread of each statistic, in its own unit; prose hardly varies in some, and any trifle would count. That of `running` and of `repeated` lets half a text that doesn't run on, or is said again, reach the cutoff;
+#: the other forms of lines share what isn't running and have twice that, so that they tell the kind rather than count
+#: the same lines twice.
+LEAST_SPREAD = dict(zip(STATISTICS, (0.8, 0.7, 0.11, 0.05, 0.1, 0.09, 0.4, 0.085, 0.105, *(0.22,) * 5), strict=True))
 
 
-def prose_model(stats: DataFrame, core_width: float = 4.0, least_rows: int = 30) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+def prose_model(stats: DataFrame, core_width: float = 4.0, prior_rows: float = 200.0) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Robust mean and inverse covariance of prose, by language.
 
     Medians and quartile ranges over all documents give the centre; documents within core_width ranges of it in every
     statistic are the core, and its mean and covariance are the model (one reweighting step). All of it is aggregates
-    over every document; the driver gets one row of sums per language. A language with a core of fewer than
-    least_rows documents takes the model of all languages together.
+    over every document; the driver gets one row of sums per language. Every language's sums are joined by prior_rows
+    documents of the prose of all languages together, so that a rare language leans on the others and a common one
+    doesn't.
     """
     quartiles = stats.groupBy("language").agg(*(F.percentile_approx(s, [0.25, 0.5, 0.75], 10_000).alias(s) for s in STATISTICS)).collect()
-    centre = {r["language"]: {s: (r[s][1], max((r[s][2] - r[s][0]) / 1.349, LEAST_SPREAD[s])) for s in STATISTICS} for r in quartiles}
+    centre = {r["language"]: {s: (r[s][1], max((r[s][2] - r[s][0]) / 1.349, LEAST_SPREAD[s] / 2)) for s in STATISTICS} for r in quartiles}
     if not centre:
         return {}
     inside = F.lit(False)
@@ -324,20 +271,27 @@ def prose_model(stats: DataFrame, core_width: float = 4.0, least_rows: int = 30)
     sums = [F.sum(s).alias(f"m{i}") for i, s in enumerate(STATISTICS)] + [F.sum(F.col(STATISTICS[i]) * F.col(STATISTICS[j])).alias(f"c{i}_{j}") for i, j in pairs]
     rows = {r["language"]: r for r in stats.filter(inside).groupBy("language").agg(F.count(F.lit(1)).alias("n"), *sums).collect()}
 
-    floor = np.diag([LEAST_SPREAD[s] ** 2 / 4 for s in STATISTICS])
+    floor = np.array([LEAST_SPREAD[s] ** 2 for s in STATISTICS])
 
-    def model(parts: list) -> tuple[np.ndarray, np.ndarray] | None:
-        n = sum(r["n"] for r in parts)
-        if n < 2:
-            return None
-        mean = np.array([sum(r[f"m{i}"] for r in parts) / n for i in range(d)])
-        cov = np.zeros((d, d))
+    def moments(part: list) -> tuple[float, np.ndarray, np.ndarray]:
+        n = float(sum(r["n"] for r in part))
+        first = np.array([float(sum(r[f"m{i}"] for r in part)) for i in range(d)])
+        second = np.zeros((d, d))
         for i, j in pairs:
-            cov[i, j] = cov[j, i] = sum(r[f"c{i}_{j}"] for r in parts) / n - mean[i] * mean[j]
-        return mean, np.linalg.inv(cov + floor)
-
-    together = model(list(rows.values())) or (np.array([centre[min(centre)][s][0] for s in STATISTICS]), np.linalg.inv(floor * 4))
-    return {lang: (model([rows[lang]]) if lang in rows and rows[lang]["n"] >= least_rows else None) or together for lang in centre}
+            second[i, j] = second[j, i] = sum(r[f"c{i}_{j}"] for r in part)
+        return n, first, second
+
+    n_all, first_all, second_all = moments(list(rows.values()))
+    if not n_all:  # no document within the core: the medians alone
+        n_all, first_all = 1.0, np.array([centre[min(centre)][s][0] for s in STATISTICS])
+        second_all = np.outer(first_all, first_all)
+    out = {}
+    for lang in centre:
+        n, first, second = moments([rows[lang]] if lang in rows else [])
+        mean = (first + prior_rows * first_all / n_all) / (n + prior_rows)
+        cov = (second + prior_rows * second_all / n_all) / (n + prior_rows) - np.outer(mean, mean)
+        out[lang] = mean, np.linalg.inv(cov + np.diag(np.maximum(floor - cov.diagonal(), floor * 1e-3)))
+    return out
 
 
 def outlierness(stats: DataFrame, model: dict[str, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
@@ -362,12 +316,21 @@ def outlierness(stats: DataFrame, model: dict[str, tuple[np.ndarray, np.ndarray]
     return part.select(*stats.columns, total.alias("distance"), *(F.col("c")[i].alias(f"c_{s}") for i, s in enumerate(STATISTICS)))
 
 
-def text_quality(documents: DataFrame, common_words: DataFrame, cutoff: float = 31.3) -> DataFrame:
+def kind_of_outlier() -> Column:
+    """The kind whose statistics contribute most to the distance, negative contributions aside; prose if none of them
+    does. Ties go to list, table, junk in this order."""
+    sums = [F.struct(sum((F.greatest(F.col(f"c_{s}"), F.lit(0.0)) for s in names), F.lit(0.0)).alias("much"), F.lit(-i).alias("first"), F.lit(kind).alias("kind")) for i, (kind, names) in enumerate(SPEAKS_FOR.items())]
+    best = F.greatest(*sums)
+    return F.when(best["much"] > 0, best["kind"]).otherwise("prose")
+
+
+def text_quality(documents: DataFrame, common_words: DataFrame, cutoff: float = 36.1) -> DataFrame:
     """Every document with its statistics, distance, contributions and kind.
 
-    A document further from prose than the cutoff (the 0.999 quantile of the chi-squared distribution with one degree
-    per statistic) is of the kind of its larger part, which may still be prose; the others are prose.
+    A document no further from the prose of its language than the cutoff (the 0.999 quantile of the chi-squared
+    distribution with one degree per statistic) is prose; the kind of one further away is that whose statistics
+    contribute most to the distance.
     """
     stats = cut(statistics(documents, common_words))
     far = outlierness(stats, prose_model(stats))
-    return far.withColumn("kind", F.when(F.col("distance") > cutoff, F.col("part")).otherwise("prose"))
+    return far.withColumn("kind", F.when(F.col("distance") > cutoff, kind_of_outlier()).otherwise("prose"))

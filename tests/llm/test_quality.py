@@ -29,15 +29,16 @@ KINDS = [
 
 
 @pytest.mark.parametrize(("text", "kind"), KINDS)
-def test_larger_part(text, kind):
-    _, stats, shares = Q.Reader(COMMON).measure(text or "")
-    assert Q.PARTS[max(range(4), key=lambda i: (shares[i], -i))] == kind
-    assert len(stats) == len(Q.STATISTICS) and all(math.isfinite(x) for x in stats) and abs(sum(shares) - 1) < 1e-9
+def test_forms_of_lines_cover_the_text(text, kind):
+    _, stats = Q.Reader(COMMON).measure(text or "")
+    s = dict(zip(Q.STATISTICS, stats, strict=True))
+    assert all(math.isfinite(x) for x in stats)
+    assert abs(sum(s[f] for f in ("running", "brief", "marked", "celled", "controls", "bare")) - (s["symbols"] < 1)) < 1e-9
 
 
 def test_statistics_and_language():
     reader = Q.Reader(COMMON)
-    lang, stats, _ = reader.measure("The cat sat on the mat.\nIt was £5 #")
+    lang, stats = reader.measure("The cat sat on the mat.\nIt was £5 #")
     s = dict(zip(Q.STATISTICS, stats, strict=True))
     assert lang == "en" and s["common_words"] == 5 / 8 and s["end_marks"] == 0.5 and s["digits"] == 1 / 26 and s["symbols"] == 1 / 26
     assert s["word_length"] == 22 / 8 and abs(s["words_per_line"] - math.log1p(4)) < 1e-12
@@ -55,12 +56,14 @@ def frames(spark, texts):
     return docs, words
 
 
+PLAIN = [" ".join(SENTENCES[i % 5 :] + SENTENCES[: i % 5 + i % 3]) for i in range(120)]
+
+
 def test_distance(spark):
-    texts = [" ".join(SENTENCES[i % 5 :] + SENTENCES[: i % 5 + i % 3]) for i in range(120)] + [t for t, k in KINDS if k != "prose"]
+    texts = PLAIN + [t for t, _ in KINDS]
     docs, words = frames(spark, texts)
-    rows = Q.text_quality(docs, words).collect()
-    kinds = {r.doc_id: r.kind for r in rows}
-    assert [kinds[i] for i in range(len(texts))] == ["prose"] * 120 + [k for _, k in KINDS if k != "prose"]
+    rows = sorted(Q.text_quality(docs, words).collect(), key=lambda r: r.doc_id)
+    assert [(t, r.kind) for t, r in zip(texts, rows, strict=True)] == [(t, "prose") for t in PLAIN] + KINDS
     for r in rows:
         assert abs(sum(r[f"c_{s}"] for s in Q.STATISTICS) - r.distance) < 1e-6 * max(1, r.distance)
     stats = Q.statistics(docs, words)
@@ -69,6 +72,31 @@ def test_distance(spark):
     assert rows[130].language == "en" and abs(x @ inverse @ x - rows[130].distance) < 1e-6 * rows[130].distance
 
 
+def test_the_distance_decides(spark):
+    """Without the cutoff nearly every text has a kind; with a huge one none has."""
+    docs, words = frames(spark, PLAIN + [t for t, _ in KINDS])
+    count = lambda cutoff: Q.text_quality(docs, words, cutoff).filter("kind <> 'prose'").count()
+    n = sum(1 for _, k in KINDS if k != "prose")
+    assert count(0.0) > 2 * n and count(1e9) == 0
+
+
+def test_larger_part(spark):
+    """Mixed texts are of the kind of their larger part."""
+    items = [f"- short notice {c}" for c in "abcdefghijklmnop"]
+    table = [f"{1990 + i} | £{i},100 | {i}%" for i in range(12)]
+    prose = SENTENCES * 2
+    mixed = [("\n".join(prose + items[:6]), "prose"), ("\n".join(prose[:3] + items * 3), "list"), ("\n".join(prose + table[:4]), "prose"), ("\n".join(SENTENCES[:2] + table * 3), "table"), ("\n".join(table * 2 + items[:4]), "table"), ("\n".join(items * 3 + table[:3]), "list")]
+    docs, words = frames(spark, PLAIN + [t for t, _ in mixed])
+    rows = {r.doc_id: r.kind for r in Q.text_quality(docs, words).collect()}
+    assert [rows[len(PLAIN) + i] for i in range(len(mixed))] == [k for _, k in mixed]
+
+
+def test_a_rare_language_leans_on_the_others(spark):
+    docs, words = frames(spark, PLAIN + ["Il est dans la maison et il ne parle pas avec les gens qui sont sur le pont."] * 3)
+    rows = Q.text_quality(docs, words).collect()
+    assert {r.language for r in rows} == {"en", "fr"} and {r.kind for r in rows} == {"prose"}
+
+
 def test_empty(spark):
     docs, words = frames(spark, [])
     assert Q.text_quality(docs, words).count() == 0
