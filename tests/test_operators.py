@@ -43,6 +43,33 @@ def test_html():
     assert html.extract_links(links) == [("/p", "P")]
 
 
+@pytest.mark.parametrize(("page", "lines"), [
+    ("<p>a<!-- no --> b</p><!-- yes -->", ["a b", "", "yes"]), ("x<br>y", ["x", "", "y"]), ("<p>a<p>b</p>c", ["a", "b", "", "c"]), ("<ul></ul>x", ["x"]), ("<ul><li></li><li>a<ul><li>b</li></ul></li></ul>", ["-", "- a b"]),
+    ("<ol start=4><li>a</li><li>b</li></ol>", ["1. a", "2. b"]), ("<p>a</p><b>b</b><i>c</i>", ["a", "", "b c"]), ("a<b>b</b>", ["a b"]), ("<table></table>x", ["x"]), ("<table><tr><td>a<table><tr><td>b</td></tr></table></td></tr></table>", ["a b | b", "b"]),
+    ("<table><tr><td>a</td><td></td></tr></table><b>z</b>", ["a |", "", "z"]), ("<span><div>a</div></span>b", ["a", "", "b"]), ("</b>x</p>", ["x"]), ("<style>s</style><div>a <script>t</script> b</div>", ["a b"]), ("<pre>a</pre><h3> h </h3>t", ["a", "", "h", "", "t"]), ("a &amp; b &lt;c&gt;", ["a & b <c>"]),
+])
+def test_html_rules(page, lines):
+    got = html.html_to_text(page).split("\n")
+    assert [x.rstrip() for x in got] == lines
+
+
+def test_html_never_nests_too_deep_or_loses_text(spark):
+    deep = "<div>" * 5000 + "<p>in</p>" + "</div>" * 5000
+    assert html.html_to_text(deep) == "in"
+    rng = random.Random(5)
+    parts = ["<p>", "</p>", "<b>", "</b>", "<ul>", "<li>", "</li>", "</ul>", "<br>", "<div>", "</div>", "<span>", "</span>", "<h2>", "</h2>", "<!-- c -->"]
+    for _ in range(300):
+        words = [f"w{i}" for i in range(6)]
+        page = "".join(f" {rng.choice(parts)}{rng.choice(parts)} {w}" for w in words)
+        got = html.html_to_text(page)
+        if "<ul>" not in page:  # a list shows its items only
+            assert [w for w in got.split() if w.startswith("w")] == words, page
+    texts = ["plain  text\n\n\n\nx ", "a <b>b</b>", None, "", "x &amp; y", "1 < 2", " \u00a0pad\u00a0"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(html.text_of_html(F.col("t"))).collect()] == [html.html_to_text(t) for t in texts]
+    assert [r[0] for r in df.select(html.links_of_html(F.col("t"))).collect()] == [[]] * len(texts)
+
+
 def chunk(spark, sizes, budget):
     df = spark.createDataFrame([("d", i, w) for i, w in enumerate(sizes)], "slug string, pos int, words int")
     return [(r.pos, r.piece_no, r.n_words, r.chunk_no) for r in chunking.greedy_chunks(df, budget).orderBy("chunk_no", "pos", "piece_no").collect()]

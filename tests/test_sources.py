@@ -108,3 +108,20 @@ def test_paged_listing(spark, tmp_path, monkeypatch):
     crawl.register(spark)
     df = spark.read.format("paged_listing").option("url", "http://x/search").option("pagesize", "3").option("rps", "0").option("transport", "fake_service.fetch").load()
     assert df.rdd.getNumPartitions() == 3 and sorted(r.link for r in df.collect()) == [f"/m/{i}" for i in range(7)]
+
+
+def test_second_pass(spark, tmp_path, monkeypatch):
+    module = tmp_path / "flaky_service.py"
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    module.write_text(
+        "from pathlib import Path\n"
+        f"SEEN=Path({str(seen)!r})\n"
+        "def fetch(url):\n n=url[-1]\n if n=='0': return 404, {}, b''\n if n=='1': return 403, {}, b''\n"
+        " p=SEEN/n\n first=not p.exists(); p.touch()\n return (401, {}, b'') if first and n=='2' else (200, {}, b'{}')\n"
+    )
+    monkeypatch.syspath_prepend(str(tmp_path))
+    spark.sparkContext.addPyFile(str(module))
+    links = spark.createDataFrame([(f"u{i}",) for i in range(5)] + [("u4",), (None,)], "link string")
+    got = {r.link: (r.status, r.body, r.error) for r in crawl.fetch_twice(links, "flaky_service.fetch", rps=1000, tasks=2).collect()}
+    assert got == {"u0": (404, None, "not_found"), "u1": (403, None, "fetch_failed"), "u2": (200, "{}", None), "u3": (200, "{}", None), "u4": (200, "{}", None)}
