@@ -1,7 +1,8 @@
 """Markup residue in text: finding its kinds and turning it into clean text that keeps structure.
 
-HTML goes through a tree: composite text density (link-adjusted characters per tag, summed over children) picks the
-content and drops link furniture. Markdown, wiki and LaTeX residue is rewritten in place. Headings stay lines of
+Residue of all kinds makes one tree: elements of HTML, and a node for each construct of the other kinds. Composite text
+density (link-adjusted characters per tag, summed over children) selects the content there; what lies beside it is
+kept only where it says something outside links. Markdown, wiki and LaTeX residue is then rewritten in place. Headings stay lines of
 their own, items start with `-` or a number, cells are joined by ` | `, code and formulas keep their text.
 """
 
@@ -177,81 +178,93 @@ class _Density:
         dense = [n for n in self.order if self.of[id(n)] >= threshold] or [self.root]
         return max(dense, key=lambda n: self.sum[id(n)]), threshold
 
-    def furniture(self) -> set[int]:
-        """Subtrees outside the content, below the threshold and mostly links; only those are dropped, so that no
-        sentence beside the densest part is lost."""
+    def selection(self) -> tuple[set[int], tuple[int, int, int]]:
+        """Subtrees to drop, and the characters selected, kept beside the selection, and dropped.
+
+        The subtree of the greatest sum is selected. Beside it, a part goes if it is below the threshold and mostly
+        links; what else is there (a heading, a short sentence, plain text around a fragment) is kept, so that no
+        sentence is lost.
+        """
         content, threshold = self.content()
-        inside = {id(content), *(id(n) for n in content.walk())}
+        path = {id(content)}
         at = content
         while at is not self.root:
             at = self.parent[id(at)]
-            inside.add(id(at))
-        out = set()
-        for n in self.order:
-            chars, _, link_chars, link_tags = self.size[id(n)]
-            if id(n) not in inside and self.of[id(n)] < threshold and link_tags > 1 and 2 * link_chars > chars:
-                out.add(id(n))
-        return out
+            path.add(id(at))
+        drop: set[int] = set()
+        dropped = 0
+        work = [self.root]
+        while work:
+            for n in work.pop().children:
+                if not isinstance(n, Node) or n is content:
+                    continue
+                chars, _, link_chars, link_tags = self.size[id(n)]
+                if id(n) not in path and self.of[id(n)] < threshold and link_tags > 1 and 2 * link_chars > chars:
+                    drop.add(id(n))
+                    dropped += chars
+                else:
+                    work.append(n)
+        total, selected = self.size[id(self.root)][0], self.size[id(content)][0]
+        return drop, (selected, total - selected - dropped, dropped)
 
 
 _SKIP = frozenset(["script", "style", "head", "noscript", "template"])
 
 
-#: Nesting from which on elements are read as the text they hold.
-_DEEP = 150
-
-
-def _inline(node: Node, depth: int = 0) -> str:
-    """Text of a node that holds no blocks, as it runs on, breaks as line ends."""
-    if depth > _DEEP:
-        return "".join(node.strings())
-    parts = []
-    for c in node.children:
-        if isinstance(c, str):
-            parts.append(c)
-        elif c.name == "br":
+def _inline(node: Node) -> str:
+    """Text of a node as it runs on, breaks as line ends."""
+    parts: list[str] = []
+    work: list[Node | str] = list(reversed(node.children))
+    while work:
+        x = work.pop()
+        if isinstance(x, str):
+            parts.append(x)
+        elif x.name == "br":
             parts.append("\n")
-        elif c.name not in _SKIP:
-            parts.append(_inline(c, depth + 1))
+        elif x.name not in _SKIP:
+            work.extend(reversed(x.children))
     return "".join(parts)
 
 
-def _render(node: Node, out: list[str], drop: set[int], depth: int = 0) -> None:
-    for child in node.children:
-        if isinstance(child, str):
-            out[-1] += child
-            continue
-        if id(child) in drop or child.name in _SKIP:
-            continue
-        if depth > _DEEP:
-            out[-1] += "".join(child.strings())
+_APART = ("header", "footer", "nav", "aside", "main", "dl", "dt", "dd", "figure", "body", "html")
+
+
+def _render(root: Node, drop: set[int]) -> list[str]:
+    """Lines of a tree without the subtrees to drop. Breaks that are due after an element wait among its siblings, so
+    that any depth of nesting is the same."""
+    out = [""]
+    work: list[Node | str | tuple[str, ...]] = list(reversed(root.children))
+    while work:
+        x = work.pop()
+        if isinstance(x, tuple):
+            out += x
+        elif isinstance(x, str):
+            out[-1] += x
+        elif id(x) in drop or x.name in _SKIP:
             continue
-        name = child.name
-        if name == "table":
-            rows = [[clean_line(_inline(c).replace("\n", " ")) for c in tr.children if isinstance(c, Node) and c.name in ("td", "th")] for tr in child.find_all("tr")]
+        elif x.name == "table":
+            rows = [[clean_line(_inline(c).replace("\n", " ")) for c in tr.children if isinstance(c, Node) and c.name in ("td", "th")] for tr in x.find_all("tr")]
             out += ["", *(" | ".join(r) for r in rows if any(r)), ""]
-        elif name in LISTS:
+        elif x.name in LISTS:
             out.append("")
-            n = 0
-            for li in child.find_all("li"):
-                n += 1
+            for n, li in enumerate(x.find_all("li"), 1):
                 own = Node("li", {}, [c for c in li.children if not (isinstance(c, Node) and (c.name == "li" or c.name in LISTS))])
-                out.append(f"{'-' if name == 'ul' else f'{n}.'} {clean_line(_inline(own))}")
+                out.append(f"{'-' if x.name == 'ul' else f'{n}.'} {clean_line(_inline(own))}")
             out.append("")
-            loose = [c for c in child.children if isinstance(c, str) and c.strip() or isinstance(c, Node) and c.name != "li" and c.name not in LISTS]
+            loose = [c for c in x.children if isinstance(c, str) and c.strip() or isinstance(c, Node) and c.name != "li" and c.name not in LISTS]
             if loose:
-                _render(Node("", {}, loose), out, drop, depth + 1)
-                out.append("")
-        elif name == "br":
+                work += [("",), *reversed(loose)]
+        elif x.name == "br":
             out.append("")
-        elif name == "pre" and "\n" in _inline(child):
-            out += ["", *_inline(child).strip("\n").split("\n"), ""]
-        elif name in HEADINGS or name in STRUCTURE or name in ("header", "footer", "nav", "aside", "main", "dl", "dt", "dd", "figure", "body", "html"):
-            out += ["", ""] if name in STRUCTURE else [""]
-            _render(child, out, drop, depth + 1)
-            out += ["", ""] if name in STRUCTURE else [""]
+        elif x.name == "pre" and "\n" in _inline(x):
+            out += ["", *_inline(x).strip("\n").split("\n"), ""]
+        elif x.name in HEADINGS or x.name in STRUCTURE or x.name in _APART:
+            gap = ("", "") if x.name in STRUCTURE else ("",)
+            out += gap
+            work += [gap, *reversed(x.children)]
         else:
-            _render(child, out, drop, depth + 1)
+            work += reversed(x.children)
+    return out
 
 
 _CLOSABLE = re.compile(r"(?i)<(/?)(ul|ol|table|pre|a|h[1-6])(?=[\s>])[^<>]*>")
@@ -276,17 +289,50 @@ def _closed(text: str) -> str:
     return text
 
 
-def _from_html(text: str) -> str:
-    if _HTML_REF.search(text) and re.search(rf"(?i)&lt;(?:/|{'|'.join(_TAGS.split())})\b", text):
-        text = entities.unescape(text)  # a page that was escaped once too often
-    if re.search(rf"(?i){_TAG}|<!--|<!doctype", text):
-        # what isn't a tag must not be read as one
-        text = re.sub(rf"(?i)<(?!/?(?:{'|'.join(_TAGS.split())})(?=[\s/>])|!--|!doctype)", "&lt;", text)
-        root = parse(_closed(text))
-        lines = [""]
-        _render(root, lines, _Density(root).furniture())
-        return "\n".join(lines)
-    return entities.unescape(text)
+def _html_tree(text: str) -> Node | None:
+    """Tree of a text that holds elements; null if it holds character references only."""
+    if not re.search(rf"(?i){_TAG}|<!--|<!doctype", text):
+        return None
+    # what isn't a tag must not be read as one
+    text = re.sub(rf"(?i)<(?!/?(?:{'|'.join(_TAGS.split())})(?=[\s/>])|!--|!doctype)", "&lt;", text)
+    return parse(_closed(text))
+
+
+def _grafted(root: Node, patterns: list[re.Pattern[str]]) -> Node:
+    """A copy of the tree's shape for the density: each construct of the other kinds in its texts as a node, links as
+    links."""
+
+    def graft(s: str) -> list[Node | str]:
+        spans = sorted((m.span() for p in patterns for m in p.finditer(s)), key=lambda x: (x[0], -x[1]))
+        out: list[Node | str] = []
+        at = 0
+        for a, b in spans:
+            if a < at:
+                continue
+            link = s[a : a + 2] in ("[[", "![") or s[a] == "[" or s[a] == "<"
+            out += [s[at:a], Node("a" if link else "mark", {}, [s[a:b]])]
+            at = b
+        return [*out, s[at:]]
+
+    for node in [root, *root.walk()]:
+        node.children = [x for c in node.children for x in (graft(c) if isinstance(c, str) else [c])]
+    return root
+
+
+def density(text: str, kinds: list[str]) -> tuple[set[int], Node | None, tuple[int, int, int]]:
+    """Subtrees to drop, the tree of the HTML, and the characters selected, kept beside and dropped, of a text with
+    residue of these kinds. Without HTML there is nothing to drop, as a construct of another kind is no part of a page."""
+    tree = _html_tree(text) if "html" in kinds else None
+    others = [p for kind, p in (("wiki", _WIKI), ("markdown", _MARKDOWN), ("latex", _LATEX)) if kind in kinds]
+    if tree is not None:
+        drop, counts = _Density(tree).selection()
+        return drop, tree, counts
+    return set(), None, _Density(_grafted(Node("", {}, [text]), others)).selection()[1]
+
+
+def _unescaped(text: str) -> str:
+    """A page that was escaped once too often, as it was meant."""
+    return entities.unescape(text) if re.search(rf"(?i)&lt;(?:/|{'|'.join(_TAGS.split())})\b", text) else text
 
 
 # --------------------------------------------------------------------------- the other kinds
@@ -379,23 +425,40 @@ def _from_latex(text: str) -> str:
     return re.sub(r"\x00(\d+)\x00", lambda m: kept[int(m[1])], text)
 
 
-def clean_text(text: str) -> tuple[str, list[str]]:
-    """(clean text, kinds of residue). Text without residue comes back as it is."""
+def cleaned(text: str) -> tuple[str, list[str], tuple[int, int, int]]:
+    """(clean text, kinds of residue, characters selected by density, kept beside the selection, and dropped). Text
+    without residue comes back as it is, all of it selected."""
     kinds = kinds_of(text)
     if not kinds:
-        return text, kinds
-    for kind, convert in (("html", _from_html), ("wiki", _from_wiki), ("latex", _from_latex), ("markdown", _from_markdown)):
+        return text, kinds, (len(text), 0, 0)
+    if "html" in kinds:
+        text = _unescaped(text)
+    drop, tree, counts = density(text, kinds)
+    if tree is not None:
+        text = "\n".join(_render(tree, drop))
+    elif "html" in kinds:
+        text = entities.unescape(text)
+    for kind, convert in (("wiki", _from_wiki), ("latex", _from_latex), ("markdown", _from_markdown)):
         if kind in kinds:
             text = convert(text)
     lines = [clean_line(line) if not line.startswith("    ") else line.rstrip() for line in text.split("\n")]
-    return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip(), kinds
+    return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip(), kinds, counts
+
+
+def clean_text(text: str) -> tuple[str, list[str]]:
+    """(clean text, kinds of residue)."""
+    return cleaned(text)[:2]
 
 
 # --------------------------------------------------------------------------- plan
 
 
+COUNTS = ("selected", "beside", "dropped")
+
+
 def markup(docs: DataFrame, id_column: str, text_column: str = "text") -> DataFrame:
-    """(id, clean, kinds) of every row whose text isn't null; kinds is empty where nothing was changed.
+    """(id, clean, kinds, selected, beside, dropped) of every row whose text isn't null; kinds is empty where nothing was
+    changed. The last three are the characters the density selected, those kept beside the selection, and those dropped.
 
     Texts without any character that could begin residue pass through the JVM untouched; only the others go to
     Python, in Arrow batches. One narrow pass, no shuffle, whole texts.
@@ -405,10 +468,12 @@ def markup(docs: DataFrame, id_column: str, text_column: str = "text") -> DataFr
 
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            done = [clean_text(t) for t in batch["clean"]]
-            yield pd.DataFrame({id_column: batch[id_column], "clean": [t for t, _ in done], "kinds": [k for _, k in done]})
+            done = [cleaned(t) for t in batch["clean"]]
+            counts = {name: [c[i] for _, _, c in done] for i, name in enumerate(COUNTS)}
+            yield pd.DataFrame({id_column: batch[id_column], "clean": [t for t, _, _ in done], "kinds": [k for _, k, _ in done], **counts})
 
     kind = docs.schema[id_column].dataType.simpleString()
-    changed = rows.filter(suspect).mapInPandas(convert, f"{id_column} {kind}, clean string, kinds array<string>")
-    plain = rows.filter(~suspect).select(id_column, "clean", F.array().cast("array<string>").alias("kinds"))
+    changed = rows.filter(suspect).mapInPandas(convert, f"{id_column} {kind}, clean string, kinds array<string>, {', '.join(f'{c} int' for c in COUNTS)}")
+    none = F.lit(0)
+    plain = rows.filter(~suspect).select(id_column, "clean", F.array().cast("array<string>").alias("kinds"), F.length("clean").alias("selected"), none.alias("beside"), none.alias("dropped"))
     return plain.unionByName(changed)

@@ -39,7 +39,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_clean(spark: SparkSession, d: str) -> DataFrame:
-    return markup.markup(read(spark, d, "sections"), "page_id").select("page_id", F.col("clean").alias("text"), F.array_join("kinds", ",").alias("kinds"))
+    return markup.markup(read(spark, d, "sections"), "page_id").select("page_id", F.col("clean").alias("text"), F.array_join("kinds", ",").alias("kinds"), *markup.COUNTS)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:

@@ -61,3 +61,13 @@ def test_no_residue_passes_the_trigger(spark):
     plain = spark.createDataFrame([(t,) for t in texts], "t string").filter(~F.col("t").rlike(M.TRIGGER)).collect()
     assert len(plain) > 500
     assert [r.t for r in plain if M.kinds_of(r.t)] == []
+
+
+def test_selection_is_counted_and_any_depth_is_the_same():
+    body = "Sentence of the guidance, quite long enough to be read. " * 9
+    nav = "".join(f"<a href=/{i}>Link {i}</a>" for i in range(9))
+    text, _, (selected, beside, dropped) = M.cleaned(f"<nav>{nav}</nav><div><p>{body}</p><p>{body}</p></div><i>Beside.</i>")
+    assert "Link" not in text and "Beside." in text and dropped == 9 * len("Link 1") and beside == len("Beside.") and selected >= 2 * len(body.strip())
+    shallow = M.clean_text("<div><p>one</p><ul><li>two</li></ul></div>")[0]
+    assert M.clean_text("<div>" * 3000 + "<p>one</p><ul><li>two</li></ul>" + "</div>" * 3000)[0] == shallow == "one\n\n- two"
+    assert M.cleaned("no residue") == ("no residue", [], (10, 0, 0))
