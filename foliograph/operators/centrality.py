@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliograph.operators.components import connected_components
+from foliograph.operators.numbering import global_numbers
+from foliograph.operators.skew import Split, split_join
 from foliograph.session import cut
 
 #: Relationship and entity types that connect everything and say little.
@@ -35,11 +37,14 @@ def pagerank(edges: DataFrame, damping: float = 0.85, max_iterations: int = 50,
 
     Starts at 1/n; the mass of nodes without outgoing weight spreads evenly; stops when the changes sum to less than
     the tolerance. Normalised to a greatest value of 1 if asked for, else the values add up to 1. The shares of the
-    edges are fixed once; a round is one join and one sum that combines before the shuffle. An empty table gives an
-    empty result.
+    edges are fixed once; a round is one join, hubs apart, and one sum that combines before the shuffle. An empty table
+    gives an empty result.
     """
+    edges = cut(edges)
     totals = edges.groupBy("src").agg(F.sum("weight").alias("total"))
-    shares = cut(edges.join(totals, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")))
+    outgoing = Split(edges, ["src"])
+    shares = outgoing.join(totals).select("src", "dst", (F.col("weight") / F.col("total")).alias("share"))
+    shares = Split(cut(shares), ["src"], heavy=outgoing.heavy)
     nodes = cut(edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct().join(totals.select(F.col("src").alias("node"), F.lit(True).alias("gives")), "node", "left"))
     n = nodes.count()
     if not n:
@@ -47,7 +52,7 @@ def pagerank(edges: DataFrame, damping: float = 0.85, max_iterations: int = 50,
     rank = nodes.select("node", "gives", F.lit(1.0 / n).alias("r"))
     loose = nodes.filter("gives is null").count() / n
     for _ in range(max_iterations):
-        got = shares.join(rank.select(F.col("node").alias("src"), "r"), "src").groupBy("dst").agg(F.sum(F.col("share") * F.col("r")).alias("in"))
+        got = shares.join(rank.select(F.col("node").alias("src"), "r")).groupBy("dst").agg(F.sum(F.col("share") * F.col("r")).alias("in"))
         base = (1 - damping) / n + damping * loose / n
         new = rank.join(got, rank["node"] == got["dst"], "left").select("node", "gives", (F.lit(base) + damping * F.coalesce("in", F.lit(0.0))).alias("new"), F.col("r").alias("old"))
         new = cut(new, forget=True)
@@ -64,39 +69,24 @@ def normalised(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column) / df.agg(F.max(column)).scalar())
 
 
-def global_numbers(df: DataFrame, order: list[Column], column: str) -> DataFrame:
-    """df with `column`, its rows numbered from 0 in a total order, without one task that sees them all.
-
-    The rows are sorted by ranges and kept; numbers run within a range, and each range starts where the ones before
-    it end. The driver gets one count per range.
-    """
-    ranges = cut(df.orderBy(*order).withColumn("_range", F.spark_partition_id()))
-    counts = sorted((r[0], r[1]) for r in ranges.groupBy("_range").count().collect())
-    starts, at = [], 0
-    for name, n in counts:
-        starts += [F.lit(name), F.lit(at).cast("bigint")]
-        at += n
-    number = F.row_number().over(W.partitionBy("_range").orderBy(*order)) - 1
-    first = F.element_at(F.create_map(*starts), F.col("_range")) if starts else F.lit(0).cast("bigint")
-    return ranges.withColumn(column, first + number).drop("_range")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, component, component_size); components are numbered from 0 by size, the greatest first, then by their
     smallest node."""
     labels = cut(connected_components(edges))
     sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("component_size"))
     numbered = global_numbers(sizes, [F.desc("component_size"), F.asc("component")], "number")
-    return labels.join(numbered, "component").select("node", F.col("number").alias("component"), "component_size")
+    return split_join(labels, numbered, "component").select("node", F.col("number").alias("component"), "component_size")
 
 
-def communities(edges: DataFrame, rounds: int = 10, levels: int = 3) -> DataFrame:
+def communities(edges: DataFrame) -> DataFrame:
     """(node, community): modularity communities of the undirected graph (src, dst, weight), after Louvain.
 
     Every round each node sees the gain in modularity of joining each neighbouring community and moves to the best,
     the smaller label in a tie; in odd rounds only to smaller labels and in even ones only to greater, so that two
-    nodes don't swap places forever. When nothing moves, communities become nodes and it starts again. Labels are
-    the smallest node of each community.
+    nodes don't swap places forever. A level ends when neither kind of round moves anything, or modularity hasn't grown
+    for four rounds, and keeps the best labels it saw; then communities become nodes and it starts again, until a level
+    moves nothing. As every level adds to modularity it ends; there is no limit of rounds or levels. Labels are the
+    smallest node of each community.
     """
     pairs = edges.filter("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), "weight").groupBy("a", "b").agg(F.sum("weight").alias("w"))
     flat = cut(pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"), "w").union(pairs.select("b", "a", "w")))
@@ -105,44 +95,60 @@ def communities(edges: DataFrame, rounds: int = 10, levels: int = 3) -> DataFram
     if not total:
         return member
     graph = flat
-    for _ in range(levels):
-        labels = _moved(graph, float(total), rounds)
+    while True:
+        labels = _moved(graph, float(total))
         if labels.filter("node <> label").isEmpty():
             break
         to = labels.select(F.col("node").alias("community"), "label")
-        member = cut(member.join(to, "community").select("node", F.col("label").alias("community")), forget=True)
+        member = cut(split_join(member, to, "community").select("node", F.col("label").alias("community")), forget=True)
         a, b = labels.select(F.col("node").alias("src"), F.col("label").alias("s")), labels.select(F.col("node").alias("dst"), F.col("label").alias("d"))
-        graph = cut(graph.join(a, "src").join(b, "dst").groupBy(F.col("s").alias("src"), F.col("d").alias("dst")).agg(F.sum("w").alias("w")), forget=True)
+        graph = split_join(cut(split_join(graph, a, "src"), forget=True), b, "dst")
+        graph = cut(graph.groupBy(F.col("s").alias("src"), F.col("d").alias("dst")).agg(F.sum("w").alias("w")), forget=True)
     least = member.groupBy("community").agg(F.min("node").alias("least"))
-    return member.join(least, "community").select("node", F.col("least").alias("community"))
+    return split_join(member, least, "community").select("node", F.col("least").alias("community"))
 
 
-def _moved(graph: DataFrame, total: float, rounds: int) -> DataFrame:
-    """(node, label) after rounds of moves in one level."""
+def _moved(graph: DataFrame, total: float) -> DataFrame:
+    """(node, label) after the rounds of one level."""
     degree = cut(graph.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k")), forget=True)
     labels = degree.select("node", "k", F.col("node").alias("label"))
-    for i in range(rounds):
+    across = Split(graph.filter("src <> dst"), ["dst"]).kept()
+    loops = graph.filter("src = dst").agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
+    best_value, best_labels, idle, quiet, i = float("-inf"), labels, 0, 0, -1
+    while True:
+        i += 1
         mass = labels.groupBy(F.col("label").alias("to")).agg(F.sum("k").alias("mass"))
-        seen = graph.filter("src <> dst").join(labels.select(F.col("node").alias("dst"), F.col("label").alias("to")), "dst").groupBy(F.col("src").alias("node"), "to").agg(F.sum("w").alias("w"))
+        seen = across.join(labels.select(F.col("node").alias("dst"), F.col("label").alias("to"))).groupBy(F.col("src").alias("node"), "to").agg(F.sum("w").alias("w"))
         own = labels.select("node", F.col("label").alias("to"), F.lit(0.0).alias("w"))
-        options = seen.unionByName(own).groupBy("node", "to").agg(F.sum("w").alias("w")).join(mass, "to").join(labels, "node")
+        options = cut(seen.unionByName(own).groupBy("node", "to").agg(F.sum("w").alias("w")), forget=True)
+        options = split_join(options, mass, "to").join(labels, "node")
         rest = F.col("mass") - F.when(F.col("to") == F.col("label"), F.col("k")).otherwise(0.0)
         gain = F.round(F.col("w") - F.col("k") * rest / total, 9)
         order = F.col("to") <= F.col("label") if i % 2 == 0 else F.col("to") >= F.col("label")
-        best = options.filter(order).select("node", "k", "label", "to", gain.alias("gain"), (F.col("to") == F.col("label")).alias("stay"))
-        best = best.groupBy("node", "k", "label").agg(F.min(F.struct((-F.col("gain")).alias("loss"), (~F.col("stay")).alias("moves"), F.col("to"))).alias("x"))
-        new = cut(best.select("node", "k", F.col("x.to").alias("label"), (F.col("x.to") != F.col("label")).alias("moved")), forget=True)
-        labels = new.drop("moved")
-        if i % 2 and new.filter("moved").isEmpty():
-            break
-    return labels.select("node", "label")
+        # what is inside the node's community now, for the modularity of the labels before the move
+        inside = F.when(F.col("to") == F.col("label"), F.col("w")).otherwise(0.0)
+        best = options.select("node", "k", "label", "to", gain.alias("gain"), (F.col("to") == F.col("label")).alias("stay"), order.alias("may"), inside.alias("inside"))
+        choice = F.when(F.col("may"), F.struct((-F.col("gain")).alias("loss"), (~F.col("stay")).alias("moves"), F.col("to")))
+        best = best.groupBy("node", "k", "label").agg(F.min(choice).alias("x"), F.sum("inside").alias("inside"))
+        new = cut(best.select("node", "k", F.col("x.to").alias("label"), (F.col("x.to") != F.col("label")).alias("moved"), "inside"), forget=True)
+        inside_sum, moved = new.agg(F.sum("inside"), F.count_if("moved")).first()
+        value = (inside_sum + loops) / total - mass.agg(F.sum(F.col("mass") * F.col("mass"))).first()[0] / (total * total)
+        if value > best_value + 1e-9:
+            best_value, best_labels, idle = value, labels, 0
+        else:
+            idle += 1
+        quiet = 0 if moved else quiet + 1
+        if quiet == 2 or idle == 4:
+            return best_labels.select("node", "label")
+        labels = new.drop("moved", "inside")
 
 
 def modularity(edges: DataFrame, member: DataFrame) -> float:
     """Modularity of communities (node, community) of the undirected graph (src, dst, weight)."""
     pairs = edges.filter("src <> dst").select("src", "dst", "weight")
     both = pairs.union(pairs.select("dst", "src", "weight"))
-    at = both.join(member.select(F.col("node").alias("src"), F.col("community").alias("cs")), "src").join(member.select(F.col("node").alias("dst"), F.col("community").alias("cd")), "dst")
+    at = split_join(cut(both), member.select(F.col("node").alias("src"), F.col("community").alias("cs")), "src")
+    at = cut(split_join(cut(at), member.select(F.col("node").alias("dst"), F.col("community").alias("cd")), "dst"))
     total, inside = at.agg(F.sum("weight"), F.sum(F.when(F.col("cs") == F.col("cd"), F.col("weight")))).first()
     if not total:
         return 0.0
@@ -150,6 +156,17 @@ def modularity(edges: DataFrame, member: DataFrame) -> float:
     return (inside or 0.0) / total - squares
 
 
+def overfetched(ranks: DataFrame, entities: DataFrame, n: int, by: str = "pagerank", factor: int = 4) -> DataFrame:
+    """(key, name, type, by, rank): what a trial run shows. The n * factor nodes of highest value come first, then those
+    that are hubs or have no type are left out, then the first n remain; so fewer than n come out where the top holds
+    many hubs. Values are relative to the greatest that is shown; ties go by key."""
+    best = ranks.orderBy(F.desc(by), "node").limit(n * factor)
+    shown = best.join(entities.select(F.col("key").alias("node"), "name", "type"), "node").filter(F.col("type").isNotNull() & ~F.col("type").isin(*HUB_TYPES))
+    first = shown.orderBy(F.desc(by), "node").limit(n)
+    rank = F.row_number().over(W.orderBy(F.desc(by), "node"))  # n rows
+    return first.select(F.col("node").alias("key"), "name", "type", (F.col(by) / F.max(by).over(W.partitionBy())).alias(by), rank.alias("rank"))
+
+
 def top(df: DataFrame, by: str, n: int, *ties: Column | str) -> DataFrame:
     """The n rows with the greatest value, ties by the columns given."""
     return df.orderBy(F.desc(by), *ties).limit(n)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliograph.functions import text as T
@@ -60,13 +61,24 @@ def alias_map(entities: DataFrame, doc: str = "slug", order: str = "key") -> Dat
     return rows.groupBy(doc, "alias_key").agg(F.min_by("key", F.struct("_o", "key")).alias("key"))
 
 
-def resolve(names: DataFrame, name: str, entities: DataFrame, into: str, doc: str = "slug") -> DataFrame:
+def loaded_names(loads: DataFrame, doc: str = "slug", order: tuple[str, ...] = ("loaded_at", "entity_id")) -> DataFrame:
+    """(doc, key, aliases, first) of loaded entities: all aliases of the loads of a key, and the place of the first."""
+    rows = loads.filter("key is not null").withColumn("first", F.struct(*order))
+    return rows.groupBy(doc, "key").agg(_union(F.coalesce("aliases", F.array().cast("array<string>"))).alias("aliases"), F.min("first").alias("first"))
+
+
+def name_map(entities: DataFrame, doc: str = "slug", order: str = "key") -> DataFrame:
+    """(doc, name_key, key), one row a name: an entity's own key stands for itself, whatever aliases say."""
+    own = entities.select(doc, F.col("key").alias("name_key"), F.lit(0).alias("_alias"), "key")
+    said = alias_map(entities, doc, order).select(doc, F.col("alias_key").alias("name_key"), F.lit(1).alias("_alias"), "key")
+    return own.unionByName(said).groupBy(doc, "name_key").agg(F.min_by("key", F.struct("_alias", "key")).alias("key"))
+
+
+def resolve(names: DataFrame, name: str, entities: DataFrame, into: str, doc: str = "slug", order: str = "key") -> DataFrame:
     """names with the key each name resolves to: an entity's key, else the key an alias stands for, else null."""
+    known = name_map(entities, doc, order).select(F.col(doc).alias("_d"), F.col("name_key").alias("_k"), F.col("key").alias(into))
     keyed = names.withColumn("_n", T.norm(F.col(name)))
-    keys = entities.select(F.col(doc).alias("_d"), F.col("key").alias("_k")).distinct()
-    al = alias_map(entities, doc).select(F.col(doc).alias("_ad"), F.col("alias_key").alias("_ak"), F.col("key").alias("_to"))
-    out = keyed.join(keys, (F.col(doc) == F.col("_d")) & (F.col("_n") == F.col("_k")), "left").join(al, (F.col(doc) == F.col("_ad")) & (F.col("_n") == F.col("_ak")), "left")
-    return out.withColumn(into, F.coalesce("_k", "_to")).drop("_n", "_d", "_k", "_ad", "_ak", "_to")
+    return keyed.join(known, (F.col(doc) == F.col("_d")) & (F.col("_n") == F.col("_k")), "left").drop("_n", "_d", "_k")
 
 
 def relationship_ok() -> Column:
@@ -77,13 +89,16 @@ def relationship_ok() -> Column:
 def relationship_fold(rows: DataFrame, doc: str = "slug", seq: str = "seq") -> DataFrame:
     """One row per (doc, source_key, type, target_key): mentions, evidence in first-seen order, sorted section ids.
 
-    rows are resolved relationships (doc, seq, source_key, type, target_key, evidence, section_ids); those that fail
-    relationship_ok are dropped, see dropped_counts. Blank evidence doesn't count.
+    rows are resolved relationships (doc, seq, source_key, type, target_key, evidence, section_ids), one each, with
+    their evidence as an array (or one quote); those that fail relationship_ok are dropped, see dropped_counts. Blank and repeated
+    evidence doesn't count. Evidence is combined per quote before the shuffle.
     """
     ok = rows.filter(relationship_ok())
     key = [doc, "source_key", "type", "target_key"]
     folded = ok.groupBy(*key).agg(F.count(F.lit(1)).alias("mentions"), _union(F.coalesce("section_ids", F.array().cast("array<string>"))).alias("section_ids"))
-    said = ok.select(*key, seq, _stripped("evidence").alias("e")).filter("e <> ''").groupBy(*key, "e").agg(F.min(seq).alias("at"))
+    quotes = F.col("evidence") if dict(rows.dtypes)["evidence"].startswith("array") else F.array("evidence")
+    said = ok.select(*key, seq, F.posexplode(quotes).alias("_at", "e")).select(*key, F.struct(seq, "_at").alias("at"), T.strip(F.col("e")).alias("e"))
+    said = said.filter("e <> ''").groupBy(*key, "e").agg(F.min("at").alias("at"))
     said = said.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "e"))), lambda x: x["e"]).alias("evidence"))
     return folded.join(said, key, "left").withColumn("evidence", F.coalesce("evidence", F.array().cast("array<string>")))
 
@@ -126,7 +141,34 @@ def entity_order() -> list[Column]:
     return [T.salience_rank(F.col("salience")).desc(), F.desc("mentions"), F.lower("name"), F.asc("key")]
 
 
-def back_pointers(entities: DataFrame) -> DataFrame:
-    """(slug, section_id, entity_mentions): sorted distinct keys of the entities that name a section."""
+def relationship_order() -> list[Column]:
+    """Most mentions, then source in lower case, type, and target in lower case."""
+    return [F.desc("mentions"), F.lower("source_key"), F.asc("type"), F.lower("target_key"), F.asc("source_key"), F.asc("target_key")]
+
+
+def placed(rows: DataFrame, order: list[Column], column: str, doc: str = "slug") -> DataFrame:
+    """rows with their place, from 0, in their document's list."""
+    return rows.withColumn(column, (F.row_number().over(W.partitionBy(doc).orderBy(*order)) - 1).cast("int"))
+
+
+def back_pointers(entities: DataFrame, relationships: DataFrame | None = None) -> DataFrame:
+    """(slug, section_id, entity_mentions, relationship_refs): sorted distinct keys of the entities that name a section,
+    and sorted places, in the document's list of relationships, of those that do. Without relationships the latter
+    column is left out."""
     rows = entities.select("slug", "key", F.explode("section_ids").alias("section_id"))
-    return rows.groupBy("slug", "section_id").agg(F.array_sort(F.collect_set("key")).alias("entity_mentions"))
+    said = rows.groupBy("slug", "section_id").agg(F.array_sort(F.collect_set("key")).alias("entity_mentions"))
+    if relationships is None:
+        return said
+    at = placed(relationships, relationship_order(), "place").select("slug", "place", F.explode("section_ids").alias("section_id"))
+    refs = at.groupBy("slug", "section_id").agg(F.array_sort(F.collect_set("place")).alias("relationship_refs"))
+    none = lambda c, kind: F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c)
+    return said.join(refs, ["slug", "section_id"], "full").select("slug", "section_id", none("entity_mentions", "string"), none("relationship_refs", "int"))
+
+
+def attach_to_sections(sections: DataFrame, pointers: DataFrame) -> DataFrame:
+    """sections with the pointers of back_pointers in place of any they had. Only sections with a section_id get some,
+    and of several with the same id the last, by page_id; the others have none."""
+    bare = sections.drop("entity_mentions", "relationship_refs")
+    last = bare.filter("section_id is not null").groupBy("slug", "section_id").agg(F.max("page_id").alias("page_id"))
+    to = last.join(pointers, ["slug", "section_id"]).drop("slug", "section_id")
+    return bare.join(to, "page_id", "left")

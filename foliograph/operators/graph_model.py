@@ -34,21 +34,28 @@ class Graph:
         return [(f.name, getattr(self, f.name)) for f in fields(self)]
 
 
-def newest_sections(sections: DataFrame) -> DataFrame:
-    """The newest row, by crawled_at then page_id, of each page whose newest row is a successful fetch, with node_id."""
-    rows = sections.withColumn("node_id", section_node(sections)).filter("node_id is not null")
-    newest = rows.groupBy("node_id").agg(F.max_by(F.struct(*sections.columns), F.struct("crawled_at", "page_id")).alias("x"))
-    return newest.filter("x.error is null").select("node_id", "x.*")
+def newest_sections(sections: DataFrame, *columns: str) -> DataFrame:
+    """The newest row, by crawled_at then page_id, of each page whose newest row is a successful fetch: node_id and the
+    columns named (all of them if none is). Only those are read and shuffled, so name no text that isn't needed."""
+    wanted = list(columns or sections.columns)
+    rows = sections.select(section_node(sections).alias("node_id"), "crawled_at", "page_id", F.struct(F.col("error").isNull().alias("ok"), F.struct(*wanted).alias("row")).alias("x")).filter("node_id is not null")
+    newest = rows.groupBy("node_id").agg(F.max_by("x", F.struct("crawled_at", "page_id")).alias("x"))
+    return newest.filter("x.ok").select("node_id", "x.row.*")
+
+
+def node_ids(sections: DataFrame) -> DataFrame:
+    """Node ids of the pages that are there."""
+    return newest_sections(sections, "page_id").select("node_id")
 
 
 def edges_between(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Distinct (src, dst) with both ends among the nodes and different from each other."""
-    src, dst = nodes.select(F.col("node_id").alias("src")), nodes.select(F.col("node_id").alias("dst"))
-    return links.filter("src <> dst").join(src, "src", "left_semi").join(dst, "dst", "left_semi").select("src", "dst").distinct()
+    """Distinct (src, dst), different from each other, of links that start at nodes, with the other end among them too."""
+    return links.filter("src <> dst").join(nodes.select(F.col("node_id").alias("dst")), "dst", "left_semi").select("src", "dst").distinct()
 
 
 def child_edges(nodes: DataFrame) -> DataFrame:
-    return edges_between(H.contents_links(nodes).select(F.col("parent").alias("src"), F.col("child").alias("dst")), nodes)
+    links = H.contents_links(nodes)  # ends at nodes
+    return links.filter("parent <> child").select(F.col("parent").alias("src"), F.col("child").alias("dst"))
 
 
 def cross_reference_edges(nodes: DataFrame) -> DataFrame:
@@ -73,28 +80,21 @@ def attachment_nodes(nodes: DataFrame) -> DataFrame:
     return rows.groupBy(F.col("a.url").alias("url")).agg(F.max(F.struct("a.title", "a.content_type")).alias("x")).select("url", "x.title", "x.content_type", F.lit(None).cast("bigint").alias("file_size"))
 
 
-def lead_edges(mentions: DataFrame) -> DataFrame:
-    """(src, dst, weight): the first entity, by key, of each page to the others the page mentions, by number of pages.
-
-    One edge per mention rather than one per pair, so a page that mentions very many entities costs no more than they
-    do; the first entity of a page is an aggregate that combines before the shuffle.
-    """
-    lead = mentions.groupBy(F.col("dst").alias("page")).agg(F.min("src").alias("lead"))
-    on = mentions.select(F.col("src").alias("other"), F.col("dst").alias("page")).join(lead, "page").filter("other <> lead")
-    return on.groupBy(F.col("lead").alias("src"), F.col("other").alias("dst")).agg(F.count(F.lit(1)).alias("weight"))
-
-
 def build(manuals: DataFrame, sections: DataFrame, entities: DataFrame, relationships: DataFrame | None = None) -> Graph:
-    """The whole graph. relationships are (source_key, type, target_key, evidence, mentions, created_from, seq)."""
-    nodes = newest_sections(sections)
-    edges = folds.edge_upsert(relationships) if relationships is not None else sections.sparkSession.createDataFrame([], "source_key string, type string, target_key string, evidence array<string>, mentions bigint, created_from string")
-    props = listing.section_props(nodes)
+    """The whole graph. relationships are folded loads (source_key, type, target_key, evidence, mentions, created_from,
+    seq), if there are any. Each table reads only the columns it needs, so that the text of pages is in the sections
+    alone."""
+    if relationships is None:
+        relationships = sections.sparkSession.createDataFrame([], "source_key string, type string, target_key string, evidence array<string>, mentions bigint, created_from string, seq bigint")
+    nodes = node_ids(sections)
+    placed = listing.positions(newest_sections(sections, "page_id", "slug", "section_id", "base_path"))
     return Graph(
         documents=manuals.select("slug", "title", "url", "description", "format", "organisations", "first_published_at", "public_updated_at", "schema_version"),
-        sections=nodes, attachments=attachment_nodes(nodes), entities=folds.entity_upsert(entities),
-        has_section=nodes.select(F.col("slug").alias("src"), F.col("node_id").alias("dst")), next=listing.next_chain(props).select("src", "dst"),
-        has_child=child_edges(nodes), cross_references=cross_reference_edges(nodes), has_attachment=attachment_edges(nodes), mentioned_in=mention_edges(entities, nodes),
-        discusses=folds.discusses_upsert(entities), entity_edges=edges,
+        sections=newest_sections(sections), attachments=attachment_nodes(newest_sections(sections, "attachments")), entities=folds.entity_upsert(entities),
+        has_section=newest_sections(sections, "slug").select(F.col("slug").alias("src"), F.col("node_id").alias("dst")), next=listing.next_chain(placed).select("src", "dst"),
+        has_child=child_edges(newest_sections(sections, "child_sections")), cross_references=cross_reference_edges(newest_sections(sections, "cross_references")),
+        has_attachment=attachment_edges(newest_sections(sections, "attachments")), mentioned_in=mention_edges(entities, nodes),
+        discusses=folds.discusses_upsert(entities), entity_edges=folds.edge_upsert(relationships),
     )
 
 

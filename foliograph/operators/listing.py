@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliograph.functions import text as T
+from foliograph.operators.numbering import global_numbers
 
 
 def first_seen(df: DataFrame, keys: list[str | Column], order: list[str]) -> DataFrame:
@@ -35,22 +36,36 @@ def listed(manuals: DataFrame, formats: list[str] | None = None, organisation: s
     return out.orderBy("title", "slug")
 
 
+def _placed() -> Column:
+    order = W.partitionBy("slug").orderBy(F.coalesce("section_id", F.lit("")), F.coalesce("base_path", F.lit("")), "page_id")
+    return (F.row_number().over(order) - 1).alias("position")
+
+
+def _name() -> Column:
+    return F.coalesce(F.nullif(F.col("section_id"), F.lit("")), F.col("base_path")).alias("section_id")
+
+
+def positions(sections: DataFrame) -> DataFrame:
+    """(page_id, slug, section_id, position): the number of each section in its manual by identifier and path. Of the
+    sections only these names are sorted."""
+    return sections.select("page_id", "slug", _name(), _placed())
+
+
 def section_props(sections: DataFrame) -> DataFrame:
     """Property columns of sections with their defaults: title from heading, text stripped, flags never null, and
-    position, the number of the section in its manual by identifier and path."""
-    order = W.partitionBy("slug").orderBy(F.coalesce("section_id", F.lit("")), F.coalesce("base_path", F.lit("")), "page_id")
+    position, see positions."""
     filled = lambda c: F.nullif(F.col(c), F.lit(""))
     return sections.select(
-        "page_id", "slug", F.coalesce(filled("section_id"), F.col("base_path")).alias("section_id"), F.coalesce(filled("title"), filled("heading"), F.lit("")).alias("title"),
+        "page_id", "slug", _name(), F.coalesce(filled("title"), filled("heading"), F.lit("")).alias("title"),
         F.coalesce("heading", F.lit("")).alias("heading"), F.coalesce("description", F.lit("")).alias("description"), T.strip(F.coalesce("text", F.lit(""))).alias("text"),
-        F.coalesce("is_contents_page", F.lit(False)).alias("is_contents_page"), F.coalesce("withdrawn", F.lit(False)).alias("withdrawn"), (F.row_number().over(order) - 1).alias("position"),
+        F.coalesce("is_contents_page", F.lit(False)).alias("is_contents_page"), F.coalesce("withdrawn", F.lit(False)).alias("withdrawn"), _placed(),
     )
 
 
-def next_chain(props: DataFrame) -> DataFrame:
-    """(src, dst) of consecutive sections of each manual. A manual of one section has none."""
+def next_chain(placed: DataFrame) -> DataFrame:
+    """(src, dst) of consecutive sections, by position, of each manual. A manual of one section has none."""
     after = F.lead("section_id").over(W.partitionBy("slug").orderBy("position"))
-    return props.select("slug", F.col("section_id").alias("src"), after.alias("dst")).filter("dst is not null")
+    return placed.select("slug", F.col("section_id").alias("src"), after.alias("dst")).filter("dst is not null")
 
 
 def measures(sections: DataFrame) -> DataFrame:
@@ -83,9 +98,11 @@ def assert_complete(sections: DataFrame) -> DataFrame:
 
 
 def tally(df: DataFrame, column: str) -> DataFrame:
-    """Counts by value with their rank, greatest first, then by value. Nulls are counted as a value."""
+    """Counts by value with their rank, greatest first, then by value. Nulls are counted as a value. The ranks come from
+    ranges of the sorted counts, so no task sees all values."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("rank", F.row_number().over(W.orderBy(F.desc("n"), F.asc_nulls_first(column))))
+    ranked = global_numbers(counts, [F.desc("n"), F.asc_nulls_first(column)], "rank")
+    return ranked.withColumn("rank", (F.col("rank") + 1).cast("int"))
 
 
 def count_map(df: DataFrame, group: str, column: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from foliograph.functions import html
 from foliograph.functions import ids
 from foliograph.functions import text as T
-from foliograph.operators import centrality, chunking, components, folds, graph_model, listing, models, nested, retrieval, vectors
+from foliograph.operators import centrality, chunking, components, folds, graph_model, listing, models, nested, retrieval, traversal, vectors
 from foliograph.session import cut, read
 from foliograph.sources import documents as docs
 
@@ -23,8 +23,14 @@ def query(f: Query) -> Query:
     return f
 
 
-def _pages(spark: SparkSession, d: str) -> DataFrame:
-    return graph_model.newest_sections(read(spark, d, "sections"))
+def _pages(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Newest rows of the pages that are there, with the columns named."""
+    return graph_model.newest_sections(read(spark, d, "sections"), *columns)
+
+
+#: What the place of a page in its manual and its properties are made of.
+PLACE = ("page_id", "slug", "section_id", "base_path")
+ELIGIBLE = ("error", "is_contents_page", "text", "description")
 
 
 # --------------------------------------------------------------------------- listing and text
@@ -96,12 +102,13 @@ def o23_eligible(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def o24_props(spark: SparkSession, d: str) -> DataFrame:
-    return listing.section_props(_pages(spark, d)).drop("text", "description")
+    rows = _pages(spark, d, *PLACE, "title", "heading", "description", "is_contents_page", "withdrawn")
+    return listing.section_props(rows.withColumn("text", F.lit(None).cast("string"))).drop("text", "description")
 
 
 @query
 def o25_embedding_text(spark: SparkSession, d: str) -> DataFrame:
-    rows = _pages(spark, d).filter(~F.col("is_contents_page") & (T.word_count(F.col("text")) >= 10))
+    rows = _pages(spark, d, "page_id", "heading", "text", "is_contents_page").filter(~F.col("is_contents_page") & (T.word_count(F.col("text")) >= 10))
     return rows.select("page_id", models.embedding_text("heading", "text").alias("text"))
 
 
@@ -145,10 +152,10 @@ def o35_guarded_sql(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sized(spark: SparkSession, d: str) -> DataFrame:
-    """Eligible newest pages with their place in the manual and words."""
-    rows = chunking.eligible(_pages(spark, d))
-    props = listing.section_props(rows).select("page_id", F.col("position").alias("pos"))
-    return rows.join(props, "page_id").select("slug", "pos", "page_id", T.word_count(F.col("text")).alias("words"))
+    """Eligible newest pages with their place in the manual and words. The text is reduced to its words as soon as the
+    newest row is known; only names and numbers are sorted."""
+    rows = chunking.eligible(_pages(spark, d, *PLACE, *ELIGIBLE)).select(*PLACE, T.word_count(F.col("text")).alias("words"))
+    return listing.positions(rows.withColumn("words", F.col("words"))).join(rows.select("page_id", "words"), "page_id").select("slug", F.col("position").alias("pos"), "page_id", "words")
 
 
 @query
@@ -179,10 +186,10 @@ def o37_halves(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def o26_prompts(spark: SparkSession, d: str) -> DataFrame:
-    pages = chunking.eligible(_pages(spark, d))
-    chunks = chunking.greedy_chunks(_sized(spark, d), budget=400)
-    at = _sized(spark, d).select("slug", "pos", "page_id")
-    rows = chunks.join(at, ["slug", "pos"]).join(pages.select("page_id", "section_id", "base_path", "heading", "description", "text"), "page_id")
+    sized = cut(_sized(spark, d))
+    chunks = chunking.greedy_chunks(sized, budget=400).join(sized.select("slug", "pos", "page_id"), ["slug", "pos"])
+    pages = _pages(spark, d, "page_id", "section_id", "base_path", "heading", "description", "text")
+    rows = chunks.join(pages, "page_id")
     name = F.coalesce("section_id", "base_path")
     text = F.when(F.col("piece_no") + F.col("first_word") + F.col("n_words") == T.word_count(F.col("text")), F.col("text")).otherwise(chunking.piece_text(F.col("text"), F.col("first_word"), F.col("n_words")))
     part = chunking.prompt_part(name, chunking.piece_heading(F.col("heading"), F.col("piece_no")), F.col("description"), text)
@@ -252,13 +259,18 @@ def o44_alias_resolution(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _relationships(spark: SparkSession, d: str) -> DataFrame:
-    """Relationships of the raw records, resolved by name against the loaded entities of any document."""
-    parts = cut(nested.flatten_records(read(spark, d, "raw_documents")))
+    """Relationships of the raw records, one row each with its evidence. Their ends are resolved within the manual: an
+    entity's key, else the key that an alias stands for, of the entities loaded from it."""
+    parts = cut(nested.flatten_records(read(spark, d, "raw_documents")).filter(F.col("element").isin("relationship", "evidence")))
     rels = nested.flat_table(parts, "relationship")
-    said = nested.flat_table(parts, "evidence").select(F.col("parent_key").alias("node_key"), F.col("value").alias("evidence"))
+    said = nested.flat_table(parts, "evidence").groupBy(F.col("parent_key").alias("node_key"))
+    said = said.agg(F.transform(F.array_sort(F.collect_list(F.struct("item_no", "value"))), lambda x: x["value"]).alias("evidence"))  # quotes of one element
     rows = rels.join(said, "node_key", "left").join(read(spark, d, "raw_documents").select("record_id", "slug"), "record_id")
-    key = lambda c: F.nullif(T.norm(F.col(c)), F.lit(""))
-    return rows.select("slug", F.struct("record_id", "item_no", "evidence").alias("seq"), key("source").alias("source_key"), "type", key("target").alias("target_key"), "evidence", nested.items(F.col("section_ids")).alias("section_ids"))
+    rows = rows.select("slug", F.struct("record_id", "item_no").alias("seq"), "source", "type", "target", "evidence", nested.items(F.col("section_ids")).alias("section_ids"))
+    known = cut(folds.name_map(folds.loaded_names(read(spark, d, "entities")), order="first"))
+    for end in ("source", "target"):
+        rows = rows.withColumn("name_key", T.norm(F.col(end))).join(known.withColumnRenamed("key", f"{end}_key"), ["slug", "name_key"], "left").drop("name_key")
+    return rows.select("slug", "seq", "source_key", "type", "target_key", "evidence", "section_ids")
 
 
 @query
@@ -292,10 +304,15 @@ def o62_discusses(spark: SparkSession, d: str) -> DataFrame:
     return folds.discusses_upsert(read(spark, d, "entities")).withColumn("salience", F.coalesce("salience", F.lit("")))
 
 
+def _loads(spark: SparkSession, d: str) -> DataFrame:
+    """Relationship loads: the fold of each record is one load, in the order of the records."""
+    rows = _relationships(spark, d)
+    by_record = folds.relationship_fold(rows.withColumn("load", F.struct("seq.record_id", "slug")), doc="load")
+    return by_record.select(F.col("load.record_id").alias("seq"), "source_key", "type", "target_key", "evidence", "mentions", F.concat("load.slug", F.lit(".json")).alias("created_from"))
+
+
 def _edges(spark: SparkSession, d: str) -> DataFrame:
-    """Relationship loads folded over all documents: each manual's fold is one load, in the order of the manuals."""
-    loads = folds.relationship_fold(_relationships(spark, d)).withColumn("created_from", F.concat("slug", F.lit(".json")))
-    return folds.edge_upsert(loads, "slug")
+    return folds.edge_upsert(_loads(spark, d))
 
 
 @query
@@ -305,13 +322,23 @@ def o63_edge_upsert(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def o69_entity_order(spark: SparkSession, d: str) -> DataFrame:
-    """The hundred first entities in the order of a document's list: a top-k report."""
-    return folds.discusses_upsert(read(spark, d, "entities")).withColumn("name", F.col("key")).orderBy(*folds.entity_order(), "slug").limit(100).select("slug", "key", "mentions")
+    """Each document's list of entities in its order."""
+    names = folds.entity_upsert(read(spark, d, "entities")).select("key", "name")
+    rows = folds.discusses_upsert(read(spark, d, "entities")).join(names, "key")
+    return folds.placed(rows, folds.entity_order(), "place").select("slug", "place", "key", "name", "mentions")
+
+
+@query
+def o69_relationship_order(spark: SparkSession, d: str) -> DataFrame:
+    """Each document's list of relationships in its order."""
+    rows = folds.relationship_fold(_relationships(spark, d))
+    return folds.placed(rows, folds.relationship_order(), "place").select("slug", "place", "source_key", "type", "target_key", "mentions")
 
 
 @query
 def o93_back_pointers(spark: SparkSession, d: str) -> DataFrame:
-    return _joined(folds.back_pointers(_entities(spark, d)), "entity_mentions")
+    rows = folds.back_pointers(_entities(spark, d), folds.relationship_fold(_relationships(spark, d)))
+    return rows.select("slug", "section_id", F.array_join("entity_mentions", "; ").alias("entity_mentions"), F.array_join(F.transform("relationship_refs", lambda x: x.cast("string")), ",").alias("relationship_refs"))
 
 
 # --------------------------------------------------------------------------- graph
@@ -319,32 +346,37 @@ def o93_back_pointers(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def o39_next(spark: SparkSession, d: str) -> DataFrame:
-    return listing.next_chain(listing.section_props(_pages(spark, d)))
+    return listing.next_chain(listing.positions(_pages(spark, d, *PLACE)))
 
 
 @query
 def o41_child_edges(spark: SparkSession, d: str) -> DataFrame:
-    return graph_model.child_edges(_pages(spark, d))
+    return graph_model.child_edges(_pages(spark, d, "child_sections"))
 
 
 @query
 def o42_cross_references(spark: SparkSession, d: str) -> DataFrame:
-    return graph_model.cross_reference_edges(_pages(spark, d))
+    return graph_model.cross_reference_edges(_pages(spark, d, "cross_references"))
+
+
+def _met(spark: SparkSession, d: str) -> DataFrame:
+    """Mentions of entities on pages that are there."""
+    return graph_model.mention_edges(read(spark, d, "entities"), graph_model.node_ids(read(spark, d, "sections")))
 
 
 @query
 def o46_mentioned_in(spark: SparkSession, d: str) -> DataFrame:
-    return graph_model.mention_edges(read(spark, d, "entities"), _pages(spark, d))
+    return _met(spark, d)
 
 
 @query
 def o10_attachments(spark: SparkSession, d: str) -> DataFrame:
-    return graph_model.attachment_nodes(_pages(spark, d)).select("url", "title", "content_type")
+    return graph_model.attachment_nodes(_pages(spark, d, "attachments")).select("url", "title", "content_type")
 
 
 @query
 def o65_summary(spark: SparkSession, d: str) -> DataFrame:
-    return graph_model.summary(graph_model.build(read(spark, d, "manuals"), read(spark, d, "sections"), read(spark, d, "entities")))
+    return graph_model.summary(graph_model.build(read(spark, d, "manuals"), read(spark, d, "sections"), read(spark, d, "entities"), _loads(spark, d)))
 
 
 @query
@@ -358,7 +390,7 @@ def o95_format_tally(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _page_edges(spark: SparkSession, d: str) -> DataFrame:
-    return centrality.weights(graph_model.cross_reference_edges(_pages(spark, d)).withColumn("w", F.lit(1)))
+    return centrality.weights(graph_model.cross_reference_edges(_pages(spark, d, "cross_references")).withColumn("w", F.lit(1)))
 
 
 @query
@@ -381,9 +413,29 @@ def o79_pagerank_converged(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def o70_top(spark: SparkSession, d: str) -> DataFrame:
-    """The twenty pages of highest rank: a top-k report."""
-    ranks = centrality.pagerank(_page_edges(spark, d), max_iterations=10, tolerance=0.0)
-    return centrality.top(ranks.select("node", F.round("pagerank", 6).alias("pagerank")), "pagerank", 20, "node")
+    """The twenty pages of highest rank, the ranks converged: a top-k report."""
+    return centrality.top(centrality.pagerank(_page_edges(spark, d)), "pagerank", 20, "node")
+
+
+def _projection(spark: SparkSession, d: str) -> DataFrame:
+    return centrality.projection(_edges(spark, d), folds.entity_upsert(read(spark, d, "entities")))
+
+
+@query
+def o82_weighted_pagerank(spark: SparkSession, d: str) -> DataFrame:
+    """Ten rounds over the projection of the entities with their weights, so that the SQL can do as many."""
+    ranks = centrality.pagerank(_projection(spark, d), max_iterations=10, tolerance=0.0)
+    return ranks.select("node", F.round("pagerank", 6).alias("pagerank"))
+
+
+@query
+def o71_overfetched(spark: SparkSession, d: str) -> DataFrame:
+    """What a trial run shows of the ranks of all entities that have edges, hubs left out afterwards."""
+    edges = _edges(spark, d).select(F.col("source_key").alias("src"), F.col("target_key").alias("dst"), F.col("mentions").alias("w"))
+    ranks = centrality.pagerank(centrality.weights(edges), max_iterations=10, tolerance=0.0)
+    ranks = ranks.withColumn("pagerank", F.round("pagerank", 6))
+    out = centrality.overfetched(ranks, folds.entity_upsert(read(spark, d, "entities")), 20)
+    return out.withColumn("pagerank", F.round("pagerank", 4)).withColumn("rank", F.col("rank").cast("int"))
 
 
 @query
@@ -404,7 +456,16 @@ def o67_component_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def o78_projection(spark: SparkSession, d: str) -> DataFrame:
-    return centrality.projection(_edges(spark, d), folds.entity_upsert(read(spark, d, "entities")))
+    return _projection(spark, d)
+
+
+@query
+def o81_modularity(spark: SparkSession, d: str) -> DataFrame:
+    """Modularity of the communities beside that of the components: a property that the communities must have."""
+    edges = cut(_page_edges(spark, d))
+    parts = centrality.components(edges).select("node", F.col("component").alias("community"))
+    good = centrality.modularity(edges, centrality.communities(edges)) >= centrality.modularity(edges, parts) - 1e-9
+    return spark.createDataFrame([(bool(good),)], "at_least_that_of_components boolean")
 
 
 # --------------------------------------------------------------------------- retrieval
@@ -431,16 +492,40 @@ def o72_nearest_of_each(spark: SparkSession, d: str) -> DataFrame:
 @query
 def o72_inverted_file(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "embeddings")
-    return vectors.InvertedFile().fit(rows).search(rows, rows.filter("vec_id % 50 = 0"), 10, probes=16)
+    return vectors.InvertedFile().fit(rows).search(rows, rows.filter("vec_id % 50 = 0"), 10)
+
+
+@query
+def o72_recall(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the inverted file finds at least nine tenths of the true neighbours of every fiftieth vector."""
+    rows = read(spark, d, "embeddings")
+    asked = rows.filter("vec_id % 50 = 0")
+    true = vectors.nearest_of_each(rows, asked, 10, 64).select("query_id", "id")
+    found = vectors.InvertedFile().fit(rows).search(rows, asked, 10).select("query_id", "id", F.lit(1).alias("hit"))
+    return true.join(found, ["query_id", "id"], "left").agg((F.coalesce(F.avg(F.coalesce("hit", F.lit(0))), F.lit(1.0)) >= 0.9).alias("recall_reached"))
+
+
+def _found_vectors(spark: SparkSession, d: str, rows: DataFrame, id_column: str, key: str) -> DataFrame:
+    """The ten keys nearest to the first vector, each by its nearest row; row n stands for vector n."""
+    at = read(spark, d, "embeddings").join(rows.select(F.col(id_column).alias("vec_id"), key), "vec_id").drop("vec_id")
+    q = F.array(*(F.lit(float(x)) for x in _query_vector(spark, d)))
+    best = at.select(key, vectors.cosine(F.col("embedding"), q).alias("score")).filter("score is not null").groupBy(key).agg(F.max("score").alias("score"))
+    return best.orderBy(F.desc("score"), key).limit(10)
 
 
 @query
 def o47_section_hits(spark: SparkSession, d: str) -> DataFrame:
     """The ten pages nearest to the first vector; page n of the crawl stands for vector n."""
-    pages = cut(_pages(spark, d))
-    near = vectors.nearest(read(spark, d, "embeddings").join(pages.select(F.col("page_id").alias("vec_id"), "node_id"), "vec_id").drop("vec_id"), _query_vector(spark, d), 10, "node_id")
+    near = _found_vectors(spark, d, _pages(spark, d, "page_id"), "page_id", "node_id").select(F.col("node_id").alias("id"), "score")
     names = folds.entity_upsert(read(spark, d, "entities")).select("key", "name")
-    return retrieval.section_hits(near.select(F.col("node_id").alias("id"), "score"), pages, graph_model.mention_edges(read(spark, d, "entities"), pages), names)
+    return retrieval.section_hits(near, _pages(spark, d, "title", "slug", "text"), _met(spark, d), names)
+
+
+@query
+def o48_entity_hits(spark: SparkSession, d: str) -> DataFrame:
+    """The ten entities nearest to the first vector; load n of an entity stands for vector n."""
+    near = _found_vectors(spark, d, read(spark, d, "entities").filter("key is not null"), "entity_id", "key")
+    return retrieval.entity_hits(near, folds.entity_upsert(read(spark, d, "entities")), folds.discusses_upsert(read(spark, d, "entities")), _typed(spark, d))
 
 
 @query
@@ -452,7 +537,7 @@ def o48_entity_neighbours(spark: SparkSession, d: str) -> DataFrame:
 
 def _typed(spark: SparkSession, d: str) -> DataFrame:
     """Typed edges between entities with their evidence, in the names of the retrieval operators."""
-    return _edges(spark, d).select(F.col("source_key").alias("src"), "type", F.col("target_key").alias("dst"), "mentions", "evidence")
+    return _edges(spark, d).select(F.col("source_key").alias("src"), "type", F.col("target_key").alias("dst"), "mentions", "evidence", "created_from")
 
 
 @query
@@ -460,12 +545,29 @@ def o50_strongest_edges(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.strongest_edges(_typed(spark, d)).select("node", "other", "type", "mentions", F.col("rank").cast("int").alias("rank"))
 
 
+@query
+def o50_entity_expand(spark: SparkSession, d: str) -> DataFrame:
+    """Every entity that has edges with its strongest ones, their quotes, and what to cite."""
+    rows = retrieval.expand_entities(None, cut(_typed(spark, d)), cut(_met(spark, d)), _pages(spark, d, "url", "text"), read(spark, d, "manuals"))
+    return rows.select("key", F.col("rank").cast("int").alias("rank"), "src", "type", "dst", "mentions", F.array_join("evidence", " // ").alias("evidence"), "section", "url")
+
+
 @query
 def o49_evidence_sections(spark: SparkSession, d: str) -> DataFrame:
     """Edges between entities, with the first page that mentions both and holds a quote of the edge's evidence."""
-    pages = _pages(spark, d)
-    mentions = graph_model.mention_edges(read(spark, d, "entities"), pages)
-    return retrieval.evidence_sections(_typed(spark, d), mentions, pages).select("src", "dst", "type", "node_id")
+    return retrieval.evidence_sections(cut(_typed(spark, d)), cut(_met(spark, d)), _pages(spark, d, "text")).select("src", "dst", "type", "node_id")
+
+
+@query
+def o49_section_expand(spark: SparkSession, d: str) -> DataFrame:
+    """Every page that mentions an entity, once per parent, with its first entities and the relations it states."""
+    met = cut(_met(spark, d))
+    children = graph_model.child_edges(_pages(spark, d, "child_sections"))
+    wanted = met.select(F.col("dst").alias("node_id"))
+    rows = retrieval.expand_sections(wanted, _pages(spark, d, "heading", "url", "text"), children, met, folds.entity_upsert(read(spark, d, "entities")), cut(_typed(spark, d)))
+    keys = F.array_join(F.transform("entities", lambda e: e["key"]), "; ")
+    said = F.array_join(F.transform("relations", lambda r: F.concat_ws(" ", r["src"], r["type"], r["dst"])), "; ")
+    return rows.select("node_id", "heading", "url", "parent", keys.alias("entities"), F.col("n_pairs").cast("int").alias("n_pairs"), F.coalesce(said, F.lit("")).alias("relations"))
 
 
 @query
@@ -477,11 +579,42 @@ def o51_ego_network(spark: SparkSession, d: str) -> DataFrame:
 def o52_read_sections(spark: SparkSession, d: str) -> DataFrame:
     """All pages that sections refer to as children, there or not."""
     wanted = read(spark, d, "sections").select(F.explode("child_sections").alias("x")).select(ids.node_id(F.col("x.section_id"), F.col("x.base_path")).alias("node_id")).filter("node_id is not null")
-    return retrieval.read_sections(_pages(spark, d), wanted).select("node_id", F.length("text").alias("chars"), "truncated", "found")
+    return retrieval.read_sections(_pages(spark, d, "title", "text"), wanted).select("node_id", F.length("text").alias("chars"), "truncated", "found")
+
+
+def _answer(spark: SparkSession, d: str) -> list[str]:
+    """The hundred entities of most mentions, as an answer might name."""
+    top = folds.discusses_upsert(read(spark, d, "entities")).groupBy("key").agg(F.sum("mentions").alias("m")).orderBy(F.desc("m"), "key").limit(100)
+    return [r[0] for r in top.collect()]
 
 
 @query
 def o54_answer_subgraph(spark: SparkSession, d: str) -> DataFrame:
     """The fifty strongest edges between the hundred entities of most mentions: a top-k report."""
-    top = folds.discusses_upsert(read(spark, d, "entities")).groupBy("key").agg(F.sum("mentions").alias("m")).orderBy(F.desc("m"), "key").limit(100)
-    return retrieval.answer_subgraph(_typed(spark, d), [r[0] for r in top.collect()]).select("src", "dst", "type", "mentions")
+    return retrieval.answer_subgraph(_typed(spark, d), _answer(spark, d)).select("src", "dst", "type", "mentions")
+
+
+@query
+def o54_answer_graph(spark: SparkSession, d: str) -> DataFrame:
+    """The graph of an answer that names the hundred entities of most mentions and cites the first hundred pages that
+    mention one of them."""
+    names, met, pages = _answer(spark, d), cut(_met(spark, d)), _pages(spark, d, "heading", "url")
+    cited = met.filter(F.col("src").isin(*names)).select(F.col("dst").alias("node_id")).distinct().join(pages, "node_id").orderBy("node_id").limit(100).select("url")
+    return retrieval.answer_graph(_typed(spark, d), met, pages, names, [r[0] for r in cited.collect()])
+
+
+def _walk(edges: DataFrame, links: int) -> DataFrame:
+    return traversal.walked(edges, links).select("start", "node", "distance")
+
+
+@query
+def o84_next_walk(spark: SparkSession, d: str) -> DataFrame:
+    """The up to three pages that follow each page in its manual."""
+    chain = listing.next_chain(listing.positions(_pages(spark, d, *PLACE))).select("src", "dst")
+    return _walk(chain, 3)
+
+
+@query
+def o84_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Entities with the rates they have."""
+    return traversal.rates(_typed(spark, d)).select("key", "rate", "mentions")

@@ -1,12 +1,13 @@
 """A small HTTP service around the question loop, on the standard library.
 
-POST /api/chat answers {"question": …} at once, POST /api/chat/stream as server-sent events, GET / tells that it is up,
-and GET /viz/<id> shows the graph of an answer as a page.
+POST /api/chat answers {"question": …} at once, POST /api/chat/stream as server-sent events while the answer is made,
+GET / is a page to ask from, and GET /viz/<id> shows the graph of an answer as a page.
 """
 
 from __future__ import annotations
 
 import html
+import inspect
 import json
 import re
 import uuid
@@ -15,8 +16,13 @@ from collections.abc import Callable, Iterator
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from typing import Any
 
-Answer = Callable[[str], dict[str, Any]]
+Answer = Callable[..., dict[str, Any]]
 KEPT_PAGES = 200
+HOME = """<!doctype html><meta charset=utf-8><title>Ask the manuals</title>
+<form onsubmit="ask(event)"><input name=q size=80 placeholder="A question"><button>Ask</button></form><pre id=out></pre>
+<script>async function ask(e){e.preventDefault();out.textContent='';
+const r=await fetch('/api/chat/stream',{method:'POST',body:JSON.stringify({question:e.target.q.value})});
+const d=new TextDecoder(),b=r.body.getReader();for(;;){const x=await b.read();if(x.done)break;out.textContent+=d.decode(x.value,{stream:true})}}</script>"""
 
 
 def render(refs: list[dict[str, str]]) -> str:
@@ -26,17 +32,36 @@ def render(refs: list[dict[str, str]]) -> str:
     return f"<!doctype html><meta charset=utf-8><title>Graph of the answer</title><table border=1>{rows}</table>"
 
 
-def events(result: dict[str, Any]) -> Iterator[str]:
-    """Server-sent events of an answer: each tool's result, then the answer."""
+def event(name: str, data: dict[str, Any]) -> str:
+    return f"event: {name}\ndata: {json.dumps(data, default=str)}\n\n"
+
+
+def public(result: dict[str, Any]) -> dict[str, Any]:
+    return {k: v for k, v in result.items() if k != "messages"}
+
+
+def told(result: dict[str, Any]) -> Iterator[str]:
+    """Events of the tools of an answer that told nothing while it was made."""
     for m in result.get("messages", []):
         if m.get("role") == "tool":
-            yield f"event: tool\ndata: {json.dumps({'name': m.get('name'), 'content': m.get('content', '')[:400]})}\n\n"
-    yield f"event: answer\ndata: {json.dumps({k: v for k, v in result.items() if k != 'messages'})}\n\n"
+            yield event("tool", {"name": m.get("name"), "content": m.get("content", "")[:400]})
 
 
 def serve(answer: Answer, host: str = "127.0.0.1", port: int = 8000) -> ThreadingHTTPServer:
-    """A server ready to run; the caller runs serve_forever() and shutdown()."""
+    """A server ready to run; the caller runs serve_forever() and shutdown(). An `answer` that takes a second argument
+    gets a function to tell its steps with, which a stream passes on at once."""
     pages: OrderedDict[str, str] = OrderedDict()
+    tells = len(inspect.signature(answer).parameters) > 1
+
+    def made(question: str, tell: Callable[[dict[str, Any]], None]) -> dict[str, Any]:
+        result = answer(question, tell) if tells else answer(question)
+        if result.get("graph_refs"):
+            name = uuid.uuid4().hex[:12]
+            pages[name] = render(result["graph_refs"])
+            while len(pages) > KEPT_PAGES:
+                pages.popitem(last=False)
+            result = {**result, "viz": f"/viz/{name}"}
+        return result
 
     class Handler(BaseHTTPRequestHandler):
         def log_message(self, *_: Any) -> None:
@@ -53,7 +78,7 @@ def serve(answer: Answer, host: str = "127.0.0.1", port: int = 8000) -> Threadin
         def do_GET(self) -> None:  # noqa: N802
             m = re.fullmatch(r"/viz/([0-9a-z]{12})", self.path)
             if self.path == "/":
-                self._send(200, "application/json", '{"status": "up"}')
+                self._send(200, "text/html", HOME)
             elif m and m[1] in pages:
                 self._send(200, "text/html", pages[m[1]])
             else:
@@ -68,18 +93,33 @@ def serve(answer: Answer, host: str = "127.0.0.1", port: int = 8000) -> Threadin
                     raise ValueError
             except (ValueError, KeyError, TypeError):
                 return self._send(422, "application/json", '{"error": "a question is needed"}')
+            if self.path.endswith("stream"):
+                return self._stream(question)
             try:
-                result = answer(question)
+                result = made(question, lambda step: None)
             except Exception as e:  # noqa: BLE001
                 return self._send(500, "application/json", json.dumps({"error": type(e).__name__}))
-            if result.get("graph_refs"):
-                name = uuid.uuid4().hex[:12]
-                pages[name] = render(result["graph_refs"])
-                while len(pages) > KEPT_PAGES:
-                    pages.popitem(last=False)
-                result = {**result, "viz": f"/viz/{name}"}
-            if self.path.endswith("stream"):
-                return self._send(200, "text/event-stream", "".join(events(result)))
-            return self._send(200, "application/json", json.dumps({k: v for k, v in result.items() if k != "messages"}))
+            return self._send(200, "application/json", json.dumps(public(result), default=str))
+
+        def _stream(self, question: str) -> None:
+            self.send_response(200)
+            self.send_header("Content-Type", "text/event-stream; charset=utf-8")
+            self.send_header("Connection", "close")
+            self.end_headers()
+
+            def write(text: str) -> None:
+                self.wfile.write(text.encode())
+                self.wfile.flush()
+
+            try:
+                result = made(question, lambda step: write(event(step.get("event", "step"), step)))
+                for text in () if tells else told(result):
+                    write(text)
+                write(event("answer", public(result)))
+            except BrokenPipeError:
+                pass
+            except Exception as e:  # noqa: BLE001
+                write(event("error", {"error": type(e).__name__}))
+            self.close_connection = True
 
     return ThreadingHTTPServer((host, port), Handler)

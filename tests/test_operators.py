@@ -195,8 +195,6 @@ def test_evidence(spark):
     m = spark.createDataFrame([("a", "p2"), ("b", "p2"), ("a", "p1"), ("b", "p1"), ("c", "p3")], "src string, dst string")
     pages = spark.createDataFrame([("p1", "has the other in it"), ("p2", "has quote one"), ("p3", "quote one"), ("p4", None)], "node_id string, text string")
     assert [tuple(r) for r in retrieval.evidence_sections(e, m, pages).collect()] == [("a", "b", "REQUIRES", "p1", "other")]
-    mentions = spark.createDataFrame([("a", "p1"), ("b", "p1"), ("c", "p1"), ("a", "p2"), ("b", "p2")], "src string, dst string")
-    assert sorted(tuple(r) for r in graph_model.lead_edges(mentions).collect()) == [("a", "b", 2), ("a", "c", 1)]
 
 
 def test_section_hits(spark):
@@ -244,7 +242,7 @@ def test_models(spark):
             return prompt
 
     chunks = spark.createDataFrame([("k", "aa\n\nbad"), ("l", "ok")], "key string, prompt string")
-    got = {(r.key, r.result, r.error) for r in models.extract_all(chunks, Flaky).collect()}
+    got = {(r.key, r.result, r.error) for r in models.extract_all(chunks, Flaky, sleep=lambda s: None).collect()}
     assert got == {("k", None, "OSError: down"), ("k", "aa", None), ("l", "ok", None)}
 
 

@@ -34,3 +34,28 @@ def test_routes():
         assert post("/api/chat", {})[0] == 422 and post("/api/chat", {"question": "fail"})[0] == 500 and post("/nope", {})[0] == 404
     finally:
         server.shutdown()
+
+
+def test_stream_tells_steps_as_they_happen():
+    gate, seen = threading.Event(), []
+
+    def answer(q, tell):
+        tell({"event": "call", "name": "expand"})
+        if q == "fail":
+            raise RuntimeError
+        assert gate.wait(10)
+        return {"answer": q}
+
+    server = service.serve(answer, port=0)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        url = f"http://127.0.0.1:{server.server_port}/api/chat/stream"
+        with request.urlopen(request.Request(url, b'{"question": "hi"}'), timeout=20) as r:
+            seen.append(r.readline())  # before the answer is there
+            gate.set()
+            seen += [x for x in r.read().split(b"\n") if x.startswith(b"event")]
+        assert seen == [b"event: call\n", b"event: answer"]
+        with request.urlopen(request.Request(url, b'{"question": "fail"}'), timeout=20) as r:
+            assert b"event: error" in r.read()
+    finally:
+        server.shutdown()
