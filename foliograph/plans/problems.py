@@ -50,15 +50,33 @@ def p2_descendants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return N.flatten_records(read(spark, d, "raw_documents")).select("record_id", "element", "parent_no", "item_no")
+    rows = N.Flattened(read(spark, d, "raw_documents")).rows
+    return rows.filter(F.col("element").isin(*N.ELEMENTS.values())).select("record_id", "element", "parent_no", "item_no")
 
 
-def p4_sections(spark: SparkSession, d: str) -> DataFrame:
-    return N.flat_table(N.flatten_records(read(spark, d, "raw_documents")), "section")
+#: Columns of the flat tables that the SQL has too; the tables have every field there is.
+P4_TABLES = {
+    "section": ["section_id", "base_path", "title", "heading", "description", "text", "public_updated_at", "withdrawn", "error"],
+    "child_section": ["section_id", "title", "base_path", "group"],
+    "cross_reference": ["href", "text"],
+    "attachment": ["title", "url", "content_type"],
+    "entity": ["key", "name", "type", "definition", "salience", "mentions"],
+    "relationship": ["source", "type", "target"],
+    "evidence": ["value"],
+    "enrichment.entities.aliases": ["value"],
+}
 
 
-def p4_child_sections(spark: SparkSession, d: str) -> DataFrame:
-    return N.flat_table(N.flatten_records(read(spark, d, "raw_documents")), "child_section")
+def _p4_table(element: str) -> Query:
+    def table(spark: SparkSession, d: str) -> DataFrame:
+        rows = N.flat_table(read(spark, d, "raw_documents"), element)
+        have = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in P4_TABLES[element]]
+        return rows.select("record_id", "node_key", "parent_key", "item_no", *have)
 
+    return table
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_paths, p2_descendants, p4_found, p4_sections, p4_child_sections)}
+
+P4_NAMES = {"section": "p4_sections", "child_section": "p4_child_sections", "cross_reference": "p4_cross_references", "attachment": "p4_attachments", "entity": "p4_entities", "relationship": "p4_relationships", "evidence": "p4_evidence", "enrichment.entities.aliases": "p4_aliases"}
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_paths, p2_descendants, p4_found)}
+QUERIES.update({name: _p4_table(element) for element, name in P4_NAMES.items()})

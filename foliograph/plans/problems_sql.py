@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from foliograph.plans import nested_sql as N
+
 _SEGMENT = "nullif(lower(split_part(regexp_replace(regexp_replace(trim({x}), '[?#].*$', ''), '/+$', ''), '/', -1)), '')"
 
 
@@ -68,3 +70,12 @@ SQL["p2_paths"] = f"""WITH RECURSIVE {_TREE}, kids AS (SELECT anc, count(*) AS n
     UNION ALL SELECT b.node, b.root_id, -1, NULL, b.node IN (SELECT node FROM onloop), -1 FROM below b"""
 SQL["p2_descendants"] = f"""WITH RECURSIVE {_TREE} SELECT u.anc AS node_id, u.node AS descendant_id, (a.depth - b.depth)::INTEGER AS distance
     FROM up u JOIN walk a ON a.node_id = u.node JOIN walk b ON b.node_id = u.anc"""
+SQL["p4_found"] = N.FOUND
+SQL["p4_sections"] = N.table("section", "sec", [("section_id", "sectionId"), ("base_path", "basePath"), ("title",), ("heading",), ("description",), ("text",), ("public_updated_at", "publicUpdatedAt"), ("withdrawn",), ("error",)])
+SQL["p4_child_sections"] = N.table("child_section", "kid", [("section_id", "sectionId"), ("title",), ("base_path", "basePath"), ("group",)], "section")
+SQL["p4_cross_references"] = N.table("cross_reference", "ref", [("href",), ("text",)], "section")
+SQL["p4_attachments"] = N.table("attachment", "att", [("title",), ("url",), ("content_type", "contentType")], "section")
+SQL["p4_entities"] = N.table("entity", "ent", [("key",), ("name",), ("type",), ("definition",), ("salience",), ("mentions",)])
+SQL["p4_relationships"] = N.table("relationship", "rel", [("source",), ("type",), ("target",)])
+SQL["p4_evidence"] = N.values("evidence", "evi", "relationship")
+SQL["p4_aliases"] = N.aliases()

@@ -258,15 +258,22 @@ def o44_alias_resolution(spark: SparkSession, d: str) -> DataFrame:
     return folds.resolve(names, "alias", entities, "resolved_key").select("slug", "alias", "resolved_key")
 
 
+def _with(df: DataFrame, *columns: str) -> DataFrame:
+    """df with the columns, null where no record has such a field."""
+    return df.select("*", *(F.lit(None).cast("string").alias(c) for c in columns if c not in df.columns))
+
+
 def _relationships(spark: SparkSession, d: str) -> DataFrame:
     """Relationships of the raw records, one row each with its evidence. Their ends are resolved within the manual: an
     entity's key, else the key that an alias stands for, of the entities loaded from it."""
-    parts = cut(nested.flatten_records(read(spark, d, "raw_documents")).filter(F.col("element").isin("relationship", "evidence")))
-    rels = nested.flat_table(parts, "relationship")
-    said = nested.flat_table(parts, "evidence").groupBy(F.col("parent_key").alias("node_key"))
+    flat = nested.Flattened(read(spark, d, "raw_documents"))
+    flat.rows = cut(flat.rows.filter(F.col("element").isin("relationship", "evidence") | (F.col("path") == "enrichment.relationships.section_ids")))
+    rels = _with(flat.table("relationship"), "source", "type", "target")
+    said = _with(flat.table("evidence"), "value").groupBy(F.col("parent_key").alias("node_key"))
+    pages = _with(flat.table("enrichment.relationships.section_ids"), "value").groupBy(F.col("parent_key").alias("node_key")).agg(F.collect_set("value").alias("section_ids"))  # of one element
     said = said.agg(F.transform(F.array_sort(F.collect_list(F.struct("item_no", "value"))), lambda x: x["value"]).alias("evidence"))  # quotes of one element
-    rows = rels.join(said, "node_key", "left").join(read(spark, d, "raw_documents").select("record_id", "slug"), "record_id")
-    rows = rows.select("slug", F.struct("record_id", "item_no").alias("seq"), "source", "type", "target", "evidence", nested.items(F.col("section_ids")).alias("section_ids"))
+    rows = rels.join(said, "node_key", "left").join(pages, "node_key", "left").join(read(spark, d, "raw_documents").select("record_id", "slug"), "record_id")
+    rows = rows.select("slug", F.struct("record_id", "item_no").alias("seq"), "source", "type", "target", "evidence", "section_ids")
     known = cut(folds.name_map(folds.loaded_names(read(spark, d, "entities")), order="first"))
     for end in ("source", "target"):
         rows = rows.withColumn("name_key", T.norm(F.col(end))).join(known.withColumnRenamed("key", f"{end}_key"), ["slug", "name_key"], "left").drop("name_key")

@@ -2,12 +2,18 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import functions as F
+
 from foliograph.operators import nested as N
 
 
+def records(spark, payloads):
+    return spark.createDataFrame([(i, p, "clash") for i, p in enumerate(payloads)], "record_id bigint, payload string, text string")
+
+
 def run(spark, payloads):
-    df = spark.createDataFrame([(i, p, "clash") for i, p in enumerate(payloads)], "record_id bigint, payload string, text string")
-    return N.flatten_records(df)
+    """The elements that have a name of their own; other lists, as those in groups, are levels too."""
+    return N.flatten_records(records(spark, payloads)).filter(F.col("element").isin(*N.ELEMENTS.values()))
 
 
 def keys(df, element=None):
@@ -47,7 +53,7 @@ def test_pages_and_cache_records(spark):
 
 
 def test_tables_keep_their_parents(spark):
-    df = run(spark, [json.dumps(DOC)])
+    df = N.Flattened(records(spark, [json.dumps(DOC)]))
     child = {r.node_key: r for r in N.flat_table(df, "child_section").collect()}
     sections = {r.node_key for r in N.flat_table(df, "section").collect()}
     assert all(r.parent_key in sections for r in child.values()) and len(child) == 3
@@ -57,7 +63,7 @@ def test_tables_keep_their_parents(spark):
 
 def test_long_texts_survive(spark):
     long = "x" * 2_000_000
-    df = run(spark, [json.dumps({"sections": [{"text": long}]})])
+    df = records(spark, [json.dumps({"sections": [{"text": long}]})])
     assert len(N.flat_table(df, "section").first().text) == len(long)
 
 
@@ -66,3 +72,54 @@ def test_schema(spark):
     got = N.merged_schema(df, "text")
     assert got["a"] == {"list", "object", "field"} and got["a.b"] == {"field", "scalar"} and got["c"] == {"list", "scalar", "field"}
     assert N.canonical("childSections") == "child_sections"
+
+
+def test_any_number_of_wrappings(spark):
+    texts, text = [], json.dumps({"sections": [{"title": "t"}]})
+    for _ in range(9):
+        texts.append(text)
+        text = json.dumps(text)
+    assert [k[0] for k in keys(run(spark, texts))] == list(range(9))
+
+
+def test_every_spelling_and_unknown_lists(spark):
+    doc = {
+        "pages": [{"sectionId": "A1", "basePath": "/m/a1", "notes": [{"by": "x", "marks": [1, None, 3]}, {"by": "y"}], "meta": {"lastSeen": "2020", "tags": ["p"]}}, {"section_id": "B", "base_path": "/m/b"}],
+        "manual": {"slug": "m"}, "deep": {"er": [{"k": 1}]},
+    }
+    flat = N.Flattened(records(spark, [json.dumps(doc)]))
+    assert set(flat.levels) == {"sections", "sections.notes", "sections.notes.marks", "sections.meta.tags", "deep.er"}
+    rows = sorted(N.flat_table(flat, "section").collect(), key=lambda r: r.item_no)
+    assert [(r.section_id, r.base_path, r.meta_last_seen) for r in rows] == [("A1", "/m/a1", "2020"), ("B", "/m/b", None)]
+    notes = {r.node_key: (r.parent_key, r.by) for r in N.flat_table(flat, "sections.notes").collect()}
+    assert notes == {"0:sections.notes:0:0": ("0:section:0", "x"), "0:sections.notes:0:1": ("0:section:0", "y")}
+    assert [(r.parent_key, r.item_no, r.value) for r in N.flat_table(flat, "sections.notes.marks").orderBy("item_no").collect()] == [("0:sections.notes:0:0", 0, "1"), ("0:sections.notes:0:0", 2, "3")]
+    assert [(r.parent_key, r.value) for r in N.flat_table(flat, "sections.meta.tags").collect()] == [("0:section:0", "p")]
+    assert [(r.parent_key, r.k) for r in N.flat_table(flat, "deep.er").collect()] == [(None, "1")]
+    assert N.flat_table(flat, "attachment").count() == 0
+
+
+def test_text_that_looks_like_json_stays_text(spark):
+    docs = [json.dumps({"sections": [{"text": "[1]", "n": 1}, {"text": "plain", "n": "x"}]}), json.dumps({"sections": {"text": '{"a": 1}'}}), json.dumps([{"sections": [{"text": "t"}]}])]
+    flat = N.Flattened(records(spark, docs))
+    assert set(flat.levels) == {"sections"}
+    assert sorted((r.text, r.n) for r in N.flat_table(flat, "section").fillna("").collect()) == [("[1]", "1"), ("plain", "x"), ("t", ""), ('{"a": 1}', "")]
+
+
+def test_types_are_read(spark):
+    assert N.parsed_type("OBJECT<a: ARRAY<OBJECT<`b c`: STRING, d: DECIMAL(2,1)>>, `x``y`: VARIANT, e: OBJECT<>>") == (
+        "OBJECT", {"a": ("ARRAY", ("OBJECT", {"b c": ("STRING",), "d": ("DECIMAL(2,1)",)})), "x`y": ("VARIANT",), "e": ("OBJECT", {})},
+    )
+    odd = {"sections": [{"we ird": 1, "da-sh": [2], "dot.ted": {"q": 3}, 'quo"te': 4, "": 5}]}
+    flat = N.Flattened(records(spark, [json.dumps(odd)]))
+    (r,) = N.flat_table(flat, "section").collect()
+    assert r["we ird"] == "1" and r["dot.ted_q"] == "3" and r['quo"te'] == "4"
+    assert [x.value for x in N.flat_table(flat, "sections.da_sh").collect()] == ["2"]
+
+
+def test_too_many_fields_are_an_error(spark):
+    import pytest
+
+    df = spark.createDataFrame([(json.dumps({f"k{i}": 1 for i in range(50)}),)], "text string")
+    with pytest.raises(ValueError, match="fields in one schema"):
+        N.merged_schema(df, "text", max_fields=20)
