@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foliograph.operators.components import connected_components
 from foliograph.operators.numbering import global_numbers
-from foliograph.operators.skew import Split, split_join
+from foliograph.operators.skew import HEAVY_SHARE, Split, split_join
 from foliograph.session import cut
 
 #: Relationship and entity types that connect everything and say little.
@@ -78,15 +78,15 @@ def components(edges: DataFrame) -> DataFrame:
     return split_join(labels, numbered, "component").select("node", F.col("number").alias("component"), "component_size")
 
 
-def communities(edges: DataFrame) -> DataFrame:
+def communities(edges: DataFrame, max_levels: int = 10, max_iterations: int = 10, tolerance: float = 1e-4) -> DataFrame:
     """(node, community): modularity communities of the undirected graph (src, dst, weight), after Louvain.
 
     Every round each node sees the gain in modularity of joining each neighbouring community and moves to the best,
     the smaller label in a tie; in odd rounds only to smaller labels and in even ones only to greater, so that two
-    nodes don't swap places forever. A level ends when neither kind of round moves anything, or modularity hasn't grown
-    for four rounds, and keeps the best labels it saw; then communities become nodes and it starts again, until a level
-    moves nothing. As every level adds to modularity it ends; there is no limit of rounds or levels. Labels are the
-    smallest node of each community.
+    nodes don't swap places forever. A level ends when neither kind of round moves anything or adds `tolerance` to
+    modularity, or after max_iterations of both kinds, and keeps the best labels it saw; then communities become nodes
+    and it starts again, until a level moves nothing or after max_levels. The three bounds are those usual for Louvain.
+    Labels are the smallest node of each community.
     """
     pairs = edges.filter("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), "weight").groupBy("a", "b").agg(F.sum("weight").alias("w"))
     flat = cut(pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"), "w").union(pairs.select("b", "a", "w")))
@@ -95,8 +95,8 @@ def communities(edges: DataFrame) -> DataFrame:
     if not total:
         return member
     graph = flat
-    while True:
-        labels = _moved(graph, float(total))
+    for _ in range(max_levels):
+        labels = _moved(graph, float(total), max_iterations, tolerance)
         if labels.filter("node <> label").isEmpty():
             break
         to = labels.select(F.col("node").alias("community"), "label")
@@ -108,39 +108,48 @@ def communities(edges: DataFrame) -> DataFrame:
     return split_join(member, least, "community").select("node", F.col("least").alias("community"))
 
 
-def _moved(graph: DataFrame, total: float) -> DataFrame:
+def _moved(graph: DataFrame, total: float, max_iterations: int, tolerance: float) -> DataFrame:
     """(node, label) after the rounds of one level."""
     degree = cut(graph.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k")), forget=True)
     labels = degree.select("node", "k", F.col("node").alias("label"))
     across = Split(graph.filter("src <> dst"), ["dst"]).kept()
     loops = graph.filter("src = dst").agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
-    best_value, best_labels, idle, quiet, i = float("-inf"), labels, 0, 0, -1
-    while True:
-        i += 1
+    best_value, best_labels, idle = float("-inf"), labels, 0
+    for i in range(2 * max_iterations + 1):  # the last round only tells the value of the one before
         mass = labels.groupBy(F.col("label").alias("to")).agg(F.sum("k").alias("mass"))
         seen = across.join(labels.select(F.col("node").alias("dst"), F.col("label").alias("to"))).groupBy(F.col("src").alias("node"), "to").agg(F.sum("w").alias("w"))
         own = labels.select("node", F.col("label").alias("to"), F.lit(0.0).alias("w"))
-        options = cut(seen.unionByName(own).groupBy("node", "to").agg(F.sum("w").alias("w")), forget=True)
-        options = split_join(options, mass, "to").join(labels, "node")
+        options = _with_mass(seen.unionByName(own).groupBy("node", "to").agg(F.sum("w").alias("w")), mass, total).join(labels, "node")
         rest = F.col("mass") - F.when(F.col("to") == F.col("label"), F.col("k")).otherwise(0.0)
         gain = F.round(F.col("w") - F.col("k") * rest / total, 9)
         order = F.col("to") <= F.col("label") if i % 2 == 0 else F.col("to") >= F.col("label")
         # what is inside the node's community now, for the modularity of the labels before the move
         inside = F.when(F.col("to") == F.col("label"), F.col("w")).otherwise(0.0)
-        best = options.select("node", "k", "label", "to", gain.alias("gain"), (F.col("to") == F.col("label")).alias("stay"), order.alias("may"), inside.alias("inside"))
+        best = options.select("node", "k", "label", "to", gain.alias("gain"), (F.col("to") == F.col("label")).alias("stay"), order.alias("may"), inside.alias("inside"), F.when(F.col("to") == F.col("label"), F.col("mass")).alias("own"))
         choice = F.when(F.col("may"), F.struct((-F.col("gain")).alias("loss"), (~F.col("stay")).alias("moves"), F.col("to")))
-        best = best.groupBy("node", "k", "label").agg(F.min(choice).alias("x"), F.sum("inside").alias("inside"))
-        new = cut(best.select("node", "k", F.col("x.to").alias("label"), (F.col("x.to") != F.col("label")).alias("moved"), "inside"), forget=True)
-        inside_sum, moved = new.agg(F.sum("inside"), F.count_if("moved")).first()
-        value = (inside_sum + loops) / total - mass.agg(F.sum(F.col("mass") * F.col("mass"))).first()[0] / (total * total)
+        best = best.groupBy("node", "k", "label").agg(F.min(choice).alias("x"), F.sum("inside").alias("inside"), (F.max("own") * F.col("k")).alias("square"))
+        new = cut(best.select("node", "k", F.col("x.to").alias("label"), (F.col("x.to") != F.col("label")).alias("moved"), "inside", "square"), forget=True)
+        # the squares of the masses add up over the nodes, each with its own part of its label's
+        inside_sum, squares, moved = new.agg(F.sum("inside"), F.sum("square"), F.count_if("moved")).first()
+        value = (inside_sum + loops) / total - squares / (total * total)
+        idle = 0 if value > best_value + tolerance else idle + 1
         if value > best_value + 1e-9:
-            best_value, best_labels, idle = value, labels, 0
-        else:
-            idle += 1
-        quiet = 0 if moved else quiet + 1
-        if quiet == 2 or idle == 4:
-            return best_labels.select("node", "label")
-        labels = new.drop("moved", "inside")
+            best_value, best_labels = value, labels
+        if idle == 2 or idle and not moved:
+            break
+        labels = new.drop("moved", "inside", "square")
+    return best_labels.select("node", "label")
+
+
+def _with_mass(options: DataFrame, mass: DataFrame, total: float) -> DataFrame:
+    """options (node, to, w) with the mass of each label. A label in many options has a great mass, as weights are at
+    least 1; labels with a thousandth of all mass are at most a thousand and are broadcast, the others can't be hot."""
+    great = mass.filter(F.col("mass") >= total * HEAVY_SHARE).select("to", F.col("mass").alias("great"))
+    rows = options.join(F.broadcast(great), "to", "left")
+    # options that have their mass are spread by node instead of meeting on the null key
+    rows = rows.withColumn("_on", F.when(F.col("great").isNull(), F.struct(F.col("to").alias("k"), F.lit(0).alias("s"))).otherwise(F.struct(F.col("node").alias("k"), F.lit(1).alias("s"))))
+    light = mass.filter(F.col("mass") < total * HEAVY_SHARE).select(F.struct(F.col("to").alias("k"), F.lit(0).alias("s")).alias("_on"), F.col("mass").alias("small"))
+    return rows.join(light, "_on", "left").select("node", "to", "w", F.coalesce("great", "small").alias("mass"))
 
 
 def modularity(edges: DataFrame, member: DataFrame) -> float:

@@ -82,8 +82,8 @@ def nearest_of_each(vectors: DataFrame, queries: DataFrame, k: int, dims: int, i
     return partial.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-#: Fewer cells than this aren't worth an index.
-MIN_CELLS = 32
+#: Fewer cells than this aren't worth an index; share of neighbours that the cells looked into must hold in the sample.
+MIN_CELLS, RECALL = 32, 0.95
 
 
 class InvertedFile:
@@ -96,7 +96,7 @@ class InvertedFile:
 
     def __init__(self, cells: int | None = None, sample_rows: int = 20_000, iterations: int = 15, seed: int = 7):
         self.cells, self.sample_rows, self.iterations, self.seed = cells, sample_rows, iterations, seed
-        self.centroids = np.zeros((0, 0))
+        self.centroids, self.probes = np.zeros((0, 0)), 1
 
     def fit(self, vectors: DataFrame, column: str = "embedding") -> InvertedFile:
         rows = vectors.filter(F.col(column).isNotNull()).orderBy(F.xxhash64(column, F.lit(self.seed))).limit(self.sample_rows).select(column).toPandas()[column]
@@ -113,8 +113,20 @@ class InvertedFile:
             new = np.array([data[own == c].mean(axis=0) if np.any(own == c) else at[c] for c in range(len(at))])
             at = new / np.maximum(np.linalg.norm(new, axis=1, keepdims=True), 1e-12)
         self.centroids = at
+        self.probes = self._probes(data)
         return self
 
+    def _probes(self, data: np.ndarray) -> int:
+        """The least number of cells to look into for RECALL of the ten nearest of a hundred rows of the sample."""
+        asked = data[:: max(1, len(data) // 100)]
+        scores = asked @ data.T
+        np.put_along_axis(scores, np.argmax(scores, axis=1)[:, None], -np.inf, axis=1)  # itself
+        near = np.argsort(-scores, axis=1, kind="stable")[:, : min(10, max(1, len(data) - 1))]
+        own = np.argmax(data @ self.centroids.T, axis=1)
+        place = np.argsort(np.argsort(-(asked @ self.centroids.T), axis=1, kind="stable"), axis=1)
+        needed = np.take_along_axis(place, own[near], axis=1).ravel()
+        return int(np.quantile(needed, RECALL, method="higher")) + 1 if len(needed) else 1
+
     def assign(self, vectors: DataFrame, probes: int, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
         """(id, v, cell): every vector with its nearest `probes` cells."""
         kind = dict(vectors.dtypes)[id_column]
@@ -130,10 +142,10 @@ class InvertedFile:
         return vectors.select(F.col(id_column).alias("id"), F.col(column).alias("v")).mapInPandas(cells, f"id {kind}, v array<float>, cell int")
 
     def search(self, vectors: DataFrame, queries: DataFrame, k: int, probes: int | None = None, id_column: str = "vec_id", column: str = "embedding", salts: int = 16) -> DataFrame:
-        """(query_id, id, score, rank) from the cells nearest to each query, by default half of the least number of cells
-        or a quarter of all, whichever is more. The vectors of a cell are spread over `salts` tasks, and each query
+        """(query_id, id, score, rank) from the cells nearest to each query, by default as many as the sample needed for
+        RECALL. The vectors of a cell are spread over `salts` tasks, and each query
         goes to all of them, so that a hot cell is no hot task."""
-        probes = probes or max(MIN_CELLS // 2, len(self.centroids) // 4)
+        probes = probes or self.probes
         own = self.assign(vectors, 1, id_column, column).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
         asked = self.assign(queries, probes, id_column, column).select(F.col("id").alias("query_id"), F.col("v").alias("q"), "cell", F.explode(F.array(*map(F.lit, range(salts)))).alias("salt"))
         hits = asked.join(own, ["cell", "salt"]).filter("id <> query_id").select("query_id", "id", F.round(cosine(F.col("q"), F.col("v")), 12).alias("score")).filter("score is not null")

@@ -53,7 +53,7 @@ ELEMENTS = ", ".join(
         f"docs AS (SELECT record_id, slug, unnest({listed('doc')}) AS doc FROM texts)",
         f"blocks AS MATERIALIZED (SELECT record_id, slug, {part('doc', 'sections', 'pages')} AS sections, {part('doc', 'enrichment', 'result')} AS b FROM docs)",
         _level("sec", "blocks", "record_id, slug", listed("sections")),
-        _level("ent", "blocks", "record_id, slug", listed(part("b", "entities"))),
+        _level("ents", "blocks", "record_id, slug", listed(part("b", "entities"))),
         _level("rel", "blocks", "record_id, slug", listed(part("b", "relationships"))),
         _children("kid", ["child_sections"]).replace(listed(part("e", "child_sections")), _GROUPED),
         _children("ref", ["cross_references", "crossReferences"]),
@@ -63,7 +63,7 @@ ELEMENTS = ", ".join(
 )
 
 FOUND = f"""WITH {ELEMENTS} {" UNION ALL ".join(f"SELECT record_id, '{element}' AS element, {parent}::INTEGER AS parent_no, item_no FROM {table}" for element, table, parent in (
-    ("section", "sec", "-1"), ("entity", "ent", "-1"), ("relationship", "rel", "-1"), ("child_section", "kid", "parent_no"), ("cross_reference", "ref", "parent_no"), ("attachment", "att", "parent_no"), ("evidence", "evi", "parent_no")))}"""
+    ("section", "sec", "-1"), ("entity", "ents", "-1"), ("relationship", "rel", "-1"), ("child_section", "kid", "parent_no"), ("cross_reference", "ref", "parent_no"), ("attachment", "att", "parent_no"), ("evidence", "evi", "parent_no")))}"""
 
 
 def table(element: str, source: str, columns: list[tuple[str, ...]], parent: str | None = None) -> str:
@@ -81,6 +81,6 @@ def values(element: str, source: str, parent: str) -> str:
 
 def aliases() -> str:
     """The aliases of entities: a list below a list."""
-    below = _level("als", "ent", "record_id, slug, item_no AS parent_no", listed(part("e", "aliases")))
+    below = _level("als", "ents", "record_id, slug, item_no AS parent_no", listed(part("e", "aliases")))
     below = below.replace("SELECT record_id, slug, item_no AS parent_no, (i", "SELECT record_id, slug, parent_no, (i").replace("FROM (SELECT record_id, slug, item_no AS parent_no, unnest", "FROM (SELECT record_id, slug, parent_no, unnest")
     return values("enrichment.entities.aliases", "als", "entity").replace(f"WITH {ELEMENTS}", f"WITH {ELEMENTS}, {below}")

