@@ -44,7 +44,7 @@ def pagerank(edges: DataFrame, damping: float = 0.85, max_iterations: int = 50,
     totals = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     outgoing = Split(edges, ["src"])
     shares = outgoing.join(totals).select("src", "dst", (F.col("weight") / F.col("total")).alias("share"))
-    shares = Split(cut(shares), ["src"], heavy=outgoing.heavy)
+    shares = Split(cut(shares), ["src"], like=outgoing)
     nodes = cut(edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct().join(totals.select(F.col("src").alias("node"), F.lit(True).alias("gives")), "node", "left"))
     n = nodes.count()
     if not n:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliograph.functions import ids
 from foliograph.operators.references import section_node
+from foliograph.operators.skew import grid_join, split_join
 from foliograph.session import cut
 
 #: Between the segments of a path; it can't occur in a node id, which is one segment of a URL path.
@@ -35,12 +36,13 @@ def _endless(links: DataFrame) -> tuple[DataFrame, int]:
     way would have an ancestor that drops out.
     """
     pairs = cut(links.select(F.col("child").alias("node"), F.col("parent").alias("up")))
-    left, rounds = pairs.select("node").distinct().count(), 0
+    size = lambda: pairs.agg(F.countDistinct("node"), F.count(F.lit(1))).first()
+    (left, n), rounds = size(), 0
     while left:
         above = pairs.select(F.col("node").alias("up"), F.col("up").alias("top"))
-        pairs = cut(pairs.join(above, "up").select("node", F.col("top").alias("up")).distinct(), forget=True)
+        pairs = cut(grid_join(pairs, above, ["up"], n=n).select("node", F.col("top").alias("up")).distinct(), forget=True)
         rounds += 1
-        now = pairs.select("node").distinct().count()
+        now, n = size()
         if now == left:
             break
         left = now
@@ -61,10 +63,10 @@ def _loops(links: DataFrame, endless: DataFrame) -> DataFrame:
         .agg(F.min(F.struct((F.col("child") != F.col("parent")).alias("other"), F.col("parent"))).alias("x"))
     )
     ptr = cut(up.select(F.col("child").alias("node"), F.col("x.parent").alias("up"), F.least("child", "x.parent").alias("low")))
-    image = -1
+    image, n = -1, ptr.count()
     while True:
         above = ptr.select(F.col("node").alias("up"), F.col("up").alias("top"), F.col("low").alias("top_low"))
-        step = cut(ptr.join(above, "up").select("node", F.col("top").alias("up"), F.least("low", "top_low").alias("low"), (F.col("top_low") < F.col("low")).alias("fell")), forget=True)
+        step = cut(split_join(ptr, above, "up", n=n).select("node", F.col("top").alias("up"), F.least("low", "top_low").alias("low"), (F.col("top_low") < F.col("low")).alias("fell")), forget=True)
         now, fell = step.agg(F.countDistinct("up"), F.count_if("fell")).first()
         ptr = step.drop("fell")
         if now == image and not fell:
@@ -72,26 +74,32 @@ def _loops(links: DataFrame, endless: DataFrame) -> DataFrame:
         image = now
     on = ptr.select(F.col("up").alias("node")).distinct().withColumn("on_loop", F.lit(True))
     low = ptr.select(F.col("node").alias("up"), F.col("low").alias("root_id"))
-    return ptr.select("node", "up").join(low, "up").join(on, "node", "left").select(F.col("node").alias("node_id"), "root_id", F.coalesce("on_loop", F.lit(False)).alias("on_loop"))
+    return cut(split_join(ptr.select("node", "up"), low, "up", n=n)).join(on, "node", "left").select(F.col("node").alias("node_id"), "root_id", F.coalesce("on_loop", F.lit(False)).alias("on_loop"))
 
 
 def _trees(nodes: DataFrame, links: DataFrame, endless: DataFrame, rounds: int) -> DataFrame:
     """(node_id, root_id, depth, path) of the other nodes. path is the array of ids from the root to the node.
 
-    A node with several parents hangs under the smallest. Each round joins only the pointers that haven't reached a
-    root with all pointers, and doubles the distance, concatenating the path segments.
+    A node with several parents hangs under the smallest. Children of roots are done from the start, so no pointer that
+    goes on names a root. Each round joins only the pointers that haven't reached a root with all pointers, those at
+    nodes with very many below them apart, and doubles the distance, concatenating the path segments.
     """
     tree = nodes.join(endless.withColumnRenamed("node", "node_id"), "node_id", "left_anti")
     parent = links.groupBy("child").agg(F.min("parent").alias("parent"))
     ptr = cut(
         tree.join(parent, tree["node_id"] == parent["child"], "left").select(
             "node_id", F.coalesce("parent", "node_id").alias("up"), F.when(F.col("parent").isNull(), 0).otherwise(1).alias("dist"),
-            F.when(F.col("parent").isNull(), F.array("node_id")).otherwise(F.array("parent", "node_id")).alias("path"), F.col("parent").isNull().alias("done"),
+            F.when(F.col("parent").isNull(), F.array("node_id")).otherwise(F.array("parent", "node_id")).alias("path"), F.col("parent").isNull().alias("root"),
         )
     )
+    roots = ptr.filter("root").select(F.col("node_id").alias("up"), F.lit(True).alias("at_root"))
+    ptr = cut(split_join(ptr, roots, "up", "left", n=ptr.count()).withColumn("done", F.coalesce("at_root", F.lit(False))).drop("root", "at_root"))
     for _ in range(rounds + 1):
+        n = ptr.filter(~F.col("done")).count()
+        if not n:
+            break
         above = ptr.select(F.col("node_id").alias("up"), F.col("up").alias("top"), F.col("dist").alias("more"), F.col("path").alias("head"), F.col("done").alias("top_done"))
-        moved = ptr.filter(~F.col("done")).join(above, "up").select(
+        moved = split_join(ptr.filter(~F.col("done")), above, "up", n=n).select(
             "node_id", F.col("top").alias("up"), (F.col("dist") + F.col("more")).alias("dist"),
             F.concat("head", F.slice("path", F.lit(2), F.size("path"))).alias("path"), F.col("top_done").alias("done"),
         )
@@ -133,16 +141,16 @@ def _reached(tree: DataFrame, links: DataFrame) -> DataFrame:
     endless = tree.filter("depth < 0").select(F.col("node_id").alias("node"))
     hop = cut(links.filter("child <> parent").select(F.col("child").alias("node"), F.col("parent").alias("up")).distinct())
     pairs = cut(hop.join(endless, "node", "left_semi").withColumn("distance", F.lit(1)))
-    n, far = pairs.count(), 1
+    n, far, reach = pairs.count(), 1, hop.count()
     while n:
         above = hop.select(F.col("node").alias("up"), F.col("up").alias("top"))
-        more = pairs.join(above, "up").select("node", F.col("top").alias("up"), (F.col("distance") + far).alias("distance")).filter("node <> up")
+        more = grid_join(pairs, above, ["up"], n=max(n, reach)).select("node", F.col("top").alias("up"), (F.col("distance") + far).alias("distance")).filter("node <> up")
         pairs = cut(pairs.unionByName(more).groupBy("node", "up").agg(F.min("distance").alias("distance")), forget=True)
         now = pairs.count()
         if now == n:
             break
-        hop = cut(hop.join(above, "up").select("node", F.col("top").alias("up")).distinct(), forget=True)
-        n, far = now, 2 * far
+        hop = cut(grid_join(hop, above, ["up"], n=reach).select("node", F.col("top").alias("up")).distinct(), forget=True)
+        n, far, reach = now, 2 * far, hop.count()
     return pairs.select(F.col("up").alias("node_id"), F.col("node").alias("descendant_id"), "distance")
 
 

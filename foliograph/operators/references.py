@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliograph.functions import ids
+from foliograph.operators.skew import Split
 from foliograph.session import cut
 
 
@@ -55,29 +56,31 @@ def page_references(sections: DataFrame, extractions: DataFrame) -> DataFrame:
 _KEYS = ["table_name", "ref_field", "target_id", "period"]
 
 
-def _verdicts(per: DataFrame, states: DataFrame) -> DataFrame:
-    """Fault of each pre-aggregated target; only targets at fault for at least one reference remain.
+def _verdicts(per: DataFrame, states: DataFrame, heavy_share: float) -> DataFrame:
+    """(target_id, fault, first_ok, heavy) of the targets that are at fault for at least one reference or heavy; fault is
+    null for a heavy one that is in order.
 
-    The left side has one row per key, so the shuffle join (an anti-join for the missing ones) can't be skewed.
+    A target is heavy if it has at least heavy_share of all references, at fault or not, so there are at most
+    1/heavy_share of them. The left side has one row per target, so the shuffle join (an anti-join for the missing ones)
+    can't be skewed.
     """
-    keys = per.groupBy("target_id").agg(F.sum("n").alias("n"), F.min("at_min").alias("at_min"))
+    keys = cut(per.groupBy("target_id").agg(F.sum("n").alias("n"), F.min("at_min").alias("at_min")))
+    total = keys.agg(F.sum("n")).scalar()
     joined = keys.join(states, keys["target_id"] == states["node_id"], "left")
     fault = F.when(F.col("node_id").isNull(), "missing").when(F.col("gone"), "gone").when(F.col("first_ok") > F.col("at_min"), "late")
-    return cut(joined.select("target_id", "n", fault.alias("fault"), "first_ok").filter("fault is not null"))
+    heavy = F.col("n") >= total * heavy_share
+    return cut(joined.select("target_id", fault.alias("fault"), "first_ok", heavy.alias("heavy")).filter("fault is not null or heavy"))
 
 
-def _split_join(refs: DataFrame, verdicts: DataFrame, heavy_share: float) -> DataFrame:
-    """refs joined with verdicts: heavy targets by broadcast, the rest by a shuffle join, both united.
+def _split_join(refs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """refs joined with the verdicts at fault: heavy targets by broadcast, the rest by a shuffle join, both united.
 
-    A target is heavy if it has at least heavy_share of all faulty references, so there are at most 1/heavy_share
-    of them; that bounds what is broadcast at any size of the data.
+    References to heavy targets, the many to a page that is in order above all, leave before the shuffle; what is
+    broadcast is bounded at any size of the data.
     """
-    total = verdicts.agg(F.sum("n")).scalar()
-    heavy = verdicts.filter(F.col("n") >= total * heavy_share).select("target_id", "fault", "first_ok")
-    names = heavy.select("target_id")
-    light = verdicts.select("target_id", "fault", "first_ok").join(F.broadcast(names), "target_id", "left_anti")
-    hot = refs.join(F.broadcast(heavy), "target_id")
-    cold = refs.join(F.broadcast(names), "target_id", "left_anti").join(light, "target_id")
+    heavy = verdicts.filter("heavy")
+    hot = refs.join(F.broadcast(heavy.filter("fault is not null").drop("heavy")), "target_id")
+    cold = refs.join(F.broadcast(heavy.select("target_id")), "target_id", "left_anti").join(verdicts.filter("not heavy").drop("heavy"), "target_id")
     return hot.unionByName(cold)
 
 
@@ -101,8 +104,8 @@ def orphan_references(refs: DataFrame, states: DataFrame, heavy_share: float = 0
     Empty inputs give an empty result; without any nodes every reference is missing.
     """
     _checked(refs, heavy_share)
-    verdicts = _verdicts(_aggregated(refs, "month"), states)
-    rows = _split_join(refs.select("table_name", "ref_field", "row_id", "target_id", "at"), verdicts, heavy_share)
+    verdicts = _verdicts(_aggregated(refs, "month"), states, heavy_share)
+    rows = _split_join(refs.select("table_name", "ref_field", "row_id", "target_id", "at"), verdicts)
     return rows.filter((F.col("fault") != "late") | (F.col("first_ok") > F.col("at"))).drop("first_ok").distinct()
 
 
@@ -113,12 +116,16 @@ def orphan_counts(refs: DataFrame, states: DataFrame, period: str = "month", hea
     very moment the target appeared are counted from their rows. References without a time have period null.
     """
     _checked(refs, heavy_share)
-    per = _aggregated(refs, period)
-    faults = _split_join(per, _verdicts(per, states), heavy_share)
+    per = cut(_aggregated(refs, period))
+    verdicts = _verdicts(per, states, heavy_share)
+    faults = _split_join(per, verdicts)
     late = F.col("fault") == "late"
     whole = faults.filter(~late | (F.col("at_max") < F.col("first_ok"))).select(*_KEYS, "fault", "n")
     part = faults.filter(late & (F.col("at_min") < F.col("first_ok")) & (F.col("at_max") >= F.col("first_ok"))).select(*_KEYS, "fault", "first_ok")
-    rows = refs.withColumn("period", F.date_trunc(period, F.col("at"))).join(part, _KEYS).filter(F.col("at") < F.col("first_ok"))
+    # only references to those targets are told apart by their keys, heavy ones by broadcast
+    late_ones = verdicts.join(part.select("target_id").distinct(), "target_id", "left_semi").select("target_id", "heavy", F.lit("late").alias("fault"))
+    rows = _split_join(refs, late_ones).withColumn("period", F.date_trunc(period, F.col("at"))).select(*_KEYS, "at")
+    rows = Split(cut(rows), _KEYS).join(part).filter(F.col("at") < F.col("first_ok"))
     part = rows.groupBy(*_KEYS, "fault").agg(F.count(F.lit(1)).alias("n"))
     return (
         whole.unionByName(part)

@@ -9,6 +9,14 @@ from foliograph.session import cut
 
 #: A key is heavy if it has at least this share of the rows, so there are at most a thousand of them at any size.
 HEAVY_SHARE = 0.001
+#: Rows that a single task joins without trouble whatever their keys; tables up to this are joined plainly. The rows
+#: that come out are the same.
+SMALL_ROWS = 200_000
+
+
+def is_small(rows: DataFrame, n: int | None = None) -> bool:
+    """Whether a table, of n rows if that is known, has at most SMALL_ROWS."""
+    return (rows.count() if n is None else n) <= SMALL_ROWS
 
 
 def heavy_keys(rows: DataFrame, on: list[str], share: float = HEAVY_SHARE) -> DataFrame:
@@ -28,32 +36,39 @@ class Split:
     task gets a hot key's rows, whether or not the session handles skew.
     """
 
-    def __init__(self, rows: DataFrame, on: list[str], share: float = HEAVY_SHARE, heavy: DataFrame | None = None):
+    def __init__(self, rows: DataFrame, on: list[str], share: float = HEAVY_SHARE, like: Split | None = None, n: int | None = None):
         self.on = on
-        self.heavy = heavy if heavy is not None else heavy_keys(rows, on, share)
-        self.hot = rows.join(F.broadcast(self.heavy), on, "left_semi")
-        self.cold = rows.join(F.broadcast(self.heavy), on, "left_anti")
+        self.heavy = like.heavy if like is not None else None if is_small(rows, n) else heavy_keys(rows, on, share)
+        self.hot, self.cold = None, rows
+        if self.heavy is not None:
+            self.hot = rows.join(F.broadcast(self.heavy), on, "left_semi")
+            self.cold = rows.join(F.broadcast(self.heavy), on, "left_anti")
 
     def kept(self) -> Split:
         """The same with both parts materialised, for a loop."""
-        self.hot, self.cold = cut(self.hot), cut(self.cold)
+        self.hot, self.cold = None if self.hot is None else cut(self.hot), cut(self.cold)
         return self
 
     def join(self, other: DataFrame, how: str = "inner") -> DataFrame:
         """Rows joined with `other` (inner, left, left_semi or left_anti), as one DataFrame."""
+        cold = self.cold.join(other, self.on, how)
+        if self.hot is None:
+            return cold
         few = other.join(F.broadcast(self.heavy), self.on, "left_semi")
-        return self.hot.join(F.broadcast(few), self.on, how).unionByName(self.cold.join(other, self.on, how))
+        return self.hot.join(F.broadcast(few), self.on, how).unionByName(cold)
 
 
-def split_join(rows: DataFrame, other: DataFrame, on: str | list[str], how: str = "inner", share: float = HEAVY_SHARE) -> DataFrame:
+def split_join(rows: DataFrame, other: DataFrame, on: str | list[str], how: str = "inner", share: float = HEAVY_SHARE, n: int | None = None) -> DataFrame:
     """rows joined with `other`, which has at most one row a key, without a task for a hot key; see Split."""
-    return Split(rows, [on] if isinstance(on, str) else on, share).join(other, how)
+    return Split(rows, [on] if isinstance(on, str) else on, share, n=n).join(other, how)
 
 
-def grid_join(a: DataFrame, b: DataFrame, on: list[str], share: float = HEAVY_SHARE, side: int = 8) -> DataFrame:
+def grid_join(a: DataFrame, b: DataFrame, on: list[str], share: float = HEAVY_SHARE, side: int = 8, n: int | None = None) -> DataFrame:
     """Inner join of two tables that may both have many rows a key. Keys that are heavy in either are cut into `side`
     parts on both sides, and every part meets every part under a key of its own, so that no task gets more than a
-    side-th of a hot key's rows of either table."""
+    side-th of a hot key's rows of either table. n is the number of rows of the larger one, if it is known."""
+    if is_small(a, n) and is_small(b, n):
+        return a.join(b, on)
     heavy = cut(heavy_keys(a, on, share).union(heavy_keys(b, on, share)).distinct())
     parts = F.array(*map(F.lit, range(side)))
 

@@ -65,11 +65,20 @@ walk(node_id, root_id, depth, path) AS (
 """
 SQL["p2_found"] = f"""WITH RECURSIVE {_TREE} SELECT node_id, root_id, depth::INTEGER AS depth FROM walk
     UNION ALL SELECT node, root_id, -1 FROM below"""
-SQL["p2_paths"] = f"""WITH RECURSIVE {_TREE}, kids AS (SELECT anc, count(*) AS n FROM up WHERE node NOT IN (SELECT node FROM below) GROUP BY anc)
+_BELOW_LOOPS = """
+reach(node, anc, d) AS (
+  SELECT child, parent, 1 FROM edges WHERE child IN (SELECT node FROM below) AND child <> parent
+  UNION SELECT r.node, e.parent, r.d + 1 FROM reach r JOIN edges e ON e.child = r.anc WHERE e.child <> e.parent AND r.d <= (SELECT count(*) FROM below)),
+descent AS (
+  SELECT u.anc, u.node, (a.depth - b.depth)::INTEGER AS d FROM up u JOIN walk a ON a.node_id = u.node JOIN walk b ON b.node_id = u.anc
+  UNION ALL SELECT anc, node, min(d)::INTEGER FROM reach WHERE node <> anc GROUP BY ALL),
+hang AS (SELECT child, min(parent) AS parent FROM edges WHERE child IN (SELECT node FROM below) AND child NOT IN (SELECT node FROM onloop) AND parent IN (SELECT node FROM below) GROUP BY child),
+hung(node_id, path) AS (SELECT DISTINCT node, node FROM onloop UNION ALL SELECT h.child, w.path || '/' || h.child FROM hung w JOIN hang h ON h.parent = w.node_id)
+"""
+SQL["p2_paths"] = f"""WITH RECURSIVE {_TREE}, {_BELOW_LOOPS}, kids AS (SELECT anc, count(*) AS n FROM descent GROUP BY anc)
     SELECT node_id, root_id, depth::INTEGER AS depth, path, false AS on_loop, coalesce(n, 0)::BIGINT AS n_descendants FROM walk LEFT JOIN kids ON anc = node_id
-    UNION ALL SELECT b.node, b.root_id, -1, NULL, b.node IN (SELECT node FROM onloop), -1 FROM below b"""
-SQL["p2_descendants"] = f"""WITH RECURSIVE {_TREE} SELECT u.anc AS node_id, u.node AS descendant_id, (a.depth - b.depth)::INTEGER AS distance
-    FROM up u JOIN walk a ON a.node_id = u.node JOIN walk b ON b.node_id = u.anc"""
+    UNION ALL SELECT b.node, b.root_id, -1, h.path, b.node IN (SELECT node FROM onloop), coalesce(n, 0)::BIGINT FROM below b JOIN hung h ON h.node_id = b.node LEFT JOIN kids ON anc = b.node"""
+SQL["p2_descendants"] = f"""WITH RECURSIVE {_TREE}, {_BELOW_LOOPS} SELECT anc AS node_id, node AS descendant_id, d AS distance FROM descent"""
 SQL["p4_found"] = N.FOUND
 SQL["p4_sections"] = N.table("section", "sec", [("section_id", "sectionId"), ("base_path", "basePath"), ("title",), ("heading",), ("description",), ("text",), ("public_updated_at", "publicUpdatedAt"), ("withdrawn",), ("error",)])
 SQL["p4_child_sections"] = N.table("child_section", "kid", [("section_id", "sectionId"), ("title",), ("base_path", "basePath"), ("group",)], "section")

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 
 @pytest.fixture
-def plain(spark):
-    """No adaptive execution, no broadcasts but those asked for."""
+def plain(spark, monkeypatch):
+    """No adaptive execution, no broadcasts but those asked for, and no table too small to be split."""
+    monkeypatch.setattr(skew, "SMALL_ROWS", 0)
     keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -87,3 +88,31 @@ def test_walk(plain):
     assert got == {("a", "b"): 1, ("a", "c"): 1, ("b", "c"): 1, ("c", "d"): 1, ("d", "a"): 1, ("a", "d"): 2, ("b", "d"): 2, ("c", "a"): 2, ("d", "b"): 2, ("d", "c"): 2}
     some = traversal.walked(e, 3, plain.createDataFrame([("b",)], "node string")).collect()
     assert {(r.start, r.node): r.distance for r in some} == {("b", "c"): 1, ("b", "d"): 2, ("b", "a"): 3}
+
+
+def test_references_to_one_live_page(plain):
+    """A page in order that half of the references name costs no task its references."""
+    from foliograph.operators import references as R
+
+    refs = plain.range(8_000, numPartitions=4).select(
+        F.lit("t").alias("table_name"), F.lit("f").alias("ref_field"), F.col("id").alias("row_id"),
+        F.when(F.col("id") % 2 == 0, F.lit("live")).when(F.col("id") % 5 == 0, F.lit("gone")).otherwise(F.concat(F.lit("m"), F.col("id"))).alias("target_id"), F.lit("2024-05-01").cast("timestamp").alias("at"),
+    )
+    states = plain.createDataFrame([("live", False), ("gone", True)], "node_id string, gone boolean").withColumn("first_ok", F.lit("2024-01-01").cast("timestamp"))
+    got = R.orphan_references(refs, states)
+    assert {(r.fault, r["count"]) for r in got.groupBy("fault").count().collect()} == {("gone", 800), ("missing", 3200)}
+    verdicts = R._verdicts(R._aggregated(refs, "month"), states, 0.001)
+    assert sorted((r.target_id, r.fault) for r in verdicts.filter("heavy").collect()) == [("gone", "gone"), ("live", None)]
+    counts = R.orphan_counts(refs, states).collect()
+    assert {(r.fault, r.n_refs, r.n_targets) for r in counts} == {("gone", 800, 1), ("missing", 3200, 3200)}
+
+
+def test_a_page_with_half_of_all_children(plain):
+    from foliograph.operators import hierarchy as H
+
+    n = 3_000
+    links = [(f"c{i}", "mid" if i % 2 else f"c{i - 1}") for i in range(1, n)] + [("mid", "top"), ("top", "root")]
+    nodes = plain.createDataFrame([(x,) for x in {a for pair in links for a in pair} | {"alone"}], "node_id string")
+    got = {r.node_id: (r.root_id, r.depth, "/".join(r.path)) for r in H.hierarchy(nodes, plain.createDataFrame(links, "child string, parent string")).collect()}
+    assert got["c1"] == ("root", 3, "root/top/mid/c1") and got["c2"] == ("root", 4, "root/top/mid/c1/c2") and got["alone"] == ("alone", 0, "alone")
+    assert len(got) == n + 3 and {r for r, _, _ in got.values()} == {"root", "alone"}
