@@ -55,7 +55,8 @@ def _let(value: Expr, body: Callable[[Expr], Expr]) -> Expr:
 
 
 _NO_VARIANTS = "cast(array() as array<variant>)"
-_LIST_TEXT, _OBJECT_TEXT = r"'^\\s*\\['", r"'^\\s*\\{'"
+_ANY_SCALAR = "parse_json('0')"
+_LIST_TEXT, _OBJECT_TEXT, _PLAIN_TEXT = r"'^\\s*\\['", r"'^\\s*\\{'", r"'^\\s*[^\\s\\[{]'"
 
 
 def _as(v: Expr, kind: str) -> Expr:
@@ -243,9 +244,19 @@ def _looked_at(v: Expr) -> Expr:
 def _probed(docs: DataFrame, probes: list[Probe]) -> list[Probe]:
     """One pass over the records that settles the probes, and the probes that came up in doing so."""
 
+    def row(i: int, v: Expr) -> Expr:
+        return f"named_struct('id', {i}, 'v', {v})"
+
+    def of_one(i: int, p: Probe, objects: Expr) -> Expr:
+        every = _each(objects, lambda o: row(i, _field(o, [p.spelling])))
+        if not p.strings:
+            return every
+        # one plain text settles that a field of strings is text; a record with one need not show the others
+        plain = _each(objects, lambda o: f"coalesce({_as(_field(o, [p.spelling]), 'string')} rlike {_PLAIN_TEXT}, false)", "exists")
+        return f"case when {plain} then array({row(i, _ANY_SCALAR)}) else {every} end"
+
     def fields(mine: list[tuple[int, Probe]]) -> Expr:
-        seen = lambda v: f"array({', '.join(f'named_struct({chr(39)}id{chr(39)}, {i}, {chr(39)}v{chr(39)}, {_field(v, [p.spelling])})' for i, p in mine)})"
-        return f"flatten({_each(mine[0][1].way('doc'), seen)})"
+        return _let(mine[0][1].way("doc"), lambda objects: f"concat({', '.join(of_one(i, p, objects) for i, p in mine)})")
 
     ways: dict[int, list[tuple[int, Probe]]] = {}
     for i, p in enumerate(probes):
