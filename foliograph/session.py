@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,7 @@ def get_spark(app: str = "foliograph", cores: int | str = "*", partitions: int =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("FOLIOGRAPH_DRIVER_MEMORY", "6g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -32,12 +35,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Checkpoints go to the folder the cluster names in spark.checkpoint.dir, which all executors share.
 
-    Only where neither the context nor the configuration names one (a local session) is a folder made here.
+    Only where neither the context nor the configuration names one, and all executors are in this process, is a folder
+    made here; it is removed at exit. On a cluster without such a folder it is an error.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
-    sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="foliograph-ckpt-"))
+    named = sc.getConf().get("spark.checkpoint.dir")
+    if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="foliograph-ckpt-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    sc.setCheckpointDir(named)
 
 
 def cut(df: DataFrame, forget: bool = False) -> DataFrame:

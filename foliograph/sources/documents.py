@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import re
+import time
 from pathlib import Path
+from urllib import parse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,16 +24,21 @@ DOCUMENT = (
 )
 
 
-def read_documents(spark: SparkSession, path: str, slugs: list[str] | None = None) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, slugs: list[str] | None = None, limit: int | None = None) -> DataFrame:
     """Crawled documents of a folder, one row a file, with `slug` (the manual's, else the file name) and `items`.
 
     Files that begin with an underscore, and others than .json, are skipped; broken files come with `_corrupt_record`.
-    Slugs asked for match in any case, with or without `.json`, and prune files before they are read.
+    Slugs asked for match in any case, with or without `.json`, and prune files before they are read; so does a limit,
+    which takes the first of them by name.
     """
     reader = spark.read.schema(f"{DOCUMENT}, _corrupt_record string").option("multiLine", True).option("pathGlobFilter", "*.json")
     docs = reader.json(path).withColumn("file", F.col("_metadata.file_name"))
     if slugs:
         docs = docs.filter(F.lower(F.regexp_replace("file", r"\.json$", "")).isin(*[s.lower().removesuffix(".json") for s in slugs]))
+    if limit is not None:
+        names = sorted(f.rsplit("/", 1)[-1] for f in docs.inputFiles())
+        wanted = {s.lower().removesuffix(".json") for s in slugs} if slugs else None
+        docs = docs.filter(F.col("file").isin(*[parse.unquote(n) for n in names if wanted is None or parse.unquote(n).lower().removesuffix(".json") in wanted][:limit]))
     return docs.withColumn("slug", F.coalesce("manual.slug", F.regexp_replace("file", r"\.json$", ""))).withColumn("items", F.coalesce("sections", "pages"))
 
 
@@ -40,34 +47,46 @@ def document_sections(docs: DataFrame) -> DataFrame:
     return docs.select("slug", F.posexplode("items").alias("position", "s")).select("slug", "position", "s.*")
 
 
-def write_documents(sections: DataFrame, path: str, force: bool = False) -> bool:
-    """Writes (slug, sections) documents as JSON, one folder a slug, unless the folder is there; True if it wrote.
+def write_documents(sections: DataFrame, path: str, force: bool = False, lines: bool = False) -> bool:
+    """Writes (slug, sections) documents as JSON, one folder a slug; True if it wrote any. Documents whose folder is there
+    are skipped, unless forced.
 
-    Spark's commit protocol gives the atomicity: readers see a finished folder or none. Only the slug is shuffled for
-    grouping; a document's sections are one array, as in the format.
+    Folders are written aside and put in their places when the job commits, so that readers see the whole of a document,
+    the old or the new one. A document's sections are one array, as in the format; with `lines` each section is a line
+    with its position instead, for manuals too large to be one value.
     """
-    if not force and _exists(sections.sparkSession, path):
-        return False
+    spark = sections.sparkSession
     fields = [c for c in sections.columns if c not in ("slug", "position")]
     order = F.col("position") if "position" in sections.columns else F.coalesce("section_id", F.lit(""))
-    docs = sections.groupBy("slug").agg(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("_o"), F.struct(*fields).alias("s")))), lambda x: x["s"]).alias("sections"))
-    docs.write.mode("overwrite").partitionBy("slug").json(path)
+    if not force and (there := _folders(spark, path)):
+        sections = sections.join(spark.createDataFrame([(s,) for s in there], "slug string"), "slug", "left_anti")
+    if sections.isEmpty():
+        return False
+    if lines:
+        docs = sections.select("slug", order.alias("position"), *fields)
+    else:
+        docs = sections.groupBy("slug").agg(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("_o"), F.struct(*fields).alias("s")))), lambda x: x["s"]).alias("sections"))
+    docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slug").json(path)
     return True
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Slugs that have a folder under the path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return [parse.unquote(n.removeprefix("slug=")) for n in names if n.startswith("slug=")]
 
 
 def read_cache(spark: SparkSession, path: str, result: str = "string") -> DataFrame:
     """(key, result, seq) of an append-only cache of JSON lines. Broken lines, as the cut tail of a crashed writer
-    leaves them, are skipped. seq orders the records by file and line."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"))
-    parsed = F.from_json("value", f"key string, result {result}", {"mode": "PERMISSIVE"})
-    rows = lines.filter(F.try_parse_json("value").isNotNull()).select(parsed.alias("x"), F.struct("file", "line").alias("seq"))
-    return rows.filter("x.key is not null").select("x.key", "x.result", "seq")
+    leaves them, are skipped. seq orders the records: by the time of their append, which append_cache writes with them,
+    then by file, by block of the file, and by line within it."""
+    at = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select("value", at.alias("at"))
+    parsed = F.from_json("value", f"key string, result {result}, written bigint", {"mode": "PERMISSIVE"})
+    rows = lines.filter(F.try_parse_json("value").isNotNull()).select(parsed.alias("x"), "at")
+    return rows.filter("x.key is not null").select("x.key", "x.result", F.struct(F.coalesce("x.written", F.lit(0)).alias("written"), "at").alias("seq"))
 
 
 def latest(cache: DataFrame) -> DataFrame:
@@ -76,7 +95,9 @@ def latest(cache: DataFrame) -> DataFrame:
 
 
 def append_cache(rows: DataFrame, path: str) -> None:
-    rows.select("key", "result").write.mode("append").json(path)
+    """Adds records with the time of this call, in nanoseconds, so that they win over all that are there, whatever the
+    names of the files."""
+    rows.select("key", "result", F.lit(time.time_ns()).alias("written")).write.mode("append").json(path)
 
 
 _FENCE = r"(?s)^\s*```[A-Za-z]*\s*(.*?)\s*```\s*$"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliograph.operators import folds
+from foliograph.session import cut
 from foliograph.sources.graph_store import GraphStore
 
 LOAD = "entity_id bigint, slug string, key string, name string, type string, definition string, aliases array<string>, section_ids array<string>, salience string, mentions bigint, created_from string, loaded_at timestamp"
@@ -18,20 +19,27 @@ def load_stream(spark: SparkSession, path: str, schema: str = LOAD, files_per_ba
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def fold_batch(store: GraphStore, fold: Callable[[DataFrame], DataFrame] = folds.entity_upsert, table: str = "loads") -> Callable[[DataFrame, int], None]:
+def fold_batch(store: GraphStore, fold: Callable[[DataFrame], DataFrame] = folds.entity_upsert, table: str = "loads", folded: str = "folded", key: str = "key", buckets: int = 64) -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink that keeps the distinct loads and their fold in the store.
 
-    A batch that is delivered again adds nothing, as rows are kept by their id; so the fold is the same whatever the
-    batches, repeated ones included.
+    Both are kept in buckets by a hash of the key, and a batch reads, folds and writes only the buckets its keys fall
+    into. A batch that is delivered again adds nothing, as rows are kept by their id; so the fold is the same whatever
+    the batches, repeated ones included. An empty batch changes nothing. A store keeps the number of buckets it began
+    with.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        old = store.load(table)
-        fresh = batch.dropDuplicates(["entity_id"])
+        fresh = batch.dropDuplicates(["entity_id"]).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string"))
+        touched = [r[0] for r in fresh.select("bucket").distinct().collect()]  # at most `buckets`
+        if not touched:
+            return
+        old = store.load(table, touched)
         if old is not None:
-            fresh = fresh.join(old.select("entity_id"), "entity_id", "left_anti").select(*old.columns)
-            fresh = old.unionByName(fresh)
-        store.save({table: fresh, "folded": fold(fresh)})
+            rest = fresh.join(old.select("entity_id"), "entity_id", "left_anti")
+            fresh = old.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string")).unionByName(rest)
+        fresh = cut(fresh)
+        done = fold(fresh.drop("bucket")).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string"))
+        store.save({}, {table: (fresh, "bucket"), folded: (done, "bucket")})
 
     return sink
 

@@ -125,3 +125,69 @@ def test_second_pass(spark, tmp_path, monkeypatch):
     links = spark.createDataFrame([(f"u{i}",) for i in range(5)] + [("u4",), (None,)], "link string")
     got = {r.link: (r.status, r.body, r.error) for r in crawl.fetch_twice(links, "flaky_service.fetch", rps=1000, tasks=2).collect()}
     assert got == {"u0": (404, None, "not_found"), "u1": (403, None, "fetch_failed"), "u2": (200, "{}", None), "u3": (200, "{}", None), "u4": (200, "{}", None)}
+
+
+def test_the_last_append_wins(spark, tmp_path):
+    path = str(tmp_path / "cache")
+    for i in range(5):
+        documents.append_cache(spark.createDataFrame([("a", str(i)), (f"k{i}", "x")], "key string, result string"), path)
+        assert {r.key: r.result for r in documents.latest(documents.read_cache(spark, path)).collect()}["a"] == str(i)
+
+
+def test_documents_are_skipped_one_by_one(spark, tmp_path):
+    out = str(tmp_path / "docs")
+    rows = lambda *pairs: spark.createDataFrame([(s, i, t) for i, (s, t) in enumerate(pairs)], "slug string, position int, text string")
+    texts = lambda: {r.slug: r.sections[0].text for r in spark.read.json(out).collect()}
+    assert documents.write_documents(rows(("a", "1")), out)
+    assert documents.write_documents(rows(("a", "2"), ("b b", "2")), out) and texts() == {"a": "1", "b b": "2"}
+    assert not documents.write_documents(rows(("a", "3"), ("b b", "3")), out) and not documents.write_documents(rows(("a", "3")).limit(0), out)
+    assert documents.write_documents(rows(("a", "4")), out, force=True) and texts() == {"a": "4", "b b": "2"}
+    many = str(tmp_path / "lines")
+    assert documents.write_documents(rows(("a", "1"), ("a", "2")), many, lines=True) and spark.read.json(many).count() == 2
+
+
+def test_limit_of_documents(spark, tmp_path):
+    for n in "cab":
+        (tmp_path / f"{n}.json").write_text(json.dumps({"pages": []}))
+    assert sorted(r.slug for r in documents.read_documents(spark, str(tmp_path), limit=2).collect()) == ["a", "b"]
+    assert [r.slug for r in documents.read_documents(spark, str(tmp_path), ["C", "b"], limit=1).collect()] == ["b"]
+
+
+def test_a_save_keeps_the_other_tables(spark, tmp_path):
+    import pytest
+
+    store = GraphStore(spark, str(tmp_path / "g"))
+    frame = lambda *v: spark.createDataFrame([(x,) for x in v], "x string")
+    values = lambda name: sorted(r.x for r in store.load(name).collect())
+    store.save({"a": frame("1"), "b": frame("2")})
+    store.save({"b": frame("3")})
+    assert values("a") == ["1"] and values("b") == ["3"] and store.load("c") is None
+    with pytest.raises(Exception):  # noqa: B017
+        store.save({"a": frame("4"), "b": frame("5").withColumn("y", F.raise_error(F.lit("no")))})
+    assert values("a") == ["1"] and values("b") == ["3"]
+    store.save({}, {"p": (frame("1", "2").withColumn("part", F.col("x")), "part")})
+    store.save({}, {"p": (spark.createDataFrame([("9", "2")], "x string, part string"), "part")})
+    assert values("p") == ["1", "9"] and store.load("p", ["1"]).count() == 1 and store.load("p", ["7"]) is None
+    store.vacuum()
+    assert values("a") == ["1"] and values("b") == ["3"] and values("p") == ["1", "9"]
+
+
+def test_no_local_checkpoints_on_a_cluster(monkeypatch):
+    import pytest
+
+    from foliograph import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+        def getConf(self):  # noqa: N802
+            return {}
+
+    class Session:
+        sparkContext = Context()  # noqa: N815
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
