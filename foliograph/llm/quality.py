@@ -311,9 +311,13 @@ def outlierness(stats: DataFrame, model: dict[str, tuple[np.ndarray, np.ndarray]
     off = stats.withColumn("off", F.zip_with(x, by_language(lambda m: row(m[0]), "array<double>"), lambda a, b: a - b))
     off = off.withColumn("weights", by_language(lambda m: F.array(*(row(r) for r in m[1])), "array<array<double>>"))
     lean = F.transform("weights", lambda w: F.aggregate(F.zip_with(w, F.col("off"), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
-    part = off.withColumn("c", F.zip_with(F.col("off"), lean, lambda a, b: a * b))
-    total = F.aggregate("c", F.lit(0.0), lambda s, v: s + v)
-    return part.select(*stats.columns, total.alias("distance"), *(F.col("c")[i].alias(f"c_{s}") for i, s in enumerate(STATISTICS)))
+
+    def parts(c: Column) -> Column:
+        total = F.aggregate(c, F.lit(0.0), lambda s, v: s + v)
+        return F.struct(total.alias("distance"), *(c[i].alias(f"c_{s}") for i, s in enumerate(STATISTICS)))
+
+    # a generator, as a filter on what comes out of a projection would be pushed below it and work all of it out again
+    return off.select(*stats.columns, F.inline(F.transform(F.array(F.zip_with(F.col("off"), lean, lambda a, b: a * b)), parts)))
 
 
 def kind_of_outlier() -> Column:
