@@ -125,7 +125,7 @@ def extract_all(chunks: DataFrame, make: Callable[[], Extractor], max_splits: in
                 return [(None, str(e))]
 
         for batch in batches:
-            rows = [(k, result, err) for k, p in zip(batch["key"], batch["prompt"], strict=True) for result, err in answers(p, max_splits)]
+            rows = [(k, result, err) for k, p in zip(batch["key"], batch["prompt"], strict=True) for result, err in answers(p or "", max_splits)]
             yield pd.DataFrame(rows, columns=["key", "result", "error"])
 
     return chunks.select("key", "prompt").mapInPandas(run, "key string, result string, error string")
@@ -152,8 +152,8 @@ def embed_all(rows: DataFrame, make: Callable[[], Embedder], dims: int, model: s
     """rows (id, text) with key, embedding and embedding_model. Keys already cached aren't embedded again; equal texts
     are embedded once. Errors that may pass are tried again; a model that returns another number of vectors than it got
     texts is an error."""
-    keyed = rows.withColumn("key", T.content_key([F.lit(model), F.lit(dims), F.col("text")]))
-    wanted = keyed.groupBy("key").agg(F.min("text").alias("text"))
+    keyed = rows.withColumn("key", T.content_key([F.lit(model), F.lit(dims), F.col("text")]))  # null is the empty text
+    wanted = keyed.groupBy("key").agg(F.coalesce(F.min("text"), F.lit("")).alias("text"))
     hits, todo = cache_split(wanted, cache) if cache is not None else (None, wanted)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -83,7 +83,7 @@ _UPSERT = """upsert AS (
     arg_min(created_from, struct_pack(t := loaded_at, i := entity_id)) AS created_from, count(*)::BIGINT AS loads
   FROM entities WHERE key IS NOT NULL GROUP BY key)"""
 _SIZED = f"""{_PAGES}, sized AS (
-  SELECT slug, row_number() OVER (PARTITION BY slug ORDER BY coalesce(section_id, ''), coalesce(base_path, ''), page_id) - 1 AS pos, {words("text")} AS w
+  SELECT slug, page_id, row_number() OVER (PARTITION BY slug ORDER BY coalesce(section_id, ''), coalesce(base_path, ''), page_id) - 1 AS pos, {words("text")} AS w
   FROM pages WHERE NOT coalesce(is_contents_page, false) AND {words("coalesce(text, '') || ' ' || coalesce(description, '')")} >= 25),
 walk(slug, pos, w, chunk, used, sealed) AS (
   SELECT slug, pos, w, CASE WHEN w > 400 THEN (w + 399) // 400 - 1 ELSE 0 END, w, w > 400 FROM sized WHERE pos = 0
@@ -279,3 +279,18 @@ SQL |= {
         SELECT start, node, min(distance)::INTEGER AS distance FROM walk WHERE start <> node GROUP BY 1, 2""",
     "o84_rates": f"WITH {_EDGES} SELECT src AS key, dst AS rate, mentions FROM edges WHERE type = 'HAS_RATE'",
 }
+_PROMPT_PARTS = f"""{_SIZED}, cut AS (
+  SELECT c.slug, c.chunk_no, c.pos, coalesce(p.section_id, p.base_path) AS name, p.description AS d,
+    p.heading || CASE WHEN c.piece_no > 0 THEN ' (continued ' || (c.piece_no + 1) || ')' ELSE '' END AS head,
+    CASE WHEN c.piece_no + c.first_word + c.n_words = {words("p.text")} THEN p.text
+      ELSE array_to_string(regexp_extract_all(p.text, '\\S+')[c.first_word + 1 : c.first_word + greatest(c.n_words, 1)], ' ') END AS t
+  FROM pieces c JOIN sized z ON z.slug = c.slug AND z.pos = c.pos JOIN pages p ON p.page_id = z.page_id),
+said AS (
+  SELECT slug, chunk_no, pos, name, '=== [' || name || '] ' || head || ' ===' || chr(10) || CASE WHEN coalesce(d, '') <> '' AND NOT contains(t, d) THEN d || chr(10) ELSE '' END || t AS part FROM cut)"""
+SQL |= {
+    "o26_prompts": f"""WITH RECURSIVE {_PROMPT_PARTS} SELECT slug, chunk_no, string_agg(part, chr(10) || chr(10) ORDER BY pos, name, part) AS prompt,
+        left(sha256('1' || chr(0) || 'extractor' || chr(0) || string_agg(name || chr(0) || part, chr(0) ORDER BY pos, name, part)), 32) AS key FROM said GROUP BY slug, chunk_no""",
+    "o87_embed": """SELECT doc_id, left(sha256('hash-64' || chr(0) || '64' || chr(0) || coalesce(text, '')), 32) AS key, CASE WHEN regexp_matches(coalesce(text, ''), '\\w') THEN 1.0 ELSE 0.0 END::DOUBLE AS norm FROM documents""",
+    "o79_pagerank_converged": f"WITH {_rounds(50)} SELECT node, round(r / (SELECT max(r) FROM r50), 5) AS pagerank FROM r50",
+    "o70_top": f"WITH {_rounds(50)} SELECT node, round(r / (SELECT max(r) FROM r50), 5) AS pagerank FROM r50 ORDER BY round(r / (SELECT max(r) FROM r50), 5) DESC, node LIMIT 20",
+}
