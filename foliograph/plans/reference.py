@@ -170,6 +170,17 @@ def o13_dry_run(spark: SparkSession, d: str) -> DataFrame:
     return chunks.groupBy("slug").agg(F.countDistinct("pos").alias("sections"), F.countDistinct("chunk_no").alias("chunks"), F.sum("n_words").alias("words"))
 
 
+@query
+def o13_load_counters(spark: SparkSession, d: str) -> DataFrame:
+    """What a load would write per manual, without writing it: sections, entities and relationships, zero where none."""
+    count = lambda df, name: df.groupBy("slug").agg(F.count(F.lit(1)).alias(name))
+    out = read(spark, d, "manuals").select("slug").distinct()
+    out = out.join(count(_pages(spark, d, "slug"), "sections"), "slug", "left")
+    out = out.join(count(read(spark, d, "entities").filter("key is not null").select("slug", "key").distinct(), "entities"), "slug", "left")
+    out = out.join(count(folds.relationship_fold(_relationships(spark, d)), "relationships"), "slug", "left")
+    return out.select("slug", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("sections", "entities", "relationships")))
+
+
 @query
 def o40_first_chunks(spark: SparkSession, d: str) -> DataFrame:
     """The first three chunks of each manual: the cap of a trial run."""

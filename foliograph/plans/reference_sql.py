@@ -294,3 +294,7 @@ SQL |= {
     "o79_pagerank_converged": f"WITH {_rounds(50)} SELECT node, round(r / (SELECT max(r) FROM r50), 5) AS pagerank FROM r50",
     "o70_top": f"WITH {_rounds(50)} SELECT node, round(r / (SELECT max(r) FROM r50), 5) AS pagerank FROM r50 ORDER BY round(r / (SELECT max(r) FROM r50), 5) DESC, node LIMIT 20",
 }
+SQL["o13_load_counters"] = f"""WITH {_PAGES}, {_RELS}, {_folded("fold", "slug")}
+    SELECT m.slug, coalesce(p.n, 0)::BIGINT AS sections, coalesce(e.n, 0)::BIGINT AS entities, coalesce(r.n, 0)::BIGINT AS relationships FROM manuals m
+    LEFT JOIN (SELECT slug, count(*) AS n FROM pages GROUP BY 1) p ON p.slug = m.slug LEFT JOIN (SELECT slug, count(DISTINCT key) AS n FROM entities GROUP BY 1) e ON e.slug = m.slug
+    LEFT JOIN (SELECT slug, count(*) AS n FROM fold GROUP BY 1) r ON r.slug = m.slug"""
