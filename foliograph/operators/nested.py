@@ -26,6 +26,12 @@ ELEMENTS = {
 }
 
 
+#: Fields within fields that are taken apart, the record's own being the first; what lies deeper stays JSON text in its
+#: column. Records with more brackets within each other than READ_DEPTH don't take part in the schema, as the reader of
+#: types can't go that deep; they are flattened by the schema of the others.
+MAX_DEPTH, READ_DEPTH = 8, 100
+
+
 def canonical(name: str) -> str:
     """Field name in snake case, so that the names of several schema versions fall together."""
     return re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name.strip()).lower().replace("-", "_")
@@ -100,6 +106,21 @@ def elements(v: Expr) -> Expr:
     return _let(v, _elements)
 
 
+def _too_deep(doc: Expr) -> Expr:
+    """Whether a record has more than READ_DEPTH brackets within each other: pairs that hold nothing are taken out, from
+    the inside, as often. Brackets in strings may be left over, so the strings go first where something is left."""
+
+    def left(text: Expr) -> Expr:
+        brackets = rf"regexp_replace({text}, '[^\\[\\]{{}}]+', '')"
+        return rf"aggregate(sequence(1, {READ_DEPTH}), {brackets}, (t, i) -> case when t = '' then t else regexp_replace(t, '\\[\\]|\\{{\\}}', '') end)"
+
+    def deep(text: Expr) -> Expr:
+        bare = rf"""regexp_replace({text}, '"(?:[^"\\\\]++|\\\\.)*+"', '')"""
+        return f"case when {left(text)} = '' then false else {left(bare)} <> '' end"
+
+    return _let(_as(doc, "string"), deep)
+
+
 def record_variants(records: DataFrame, id_column: str, payload_column: str) -> DataFrame:
     """(record_id, doc): the record itself, of records that are complete JSON objects or lists.
 
@@ -188,33 +209,37 @@ Way = Callable[[Expr], Expr]
 @dataclass
 class Probe:
     """A field whose values need a look of their own: the way from a record to the objects that have it, its spelling,
-    and whether all its values are strings."""
+    whether all its values are strings, and how deep it lies."""
 
     of: Field
     way: Way
     spelling: str
     strings: bool
+    depth: int
 
     def values(self, doc: Expr) -> Expr:
         return _each(self.way(doc), lambda v: _field(v, [self.spelling]))
 
 
-def _merge(into: Field, tree: tuple, way: Way, probes: list[Probe]) -> None:
+def _merge(into: Field, tree: tuple, way: Way, probes: list[Probe], depth: int = 1) -> None:
     """Takes a type seen for the objects `into` into its fields. `way` leads from a record to an array of those objects.
-    Values of several shapes, and strings, which may hold lists, become probes."""
+    Values of several shapes, and strings, which may hold lists, become probes. Below MAX_DEPTH all is text."""
     for spelling, kind in tree[1].items():
         name = SAME.get(canonical(spelling), canonical(spelling))
         f = into.inside.setdefault(name, Field())
         if spelling not in f.spelt:
             f.spelt.append(spelling)
-        probe = Probe(f, way, spelling, kind[0] == "STRING")
+        if depth >= MAX_DEPTH:
+            f.scalar = True
+            continue
+        probe = Probe(f, way, spelling, kind[0] == "STRING", depth)
         below = lambda doc, p=probe: f"flatten({_each(p.values(doc), _elements)})"
         if kind[0] == "OBJECT":
             f.object = True
-            _merge(f, kind, probe.values, probes)
+            _merge(f, kind, probe.values, probes, depth + 1)
         elif kind[0] == "ARRAY" and kind[1][0] == "OBJECT":
             f.list = f.object = True
-            _merge(f, kind[1], below, probes)
+            _merge(f, kind[1], below, probes, depth + 1)
         elif kind[0] == "ARRAY" and kind[1][0] != "VARIANT":
             f.list = True
             f.scalar |= kind[1][0] != "VOID"
@@ -284,7 +309,7 @@ def _probed(docs: DataFrame, probes: list[Probe]) -> list[Probe]:
             f.object = True
             kind = parsed_type(r["shape"])
             if kind[0] == "OBJECT":
-                _merge(f, kind, lambda doc, p=p: _each(f"flatten({_each(p.values(doc), _elements)})", _object), more)
+                _merge(f, kind, lambda doc, p=p: _each(f"flatten({_each(p.values(doc), _elements)})", _object), more, p.depth + 1)
     return more
 
 
@@ -293,6 +318,7 @@ def schema_of(docs: DataFrame, max_fields: int = 10_000) -> Field:
     values of mixed shapes lie within each other. More than max_fields fields (a map keyed by data, say) are an error
     rather than a truncated schema."""
     root = Field(object=True)
+    docs = docs.filter(f"not {_too_deep('doc')}")
     objects = docs.selectExpr(f"explode({elements('doc')}) as v").filter(_is_object("v"))
     got = objects.agg(F.expr("schema_of_variant_agg(v)").alias("s")).first()["s"]
     probes: list[Probe] = []

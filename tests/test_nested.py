@@ -123,3 +123,24 @@ def test_too_many_fields_are_an_error(spark):
     df = spark.createDataFrame([(json.dumps({f"k{i}": 1 for i in range(50)}),)], "text string")
     with pytest.raises(ValueError, match="fields in one schema"):
         N.merged_schema(df, "text", max_fields=20)
+
+
+def test_any_depth(spark):
+    """Deep fields stay text, and a record of any depth takes none of the others with it."""
+
+    def nest(n, wrap):
+        v = 1
+        for _ in range(n):
+            v = wrap(v)
+        return json.dumps({"sections": [{"title": f"t{n} [ {{", "deep": v}]})
+
+    for wrap in (lambda v: {"a": v}, lambda v: [v], lambda v: {"a": [v]}):
+        flat = N.Flattened(records(spark, [nest(1, wrap), nest(20, wrap), nest(150, wrap), nest(400, wrap), json.dumps({"sections": [{"title": "x"}]})]))
+        assert sorted(r.title.split()[0] for r in N.flat_table(flat, "section").collect()) == ["t1", "t150", "t20", "t400", "x"]
+        assert flat.rows.filter("element = 'section'").count() == 5
+
+
+def test_brackets_in_texts_are_no_depth(spark):
+    docs = records(spark, [json.dumps({"a": "[" * 500 + '"' + "{" * 500, "b": ["]"]}), json.dumps({"a": {"b": [1]}})])
+    got = N.record_variants(docs, "record_id", "payload").selectExpr(f"{N._too_deep('doc')} as d").collect()
+    assert [r.d for r in got] == [False, False]
