@@ -106,8 +106,8 @@ def elements(v: Expr) -> Expr:
     return _let(v, _elements)
 
 
-def _too_deep(doc: Expr) -> Expr:
-    """Whether a record has more than READ_DEPTH brackets within each other: pairs that hold nothing are taken out, from
+def _too_deep(text: Expr) -> Expr:
+    """Whether the text of a record has more than READ_DEPTH brackets within each other: pairs that hold nothing are taken out, from
     the inside, as often. Brackets in strings may be left over, so the strings go first where something is left."""
 
     def left(text: Expr) -> Expr:
@@ -116,13 +116,15 @@ def _too_deep(doc: Expr) -> Expr:
 
     def deep(text: Expr) -> Expr:
         bare = rf"""regexp_replace({text}, '"(?:[^"\\\\]++|\\\\.)*+"', '')"""
-        return f"case when {left(text)} = '' then false else {left(bare)} <> '' end"
+        few = f"length({text}) - length(translate({text}, '[{{', '')) <= {READ_DEPTH}"  # opened at all
+        return f"case when {few} or {left(text)} = '' then false else {left(bare)} <> '' end"
 
-    return _let(_as(doc, "string"), deep)
+    return _let(text, deep)
 
 
 def record_variants(records: DataFrame, id_column: str, payload_column: str) -> DataFrame:
-    """(record_id, doc): the record itself, of records that are complete JSON objects or lists.
+    """(record_id, doc, deep): the record itself, of records that are complete JSON objects or lists, and whether it is
+    nested too deep for the schema.
 
     A byte order mark, a code fence and JSON strings around the record are taken off. Each wrapping doubles the
     backslashes, so a text can't be wrapped more often than the logarithm of its length, and that many steps unwrap any.
@@ -137,7 +139,9 @@ def record_variants(records: DataFrame, id_column: str, payload_column: str) ->
     steps = F.sequence(F.lit(1), F.ceil(F.log2(F.length(raw) + 2)).cast("int"))
     wrapped = F.aggregate(steps, bare, unwrap, lambda text: F.when(text.rlike(r"^[{\[]"), F.try_parse_json(text)))
     plain = F.when(raw.rlike(r"^[{\[]"), F.try_parse_json(raw))
-    return records.select(F.col(id_column).alias("record_id"), F.coalesce(plain, wrapped).alias("doc")).filter("doc is not null")
+    rows = records.select(F.col(id_column).alias("record_id"), F.coalesce(plain, wrapped).alias("doc"), F.when(raw.rlike(r"^[{\[]"), raw).alias("_text")).filter("doc is not null")
+    text = f"coalesce(_text, {_as('doc', 'string')})"
+    return rows.selectExpr("record_id", "doc", f"{_too_deep(text)} as deep")
 
 
 # --------------------------------------------------------------------------- merged schema
@@ -314,11 +318,11 @@ def _probed(docs: DataFrame, probes: list[Probe]) -> list[Probe]:
 
 
 def schema_of(docs: DataFrame, max_fields: int = 10_000) -> Field:
-    """Merged schema over all records (record_id, doc), as a tree. Each pass is one aggregate, and there are as many as
+    """Merged schema over all records (record_id, doc, deep), as a tree. Each pass is one aggregate, and there are as many as
     values of mixed shapes lie within each other. More than max_fields fields (a map keyed by data, say) are an error
     rather than a truncated schema."""
     root = Field(object=True)
-    docs = docs.filter(f"not {_too_deep('doc')}")
+    docs = docs.filter("not deep")
     objects = docs.selectExpr(f"explode({elements('doc')}) as v").filter(_is_object("v"))
     got = objects.agg(F.expr("schema_of_variant_agg(v)").alias("s")).first()["s"]
     probes: list[Probe] = []
@@ -335,7 +339,7 @@ def schema_of(docs: DataFrame, max_fields: int = 10_000) -> Field:
 
 def merged_schema(payloads: DataFrame, column: str, max_fields: int = 10_000) -> dict[str, set[str]]:
     """Shapes seen at each path over all records: {"sections.child_sections": {"field", "list", "object"}, ...}."""
-    docs = payloads.select(F.lit(0).alias("record_id"), F.try_parse_json(column).alias("doc")).filter("doc is not null")
+    docs = payloads.select(F.lit(0).alias("record_id"), F.try_parse_json(column).alias("doc"), F.expr(_too_deep(f"`{column}`")).alias("deep")).filter("doc is not null")
     shapes = {path: {"field"} | {s for s in ("scalar", "list", "object") if getattr(f, s)} for path, f in schema_of(docs, max_fields).walk()}
     return shapes
 
