@@ -79,8 +79,7 @@ def values(element: str, source: str, parent: str) -> str:
       json_extract_string(e, '$') AS value FROM {source}"""
 
 
-def aliases() -> str:
-    """The aliases of entities: a list below a list."""
-    below = _level("als", "ents", "record_id, slug, item_no AS parent_no", listed(part("e", "aliases")))
-    below = below.replace("SELECT record_id, slug, item_no AS parent_no, (i", "SELECT record_id, slug, parent_no, (i").replace("FROM (SELECT record_id, slug, item_no AS parent_no, unnest", "FROM (SELECT record_id, slug, parent_no, unnest")
-    return values("enrichment.entities.aliases", "als", "entity").replace(f"WITH {ELEMENTS}", f"WITH {ELEMENTS}, {below}")
+def organisations() -> str:
+    """The organisations of manuals: a list in an object that isn't one."""
+    level = _level("org", "docs", "record_id, slug", listed(part(part("doc", "manual"), "organisations")))
+    return f"""WITH {ELEMENTS}, {level} SELECT record_id, record_id || ':manual.organisations:' || item_no AS node_key, NULL::VARCHAR AS parent_key, item_no, json_extract_string(e, '$') AS value FROM org"""

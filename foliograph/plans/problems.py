@@ -63,7 +63,7 @@ P4_TABLES = {
     "entity": ["key", "name", "type", "definition", "salience", "mentions"],
     "relationship": ["source", "type", "target"],
     "evidence": ["value"],
-    "enrichment.entities.aliases": ["value"],
+    "manual.organisations": ["value"],
 }
 
 
@@ -76,7 +76,7 @@ def _p4_table(element: str) -> Query:
     return table
 
 
-P4_NAMES = {"section": "p4_sections", "child_section": "p4_child_sections", "cross_reference": "p4_cross_references", "attachment": "p4_attachments", "entity": "p4_entities", "relationship": "p4_relationships", "evidence": "p4_evidence", "enrichment.entities.aliases": "p4_aliases"}
+P4_NAMES = {"section": "p4_sections", "child_section": "p4_child_sections", "cross_reference": "p4_cross_references", "attachment": "p4_attachments", "entity": "p4_entities", "relationship": "p4_relationships", "evidence": "p4_evidence", "manual.organisations": "p4_organisations"}
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_paths, p2_descendants, p4_found)}
 QUERIES.update({name: _p4_table(element) for element, name in P4_NAMES.items()})

@@ -87,4 +87,4 @@ SQL["p4_attachments"] = N.table("attachment", "att", [("title",), ("url",), ("co
 SQL["p4_entities"] = N.table("entity", "ents", [("key",), ("name",), ("type",), ("definition",), ("salience",), ("mentions",)])
 SQL["p4_relationships"] = N.table("relationship", "rel", [("source",), ("type",), ("target",)])
 SQL["p4_evidence"] = N.values("evidence", "evi", "relationship")
-SQL["p4_aliases"] = N.aliases()
+SQL["p4_organisations"] = N.organisations()
