@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,6 +18,8 @@ from foliograph.session import cut
 #: Relationship and entity types that connect everything and say little.
 HUB_EDGES = ("RELATED_TO", "REFERENCES", "EXAMPLE_OF", "ADMINISTERED_BY", "GOVERNED_BY")
 HUB_TYPES = ("Organisation", "Jurisdiction")
+#: Edges, each counted in both directions, of a graph that one task holds to find communities.
+TASK_EDGES = 4_000_000
 
 
 def projection(edges: DataFrame, entities: DataFrame) -> DataFrame:
@@ -78,7 +84,7 @@ def components(edges: DataFrame) -> DataFrame:
     return split_join(labels, numbered, "component").select("node", F.col("number").alias("component"), "component_size")
 
 
-def communities(edges: DataFrame, max_levels: int = 10, max_iterations: int = 10, tolerance: float = 1e-4) -> DataFrame:
+def communities(edges: DataFrame, max_levels: int = 10, max_iterations: int = 10, tolerance: float = 1e-4, task_edges: int = TASK_EDGES) -> DataFrame:
     """(node, community): modularity communities of the undirected graph (src, dst, weight), after Louvain.
 
     Every round each node sees the gain in modularity of joining each neighbouring community and moves to the best,
@@ -87,20 +93,31 @@ def communities(edges: DataFrame, max_levels: int = 10, max_iterations: int = 10
     modularity, or after max_iterations of both kinds, and keeps the best labels it saw; then communities become nodes
     and it starts again, until a level moves nothing or after max_levels. The three bounds are those usual for Louvain.
     Labels are the smallest node of each community.
+
+    Nodes are numbered in their order. A level of more than `task_edges` edges, each counted in both directions, takes
+    joins for every round; from the first level that has no more, one task does all the levels that are left, by the
+    same rules, so that what comes out is the same.
     """
     pairs = edges.filter("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), "weight").groupBy("a", "b").agg(F.sum("weight").alias("w"))
     flat = cut(pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"), "w").union(pairs.select("b", "a", "w")))
-    total = flat.agg(F.sum("w")).first()[0]
-    member = cut(flat.select(F.col("src").alias("node")).distinct().withColumn("community", F.col("node")))
+    total, n = flat.agg(F.sum("w"), F.count(F.lit(1))).first()
+    nodes = flat.select(F.col("src").alias("node")).distinct()
     if not total:
-        return member
+        return nodes.withColumn("community", F.col("node"))
+    member = cut(global_numbers(nodes, [F.asc("node")], "community"))
+    for end in ("src", "dst"):
+        flat = split_join(flat, member.select(F.col("node").alias(end), F.col("community").alias(f"{end}_id")), end, n=n)
+        flat = cut(flat.drop(end).withColumnRenamed(f"{end}_id", end), forget=True)
     graph = flat
-    for _ in range(max_levels):
-        labels = _moved(graph, float(total), max_iterations, tolerance)
+    for level in range(max_levels):
+        last = (graph.count() if level else n) <= task_edges
+        labels = cut(_levels_in_task(graph, float(total), max_levels - level, max_iterations, tolerance)) if last else _moved(graph, float(total), max_iterations, tolerance)
         if labels.filter("node <> label").isEmpty():
             break
         to = labels.select(F.col("node").alias("community"), "label")
         member = cut(split_join(member, to, "community").select("node", F.col("label").alias("community")), forget=True)
+        if last:
+            break
         a, b = labels.select(F.col("node").alias("src"), F.col("label").alias("s")), labels.select(F.col("node").alias("dst"), F.col("label").alias("d"))
         graph = split_join(cut(split_join(graph, a, "src"), forget=True), b, "dst")
         graph = cut(graph.groupBy(F.col("s").alias("src"), F.col("d").alias("dst")).agg(F.sum("w").alias("w")), forget=True)
@@ -108,6 +125,76 @@ def communities(edges: DataFrame, max_levels: int = 10, max_iterations: int = 10
     return split_join(member, least, "community").select("node", F.col("least").alias("community"))
 
 
+def _levels_in_task(graph: DataFrame, total: float, levels: int, max_iterations: int, tolerance: float) -> DataFrame:
+    """(node, label) after all levels, of a graph (src, dst, w) of numbers that one task can hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if parts:
+            src, dst, w = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in parts]) for i in range(3))
+            parts.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in louvain(src, dst, w, total, levels, max_iterations, tolerance)], names=["node", "label"])
+
+    return graph.select("src", "dst", F.coalesce("w", F.lit(0.0)).cast("double").alias("w")).repartition(1).mapInArrow(run, "node bigint, label bigint")
+
+
+def _summed(keys: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of w of each."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(w[order], first)
+
+
+def louvain(src: np.ndarray, dst: np.ndarray, w: np.ndarray, total: float, levels: int, max_iterations: int, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and their labels after all levels; what `communities` does with joins, for edges in memory."""
+    nodes = np.unique(src)
+    src, dst = np.searchsorted(nodes, src), np.searchsorted(nodes, dst)
+    names, member = nodes, np.arange(len(nodes))
+    for _ in range(levels):
+        labels = _moved_in_memory(src, dst, w, len(names), total, max_iterations, tolerance)
+        if (labels == np.arange(len(names))).all():
+            break
+        kept, at = np.unique(labels, return_inverse=True)
+        names, member = names[kept], at[member]
+        keys, w = _summed(at[src] * len(kept) + at[dst], w)
+        src, dst = keys // len(kept), keys % len(kept)
+    return nodes, names[member]
+
+
+def _moved_in_memory(src: np.ndarray, dst: np.ndarray, w: np.ndarray, n: int, total: float, max_iterations: int, tolerance: float) -> np.ndarray:
+    """The labels of n nodes after the rounds of one level; step by step what `_moved` does."""
+    k = np.bincount(src, w, n)
+    loops = w[src == dst].sum()
+    across = src != dst
+    src, dst = np.r_[src[across], np.arange(n)], dst[across]  # each node has an option of its own, to stay
+    w = np.r_[w[across], np.zeros(n)]
+    labels = best_labels = np.arange(n)
+    best_value, idle = float("-inf"), 0
+    for i in range(2 * max_iterations + 1):
+        mass = np.bincount(labels, k, n)
+        keys, near = _summed(src * n + np.r_[labels[dst], labels], w)
+        node, to = keys // n, keys % n
+        stay = to == labels[node]
+        value = (near[stay].sum() + loops) / total - (mass[labels] * k).sum() / (total * total)
+        gain = np.round(near - k[node] * (mass[to] - np.where(stay, k[node], 0.0)) / total, 9)
+        may = to <= labels[node] if i % 2 == 0 else to >= labels[node]
+        node, to, stay, gain = node[may], to[may], stay[may], gain[may]
+        first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])  # options are in order of node and label
+        best = gain == np.maximum.reduceat(gain, first)[node]
+        new = labels.copy()
+        at, to = node[best][::-1], to[best][::-1]
+        new[at] = to  # the last one written is the smallest
+        new[node[best & stay]] = labels[node[best & stay]]
+        idle = 0 if value > best_value + tolerance else idle + 1
+        if value > best_value + 1e-9:
+            best_value, best_labels = value, labels
+        if idle == 2 or idle and (new == labels).all():
+            break
+        labels = new
+    return best_labels
+
+
 def _moved(graph: DataFrame, total: float, max_iterations: int, tolerance: float) -> DataFrame:
     """(node, label) after the rounds of one level."""
     degree = cut(graph.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k")), forget=True)

@@ -158,6 +158,21 @@ def test_communities(spark):
     assert centrality.modularity(df, member) > 0.5
 
 
+def test_communities_in_one_task_and_with_joins(spark, rows):
+    """The same comes out whichever way a level goes, and a small graph doesn't take jobs for every round."""
+    rng = np.random.default_rng(5)
+    at = [(f"n{a}", f"n{b}", float(w)) for a, b, w in zip(rng.integers(0, 60, 150), rng.integers(0, 60, 150), rng.integers(1, 4, 150), strict=True)]
+    df = edges(spark, at + [("x", "y", 2.0), ("z", "z", 1.0)])
+    spark.sparkContext.setJobGroup("communities", "")
+    small = rows(centrality.communities(df))
+    spark.sparkContext.setJobGroup("other", "")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("communities")) < 80
+    assert ("x", "x") in small and ("y", "x") in small and len({c for _, c in small}) < len(small)
+    few = rows(centrality.communities(df, max_iterations=3))
+    assert few == rows(centrality.communities(df, max_iterations=3, task_edges=0)) == rows(centrality.communities(df, max_iterations=3, task_edges=100))
+    assert centrality.communities(df.limit(0)).count() == 0
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(1)
     data = rng.normal(size=(400, 16)).astype("float32")
