@@ -242,9 +242,10 @@ def _with_mass(options: DataFrame, mass: DataFrame, total: float) -> DataFrame:
 def modularity(edges: DataFrame, member: DataFrame) -> float:
     """Modularity of communities (node, community) of the undirected graph (src, dst, weight)."""
     pairs = edges.filter("src <> dst").select("src", "dst", "weight")
-    both = pairs.union(pairs.select("dst", "src", "weight"))
-    at = split_join(cut(both), member.select(F.col("node").alias("src"), F.col("community").alias("cs")), "src")
-    at = cut(split_join(cut(at), member.select(F.col("node").alias("dst"), F.col("community").alias("cd")), "dst"))
+    both = cut(pairs.union(pairs.select("dst", "src", "weight")))
+    n = both.count()
+    at = split_join(both, member.select(F.col("node").alias("src"), F.col("community").alias("cs")), "src", n=n)
+    at = cut(split_join(cut(at), member.select(F.col("node").alias("dst"), F.col("community").alias("cd")), "dst", n=n))
     total, inside = at.agg(F.sum("weight"), F.sum(F.when(F.col("cs") == F.col("cd"), F.col("weight")))).first()
     if not total:
         return 0.0

@@ -482,7 +482,7 @@ def o78_projection(spark: SparkSession, d: str) -> DataFrame:
 def o81_modularity(spark: SparkSession, d: str) -> DataFrame:
     """Modularity of the communities beside that of the components: a property that the communities must have."""
     edges = cut(_page_edges(spark, d))
-    parts = centrality.components(edges).select("node", F.col("component").alias("community"))
+    parts = components.connected_components(edges).withColumnRenamed("component", "community")
     good = centrality.modularity(edges, centrality.communities(edges)) >= centrality.modularity(edges, parts) - 1e-9
     return spark.createDataFrame([(bool(good),)], "at_least_that_of_components boolean")
 

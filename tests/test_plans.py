@@ -70,3 +70,11 @@ def test_folds_combine_before_the_shuffle(spark):
 def test_python_only_where_it_must_be(spark):
     for name in ("o09_content_key", "o16_clean", "o19_heading", "o22_norm", "o27_salvage", "o41_child_edges", "o56_entity_fold", "o61_entity_upsert", "o72_nearest"):
         assert not re.search(r"Python|Pandas|Arrow", plan(spark, name)), name
+
+
+def test_modularity_takes_no_jobs_for_every_round(spark):
+    spark.sparkContext.setJobGroup("modularity", "")
+    assert [r[0] for r in entry.queries()["o81_modularity"](spark, DATA).collect()] == [True]
+    spark.sparkContext.setJobGroup("other", "")
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("modularity"))
+    assert jobs < 200, jobs
